@@ -13,7 +13,7 @@ from collections.abc import Iterable, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loadstar.functions.numeric import ratio
+from loadstar.functions.numeric import ratio, settled
 
 _COST_PER_MILE = ratio("total_cost_usd", "distance_miles")
 _COST_PER_PALLET = ratio("total_cost_usd", "pallet_count")
@@ -50,6 +50,12 @@ PARTS: dict[str, Column] = {
     "acc_share_n": F.count(_ACCESSORIAL_SHARE),
 }
 
+
+def _mean(total: str, count: str) -> Column:
+    """Average of doubles, free of the noise that summation order leaves."""
+    return settled(ratio(total, count))
+
+
 # KPI name -> (parts it needs, formula over them)
 _KPIS: dict[str, tuple[tuple[str, ...], Column]] = {
     "shipment_count": (("n",), F.col("n")),
@@ -60,22 +66,22 @@ _KPIS: dict[str, tuple[tuple[str, ...], Column]] = {
         ("defects", "n"),
         ratio(F.col("n") - F.col("defects"), "n"),
     ),
-    "avg_dwell": (("dwell_sum", "dwell_n"), ratio("dwell_sum", "dwell_n")),
-    "avg_utilization": (("util_sum", "n"), ratio("util_sum", "n")),
-    "avg_weight": (("weight_sum", "n"), ratio("weight_sum", "n")),
+    "avg_dwell": (("dwell_sum", "dwell_n"), _mean("dwell_sum", "dwell_n")),
+    "avg_utilization": (("util_sum", "n"), _mean("util_sum", "n")),
+    "avg_weight": (("weight_sum", "n"), _mean("weight_sum", "n")),
     "avg_pallets": (("pallet_sum", "n"), ratio("pallet_sum", "n")),
-    "avg_miles": (("miles_sum", "n"), ratio("miles_sum", "n")),
+    "avg_miles": (("miles_sum", "n"), _mean("miles_sum", "n")),
     "avg_cost": (("cost_sum", "n"), ratio("cost_sum", "n")),
     "total_cost": (("cost_sum",), F.col("cost_sum").cast("double")),
     "avg_linehaul": (("linehaul_sum", "n"), ratio("linehaul_sum", "n")),
     "avg_accessorial": (("accessorial_sum", "n"), ratio("accessorial_sum", "n")),
     "total_accessorial": (("accessorial_sum",), F.col("accessorial_sum").cast("double")),
     # mean of per-shipment ratios
-    "cpm": (("cpm_sum", "cpm_n"), ratio("cpm_sum", "cpm_n")),
-    "cost_per_pallet": (("cpp_sum", "cpp_n"), ratio("cpp_sum", "cpp_n")),
+    "cpm": (("cpm_sum", "cpm_n"), _mean("cpm_sum", "cpm_n")),
+    "cost_per_pallet": (("cpp_sum", "cpp_n"), _mean("cpp_sum", "cpp_n")),
     "accessorial_share": (
         ("acc_share_sum", "acc_share_n"),
-        ratio("acc_share_sum", "acc_share_n"),
+        _mean("acc_share_sum", "acc_share_n"),
     ),
     # ratio of the sums: a different number
     "accessorial_of_total": (

@@ -38,13 +38,14 @@ def percent(value: Column | str, digits: int = 1) -> Column:
     return rounded(as_col(value) * F.lit(100.0), digits)
 
 
-def settled(value: Column | str) -> Column:
-    """Drop the last bits of a floating average before it meets a threshold.
+def settled(value: Column | str, digits: int = 9) -> Column:
+    """Drop the last bits of a floating sum or average.
 
-    The order in which tasks merge partial sums is not fixed; without this a
-    group lying exactly on a limit could come and go between two runs.
+    The order in which tasks merge partial sums is not fixed; without this the
+    same query could return values that differ in the last place between two
+    runs, and a group lying exactly on a limit could come and go.
     """
-    return rounded(value, 12)
+    return rounded(value, digits)
 
 
 def clamp(value: Column, low: float, high: float) -> Column:

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from loadstar.functions.measures import gather
-from loadstar.functions.numeric import ratio
+from loadstar.functions.numeric import ratio, settled
 from loadstar.operators.lanes import lane_primary_carrier
 from loadstar.operators.ordered import BUCKETS, running_totals
 from loadstar.star import Star
@@ -155,14 +155,19 @@ def whatif_bootstrap_ci(
             "lane_id",
             "carrier_id",
             "current_carrier_id",
-            "otp_mean",
-            "otp_low",
-            "otp_high",
-            (F.col("otp_mean") - F.col("current_otp")).alias("otp_delta_pp"),
-            "cost_mean",
-            "cost_low",
-            "cost_high",
-            (F.col("cost_mean") - F.col("current_cost")).alias("cost_delta"),
+            *[
+                settled(value, 6).alias(name)
+                for name, value in {
+                    "otp_mean": F.col("otp_mean"),
+                    "otp_low": F.col("otp_low"),
+                    "otp_high": F.col("otp_high"),
+                    "otp_delta_pp": F.col("otp_mean") - F.col("current_otp"),
+                    "cost_mean": F.col("cost_mean"),
+                    "cost_low": F.col("cost_low"),
+                    "cost_high": F.col("cost_high"),
+                    "cost_delta": F.col("cost_mean") - F.col("current_cost"),
+                }.items()
+            ],
         )
         .orderBy("lane_id", "carrier_id")
     )

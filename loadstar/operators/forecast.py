@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from loadstar.functions.measures import kpi
+from loadstar.functions.numeric import settled
 from loadstar.operators.network import by_day, by_week
 from loadstar.star import Star
 
@@ -79,9 +80,9 @@ def series_forecast(
         .select(
             *keys,
             "step",
-            middle.alias("forecast"),
-            (middle - margin).alias("lower"),
-            (middle + margin).alias("upper"),
+            settled(middle, 6).alias("forecast"),
+            settled(middle - margin, 6).alias("lower"),
+            settled(middle + margin, 6).alias("upper"),
         )
         .orderBy(*keys, "step")
     )

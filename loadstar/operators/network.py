@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from loadstar.functions.calendar import week_year
 from loadstar.functions.measures import gather, kpi, merge
-from loadstar.functions.numeric import percent, ratio, rounded
+from loadstar.functions.numeric import percent, ratio, rounded, settled
 from loadstar.operators.ordered import percentiles
 from loadstar.schema import DAY_NAMES, NETWORK_OTP_TARGET_PCT, PEAK_MONTHS
 from loadstar.star import Star
@@ -331,5 +331,7 @@ def mom_cost_change(star: Star) -> DataFrame:
         "month",
         "total_cost",
         previous.alias("prev_month_cost"),
-        (ratio(F.col("total_cost") - previous, previous) * 100).alias("mom_change_pct"),
+        settled(ratio(F.col("total_cost") - previous, previous) * 100).alias(
+            "mom_change_pct"
+        ),
     ).orderBy("year", "month")

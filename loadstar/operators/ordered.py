@@ -16,6 +16,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from loadstar.functions.numeric import settled
+
 BUCKETS = 64
 _NULL_BUCKET = -1
 
@@ -221,7 +223,7 @@ def percentiles(
         edges += [at(low).alias(f"_{name}_low"), at(high).alias(f"_{name}_high")]
         share = position(p) - F.floor(position(p))
         results.append(
-            (
+            settled(
                 F.col(f"_{name}_low") * (F.lit(1.0) - share)
                 + F.col(f"_{name}_high") * share
             ).alias(name)

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from loadstar.functions.measures import gather, kpi, merge, parts_of, PARTS
-from loadstar.functions.numeric import clamp, percent, ratio, rounded
+from loadstar.functions.numeric import clamp, percent, ratio, rounded, settled
 from loadstar.operators.ordered import cumulative_top
 from loadstar.star import Star, shipped_since
 
@@ -169,8 +169,8 @@ def shipper_health(
             F.col("vol_recent").alias("vol_last_90d"),
             F.col("vol_prior").alias("vol_prior_90d"),
             "growth_rate",
-            *scores,
-            composite.alias("shipper_health_score"),
+            *[settled(name).alias(name) for name in scores],
+            settled(composite).alias("shipper_health_score"),
         )
         .orderBy(F.desc("shipper_health_score"), "shipper_id")
     )

@@ -136,9 +136,13 @@ OTD = "COUNT(*) FILTER (WHERE on_time_delivery)::DOUBLE / COUNT(*)"
 DEFECT = "COUNT(*) FILTER (WHERE defect_flag)::DOUBLE / COUNT(*)"
 COST = "SUM(total_cost_usd)::DOUBLE / COUNT(*)"
 TOTAL = "SUM(total_cost_usd)::DOUBLE"
-CPM = "AVG(cpm)"
-DWELL = "AVG(dwell)"
-UTIL = "AVG(trailer_utilization_pct)"
+# averages of doubles are settled at 9 decimals, as summation order is free
+CPM = "ROUND(AVG(cpm), 9)"
+CPP = "ROUND(AVG(cpp), 9)"
+ACC_SHARE = "ROUND(AVG(acc_share), 9)"
+DWELL = "ROUND(AVG(dwell), 9)"
+UTIL = "ROUND(AVG(trailer_utilization_pct), 9)"
+MILES = "ROUND(AVG(distance_miles), 9)"
 LANE = "origin_city || ' -> ' || dest_fc_id"
 
 
@@ -156,7 +160,7 @@ def _half_even(value: str, digits: int) -> str:
 
 
 def _p(p: float, value: str = "dwell") -> str:
-    return f"quantile_cont({value}, {p})"
+    return f"ROUND(quantile_cont({value}, {p}), 9)"
 
 
 def _since(days: int) -> str:
@@ -223,7 +227,7 @@ def _summary(select: str, limit: int) -> str:
               {_pct("AVG(daily_otp)")} AS avg_otp_pct, {_round("AVG(daily_cpm)", 2)} AS avg_cpm,
               SUM(daily_volume)::BIGINT AS total_volume
             FROM flagged GROUP BY carrier_name, carrier_tier, lane_label
-            HAVING ROUND(AVG(daily_otp), 12) < 0.80)
+            HAVING ROUND(AVG(daily_otp), 9) < 0.80)
           ORDER BY avg_otp_pct, carrier_name, carrier_tier, lane_label LIMIT {limit}""",
         _FLAGS,
     )
@@ -240,19 +244,19 @@ def _zscore_ctes(year: str, mode: str) -> str:
       FROM s GROUP BY lane_id, {year}, week_of_year HAVING COUNT(*) >= 5),
     scored AS (SELECT *, AVG(otp) OVER b AS expected, STDDEV_SAMP(otp) OVER b AS spread, COUNT(*) OVER b AS weeks
       FROM lw WINDOW b AS (PARTITION BY lane_id ORDER BY year, week_of_year ROWS BETWEEN 8 PRECEDING AND 1 PRECEDING)),
-    zs AS (SELECT *, (otp - expected) / spread AS z FROM scored WHERE weeks = 8 AND ROUND(spread, 12) > 0),
-    picked AS (SELECT * FROM zs WHERE ROUND(ABS(z), 12) > 2.5),
-    tiers AS (SELECT p.lane_id, p.week_start, s.carrier_tier, AVG(acc_share) AS acc, COUNT(*) AS tn, {DEFECT} AS defect
+    zs AS (SELECT *, (otp - expected) / spread AS z FROM scored WHERE weeks = 8 AND ROUND(spread, 9) > 0),
+    picked AS (SELECT * FROM zs WHERE ROUND(ABS(z), 9) > 2.5),
+    tiers AS (SELECT p.lane_id, p.week_start, s.carrier_tier, {ACC_SHARE} AS acc, COUNT(*) AS tn, {DEFECT} AS defect
       FROM picked p JOIN s ON s.lane_id = p.lane_id AND s.date BETWEEN p.week_start AND p.week_start + 6
       GROUP BY ALL),
     hints AS (SELECT lane_id, week_start, CONCAT_WS('; ',
-        CASE WHEN ROUND(AVG(acc), 12) > 0.30 THEN {_text(anomalies.HINT_ACCESSORIAL)} END,
+        CASE WHEN ROUND(AVG(acc), 9) > 0.30 THEN {_text(anomalies.HINT_ACCESSORIAL)} END,
         CASE WHEN {spot_share} > 0.20 THEN {_text(anomalies.HINT_SPOT)} END,
         CASE WHEN MAX(defect) > 0.60 THEN {_text(anomalies.HINT_DEFECT)} END) AS hint
       FROM tiers GROUP BY lane_id, week_start),
     zscores AS (SELECT lane_id, week_start, year, week_of_year, {_half_even("otp", 4)} AS otp_observed,
         {_half_even("expected", 4)} AS otp_expected, {_half_even("z", 3)} AS z_score,
-        CASE WHEN ROUND(ABS(z), 12) > 3.5 THEN 'HIGH' WHEN ROUND(ABS(z), 12) > 3.0 THEN 'MEDIUM' ELSE 'LOW' END AS severity,
+        CASE WHEN ROUND(ABS(z), 9) > 3.5 THEN 'HIGH' WHEN ROUND(ABS(z), 9) > 3.0 THEN 'MEDIUM' ELSE 'LOW' END AS severity,
         CASE WHEN hint <> '' THEN hint WHEN z < 0 THEN {_text(anomalies.HINT_COLLAPSE)}
           ELSE {_text(anomalies.HINT_IMPROVED)} END AS reason_hint
       FROM picked LEFT JOIN hints USING (lane_id, week_start))"""
@@ -260,9 +264,8 @@ def _zscore_ctes(year: str, mode: str) -> str:
 
 _IQR = f"""cd AS (SELECT carrier_id, carrier_name, lane_type, date, {CPM} AS day_cpm, COUNT(*) AS volume
       FROM s WHERE distance_miles > 0 GROUP BY ALL HAVING COUNT(*) >= 3),
-    fence AS (SELECT lane_type, quantile_cont(day_cpm, 0.75)
-        + 1.5 * (quantile_cont(day_cpm, 0.75) - quantile_cont(day_cpm, 0.25)) AS upper_f
-      FROM cd GROUP BY lane_type),
+    fence AS (SELECT lane_type, q3 + 1.5 * (q3 - q1) AS upper_f
+      FROM (SELECT lane_type, {_p(0.25, "day_cpm")} AS q1, {_p(0.75, "day_cpm")} AS q3 FROM cd GROUP BY lane_type)),
     iqr AS (SELECT carrier_id, carrier_name, lane_type, date, {_half_even("day_cpm", 2)} AS daily_cpm,
         {_half_even("upper_f", 2)} AS upper_fence, {_half_even("(day_cpm - upper_f) / upper_f * 100", 1)} AS excess_pct,
         volume FROM cd JOIN fence USING (lane_type) WHERE day_cpm > upper_f)"""
@@ -285,8 +288,9 @@ _HEALTH = f"""m AS (SELECT shipper_id, shipper_name, vendor_type, ship_volume_ti
       LEAST(100, (year({AS_OF}) * 12 + month({AS_OF}) - year(onboarding_date) * 12 - month(onboarding_date))::DOUBLE / 24 * 100) AS tenure_score
       FROM m JOIN bench USING (ship_volume_tier)),
     scored AS (SELECT *, LEAST(100, GREATEST(0, 50 + growth_rate * 100)) AS growth_score FROM parts),
-    health AS (SELECT *, 0.30 * service_score + 0.25 * cost_score + 0.20 * growth_score
-      + 0.15 * reliability_score + 0.10 * tenure_score AS shipper_health_score FROM scored)"""
+    health AS (SELECT * REPLACE ({", ".join(f"ROUND({c}, 9) AS {c}" for c in ("service_score", "cost_score", "growth_score", "reliability_score", "tenure_score"))}),
+      ROUND(0.30 * service_score + 0.25 * cost_score + 0.20 * growth_score
+        + 0.15 * reliability_score + 0.10 * tenure_score, 9) AS shipper_health_score FROM scored)"""
 
 
 def _money_text(value: str, digits: int) -> str:
@@ -298,7 +302,7 @@ def _join(*pieces: str) -> str:
 
 
 _PRICING = f"""pm AS (SELECT shipper_id, shipper_name, vendor_type, COUNT(*) AS n, {COST} AS cps, {CPM} AS cpm_avg, {TOTAL} AS total,
-      AVG(distance_miles) AS miles, {OTD} AS otd, {DEFECT} AS defect,
+      {MILES} AS miles, {OTD} AS otd, {DEFECT} AS defect,
       COUNT(*) FILTER (WHERE {_since(90)}) AS v1, COUNT(*) FILTER (WHERE {_since(180)} AND NOT {_since(90)}) AS v0
       FROM s GROUP BY ALL ORDER BY n DESC, shipper_id LIMIT 20),
     pg AS (SELECT *, 2.43::DOUBLE * 1.08::DOUBLE * miles * n AS revenue, CASE WHEN v0 > 0 THEN (v1 - v0)::DOUBLE / v0 ELSE 0 END AS g FROM pm),
@@ -330,9 +334,9 @@ def _forecast(
     keys = f"{key}, " if key else ""
     step, middle, low, high = names
     return _q(
-        f"""{keys}step::INTEGER AS {step}, y + k * drift AS {middle},
-        y + k * drift - {_Z95}::DOUBLE * sigma * SQRT(k) AS {low},
-        y + k * drift + {_Z95}::DOUBLE * sigma * SQRT(k) AS {high}""",
+        f"""{keys}step::INTEGER AS {step}, ROUND(y + k * drift, 6) AS {middle},
+        ROUND(y + k * drift - {_Z95}::DOUBLE * sigma * SQRT(k), 6) AS {low},
+        ROUND(y + k * drift + {_Z95}::DOUBLE * sigma * SQRT(k), 6) AS {high}""",
         f"""FROM (SELECT *, ((step - place) // {period} + 1)::DOUBLE AS k
               FROM last_season JOIN range(1, {horizon + 1}) h(step)
                 ON step >= place AND (step - place) % {period} = 0)""",
@@ -567,7 +571,7 @@ ORACLE_SQL: dict[str, str] = {
             FROM s WHERE accessorial_cost_usd > 0 GROUP BY reason)""",
     ),
     "q17_cost_per_pallet_by_service_type": _q(
-        f"""service_name, COUNT(*) AS shipment_count, {_round("AVG(cpp)", 2)} AS avg_cost_per_pallet,
+        f"""service_name, COUNT(*) AS shipment_count, {_round(CPP, 2)} AS avg_cost_per_pallet,
         {_round(COST, 2)} AS avg_cost_per_shipment, {_round("AVG(pallet_count)", 1)} AS avg_pallets_per_shipment,
         {_pct(UTIL)} AS avg_utilization_pct""",
         "FROM s GROUP BY service_name",
@@ -575,7 +579,7 @@ ORACLE_SQL: dict[str, str] = {
     "q18_haul_economics": _q(
         f"""lane_type, COUNT(*) AS shipment_count, {_round("AVG(lane_miles)", 0)} AS avg_distance,
         {_round(COST, 2)} AS avg_cost_per_shipment, {_round(CPM, 2)} AS avg_cpm,
-        {_pct("AVG(acc_share)")} AS accessorial_share_pct, {_pct(OTP)} AS otp_pct,
+        {_pct(ACC_SHARE)} AS accessorial_share_pct, {_pct(OTP)} AS otp_pct,
         {_pct(DEFECT, 2)} AS defect_rate_pct, {_pct(UTIL)} AS avg_utilization_pct""",
         "FROM s GROUP BY lane_type",
     ),
@@ -604,7 +608,7 @@ ORACLE_SQL: dict[str, str] = {
     "q22_intermodal_candidates": _q(
         f"""lane_id, {LANE} AS lane, lane_miles AS distance_miles, COUNT(*) AS ftl_volume,
         {_round(CPM, 2)} AS current_cpm, {_round(f"{CPM} * 0.8::DOUBLE", 2)} AS est_intermodal_cpm,
-        {_round(_round(f"{CPM} * 0.2::DOUBLE * AVG(distance_miles) * COUNT(*)", 6), 0)} AS est_annual_savings,
+        {_round(_round(f"{CPM} * 0.2::DOUBLE * {MILES} * COUNT(*)", 6), 0)} AS est_annual_savings,
         {_text(lanes.EVALUATE_INTERMODAL)} AS recommendation""",
         """FROM s WHERE service_name = 'FTL' AND lane_miles > 1500 GROUP BY lane_id, lane, lane_miles
         HAVING COUNT(*) >= 100 ORDER BY est_annual_savings DESC, lane_id LIMIT 15""",
@@ -620,7 +624,8 @@ ORACLE_SQL: dict[str, str] = {
         {_pct("n::DOUBLE / SUM(n) OVER ()", 2)} AS pct_of_total,
         {_pct("SUM(n) OVER (ORDER BY r)::DOUBLE / SUM(n) OVER ()")} AS cumulative_pct""",
         """FROM (SELECT shipper_name, ship_volume_tier, COUNT(*) AS n,
-             ROW_NUMBER() OVER (ORDER BY COUNT(*) DESC, shipper_name, ship_volume_tier) AS r FROM s GROUP BY ALL)
+             ROW_NUMBER() OVER (ORDER BY COUNT(*) DESC, shipper_name, ship_volume_tier) AS r
+           FROM s GROUP BY shipper_name, ship_volume_tier)
         ORDER BY r LIMIT 50""",
     ),
     "q25_origin_state_volume": _q(
@@ -647,8 +652,8 @@ ORACLE_SQL: dict[str, str] = {
     "q29_lanes_dwell_spike": _q(
         f"""lane, base AS baseline_dwell_p90, recent AS recent_dwell_p90,
         {_pct("(recent - base) / NULLIF(base, 0)")} AS pct_change, recent_volume""",
-        f"""FROM (SELECT lane_id, {LANE} AS lane, {_p(0.9)} FILTER (WHERE NOT {_since(14)}) AS base,
-              {_p(0.9)} FILTER (WHERE {_since(14)}) AS recent, COUNT(*) FILTER (WHERE {_since(14)}) AS recent_volume
+        f"""FROM (SELECT lane_id, {LANE} AS lane, ROUND(quantile_cont(dwell, 0.9) FILTER (WHERE NOT {_since(14)}), 9) AS base,
+              ROUND(quantile_cont(dwell, 0.9) FILTER (WHERE {_since(14)}), 9) AS recent, COUNT(*) FILTER (WHERE {_since(14)}) AS recent_volume
             FROM s GROUP BY lane_id, lane) WHERE recent > base * 1.5 AND recent_volume >= 10""",
     ),
     "q30_anomaly_summary_14d": _summary("*", 20),
@@ -712,8 +717,8 @@ ORACLE_SQL: dict[str, str] = {
     "v_weekly_kpis_iso": _weekly_view("iso_year"),
     "v_shipper_costtoserve": _q(
         f"""shipper_id, shipper_name, vendor_type, ship_volume_tier, COUNT(*) AS shipment_count, {TOTAL} AS total_cost,
-        {COST} AS avg_cost_per_shipment, {CPM} AS avg_cost_per_mile, AVG(cpp) AS avg_cost_per_pallet,
-        AVG(acc_share) AS accessorial_share, {OTD} AS otd_rate, {DEFECT} AS defect_rate""",
+        {COST} AS avg_cost_per_shipment, {CPM} AS avg_cost_per_mile, {CPP} AS avg_cost_per_pallet,
+        {ACC_SHARE} AS accessorial_share, {OTD} AS otd_rate, {DEFECT} AS defect_rate""",
         "FROM s GROUP BY shipper_id, shipper_name, vendor_type, ship_volume_tier",
     ),
     "v_shipper_health": _q(
@@ -738,7 +743,7 @@ ORACLE_SQL: dict[str, str] = {
           UNION ALL SELECT 'shipper_health', COUNT(DISTINCT shipper_id) FROM s)""",
     ),
     "mom_cost_change": _q(
-        """year, month, total_cost, prev AS prev_month_cost, (total_cost - prev) / prev * 100 AS mom_change_pct""",
+        """year, month, total_cost, prev AS prev_month_cost, ROUND((total_cost - prev) / prev * 100, 9) AS mom_change_pct""",
         f"""FROM (SELECT year, month, {TOTAL} AS total_cost, LAG({TOTAL}) OVER (ORDER BY year, month) AS prev
              FROM s GROUP BY year, month)""",
     ),
@@ -804,8 +809,10 @@ ORACLE_SQL: dict[str, str] = {
     ),
     "pricing_recommendations": _q("*", "FROM recs", _PRICING),
     "whatif_bootstrap_ci": _q(
-        """p.lane_id, p.carrier_id, prim.carrier_id AS current_carrier_id, otp_mean, otp_low, otp_high,
-        otp_mean - prim.otp AS otp_delta_pp, cost_mean, cost_low, cost_high, cost_mean - prim.avg_cost AS cost_delta""",
+        """p.lane_id, p.carrier_id, prim.carrier_id AS current_carrier_id, ROUND(otp_mean, 6) AS otp_mean,
+        ROUND(otp_low, 6) AS otp_low, ROUND(otp_high, 6) AS otp_high, ROUND(otp_mean - prim.otp, 6) AS otp_delta_pp,
+        ROUND(cost_mean, 6) AS cost_mean, ROUND(cost_low, 6) AS cost_low, ROUND(cost_high, 6) AS cost_high,
+        ROUND(cost_mean - prim.avg_cost, 6) AS cost_delta""",
         "FROM pairs p JOIN boot USING (carrier_id) JOIN prim ON p.lane_id = prim.lane_id",
         _PRIMARY + ", " + _BOOT,
     ),

@@ -154,76 +154,98 @@ def _service_id(priority: Column) -> Column:
     )
 
 
-def _on_time_percent(day: Column, carrier: Column, lane: Column) -> Column:
-    weekday = F.weekday(day)
-    base = _by_tier({"Strategic": 95, "Core": 90, "Tactical": 85, "Spot": 78})
-    weekday_dip = (
-        F.when(weekday == 0, 4)
-        .when(weekday == 4, 1)
-        .when(weekday == 5, 3)
-        .when(weekday == 6, 5)
-        .otherwise(0)
-    )
-    december_dip = F.when(day >= day_literal(date(2024, 12, 1)), 5).otherwise(0)
-    august = day.between(day_literal(date(2024, 8, 5)), day_literal(date(2024, 8, 18)))
-    lane_dip = F.when((lane < 3) & august, 40).otherwise(0)
-    carrier_dip = F.when(
-        (carrier % 25 == 8) & (day >= day_literal(date(2024, 12, 3))), 20
-    ).otherwise(0)
-    return base - weekday_dip - december_dip - lane_dip - carrier_dip
-
-
 def _dollars(cents: str) -> Column:
     return (F.col(cents) * F.lit("0.01").cast("decimal(3,2)")).cast("decimal(10,2)")
 
 
-def _minutes(count: Column) -> Column:
-    return F.make_dt_interval(mins=count.cast("int"))
+def _after(timestamp: str, unit: str, count: Column) -> Column:
+    return F.timestamp_add(unit, count.cast("int"), F.col(timestamp))
 
 
-def _hours(count: Column) -> Column:
-    return F.make_dt_interval(hours=count.cast("int"))
-
+def _carrier_rules(spark: SparkSession, path: str) -> DataFrame:
+    """What the carrier adds to each of its shipments, once per carrier."""
+    key = F.col("s_suppkey")
+    return (
+        _table(spark, path, "supplier")
+        .withColumn("carrier_tier", _tier(key))
+        .select(
+            "s_suppkey",
+            "s_nationkey",
+            _by_tier({"Strategic": 95, "Core": 90, "Tactical": 85, "Spot": 78}).alias(
+                "on_time_percent"
+            ),
+            _by_tier({"Strategic": -17, "Core": 0, "Tactical": 12, "Spot": 36}).alias(
+                "carrier_rate"
+            ),
+            F.when(F.col("carrier_tier") == "Spot", 8).otherwise(15).alias("defect_every"),
+            F.when(key % 25 == 8, 20).otherwise(0).alias("carrier_dip"),
+        )
+    )
 
-def _shipments(spark: SparkSession, path: str) -> DataFrame:
-    """Order lines joined to their order, customer region and supplier nation.
 
-    Customers go to orders first, so the widest table is shuffled only once, on
-    the fine-grained order key. No join is forced to broadcast: Spark sends a
-    side to all executors only when its measured size allows it.
-    """
+def _order_rules(spark: SparkSession, path: str) -> DataFrame:
+    """Shipper, destination region and service of each order."""
     nation = _table(spark, path, "nation")
     customer_region = (
         _table(spark, path, "customer")
         .join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
         .select("c_custkey", F.col("n_regionkey").alias("dest_region"))
     )
-    orders = (
+    hours = tuple(s[1] for s in schema.SERVICES)
+    return (
         _table(spark, path, "orders")
         .join(customer_region, F.col("o_custkey") == F.col("c_custkey"))
-        .select("o_orderkey", "o_custkey", "o_orderpriority", "dest_region")
+        .select(
+            "o_orderkey",
+            "o_custkey",
+            "dest_region",
+            _service_id(F.col("o_orderpriority")).alias("service_type_id"),
+        )
+        .withColumn("sla_hours", _pick(F.col("service_type_id") - 1, hours))
     )
-    suppliers = _table(spark, path, "supplier").select("s_suppkey", "s_nationkey")
-    return (
-        _table(spark, path, "lineitem")
-        .join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
-        .join(suppliers, F.col("l_suppkey") == F.col("s_suppkey"))
+
+
+def _day_rules(spark: SparkSession) -> DataFrame:
+    """What the calendar adds to each shipment, once per day of the year."""
+    day, weekday = F.col("date"), F.col("day_of_week")
+
+    def since(start: date) -> Column:
+        return day >= day_literal(start)
+
+    weekday_dip = (
+        F.when(weekday == 0, 4)
+        .when(weekday == 4, 1)
+        .when(weekday == 5, 3)
+        .when(weekday == 6, 5)
+        .otherwise(0)
+    )
+    december_dip = F.when(since(date(2024, 12, 1)), 5).otherwise(0)
+    august = since(date(2024, 8, 5)) & ~since(date(2024, 8, 19))
+    return dim_date(spark, FIRST_DAY, LAST_DAY).select(
+        F.date_diff("date", day_literal(FIRST_DAY)).alias("day_number"),
+        F.col("date_key").alias("shipment_date_key"),
+        F.expr("CAST(date_key div 100 AS INT)").alias("ship_month"),
+        day.cast("timestamp_ntz").alias("day_start"),
+        (weekday_dip + december_dip).alias("day_dip"),
+        F.when(august, 40).otherwise(0).alias("august_dip"),
+        F.when(since(date(2024, 12, 3)), 1).otherwise(0).alias("carrier_dip_on"),
+        F.when(since(date(2024, 12, 18)), 2).otherwise(1).alias("late_dwell"),
+        F.when(F.col("is_peak_season"), 272).otherwise(243).alias("base_rate"),
     )
 
 
-def _fact(spark: SparkSession, path: str) -> DataFrame:
-    day, tier = F.col("ship_date"), F.col("carrier_tier")
-    lane, h, pc, qty = F.col("lane_id"), F.col("h"), F.col("pc"), F.col("qty")
-    day_number = F.unix_date(F.col("l_shipdate").cast("date"))
-    base = _shipments(spark, path).select(
-        F.concat_ws("-", F.col("l_orderkey"), F.col("l_linenumber")).alias("shipment_id"),
-        F.date_add(day_literal(FIRST_DAY), day_number % 366).alias("ship_date"),
+def _lines(spark: SparkSession, path: str) -> DataFrame:
+    """Order lines with everything their order, carrier and day decide.
+
+    Customers go to orders first, so the widest table is shuffled only once, on
+    the fine-grained order key. No join is forced to broadcast: Spark sends a
+    side to all executors only when its measured size allows it.
+    """
+    day_number = F.unix_date(F.col("l_shipdate").cast("date")) % 366
+    lines = _table(spark, path, "lineitem").select(
+        F.concat_ws("-", "l_orderkey", "l_linenumber").alias("shipment_id"),
+        "l_orderkey",
         F.col("l_suppkey").alias("carrier_id"),
-        (F.col("s_nationkey").cast("bigint") * _REGIONS + F.col("dest_region")).alias(
-            "lane_id"
-        ),
-        F.col("o_custkey").alias("shipper_id"),
-        _service_id(F.col("o_orderpriority")).alias("service_type_id"),
         (
             F.col("l_orderkey") * 31
             + F.col("l_partkey") * 17
@@ -232,81 +254,89 @@ def _fact(spark: SparkSession, path: str) -> DataFrame:
         ).alias("h"),
         F.round(F.col("l_extendedprice") * 100).cast("bigint").alias("pc"),
         F.col("l_quantity").cast("int").alias("qty"),
-        F.col("l_returnflag").alias("returnflag"),
-        _tier(F.col("l_suppkey")).alias("carrier_tier"),
+        (F.col("l_returnflag") == "R").alias("returned"),
+        day_number.alias("day_number"),
     )
-    flagged = base.withColumns(
+    orders = _order_rules(spark, path)
+    carriers = _carrier_rules(spark, path)
+    return (
+        lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
+        .join(carriers, F.col("carrier_id") == F.col("s_suppkey"))
+        .join(_day_rules(spark), "day_number")
+        .withColumn(
+            "lane_id",
+            F.col("s_nationkey").cast("bigint") * _REGIONS + F.col("dest_region"),
+        )
+        .drop("l_orderkey", "o_orderkey", "s_suppkey", "s_nationkey", "dest_region")
+    )
+
+
+def _fact(lines: DataFrame) -> DataFrame:
+    lane, h, pc, qty = F.col("lane_id"), F.col("h"), F.col("pc"), F.col("qty")
+    late_dwell = F.when(lane % 10 == 3, F.col("late_dwell")).otherwise(1)
+    lane_dip = F.when(lane < 3, F.col("august_dip")).otherwise(0)
+    chance = (
+        F.col("on_time_percent")
+        - F.col("day_dip")
+        - lane_dip
+        - F.col("carrier_dip") * F.col("carrier_dip_on")
+    )
+    rate = F.col("base_rate") + F.col("carrier_rate") + pc % 60
+    shaped = lines.withColumns(
         {
-            "on_time_pickup": h % 100 < _on_time_percent(day, F.col("carrier_id"), lane),
+            "on_time_pickup": h % 100 < chance,
             "on_time_delivery": pc % 100 < 96,
-            "pickup_appt_ts": day.cast("timestamp_ntz") + _hours(6 + h % 14),
-            "defect_flag": (F.col("returnflag") == "R")
-            & (h % F.when(tier == "Spot", 8).otherwise(15) == 0),
+            "pickup_appt_ts": _after("day_start", "HOUR", 6 + h % 14),
+            "defect_flag": F.col("returned") & (h % F.col("defect_every") == 0),
             "distance_miles": _lane_miles(lane),
-            "late_dwell": F.when(
-                (lane % 10 == 3) & (day >= day_literal(date(2024, 12, 18))), 2
-            ).otherwise(1),
-            "rate": F.lit(243)
-            + _by_tier({"Strategic": -17, "Core": 0, "Tactical": 12, "Spot": 36})
-            + F.when(F.month(day) >= 10, 29).otherwise(0)
-            + pc % 60,
         }
-    )
-    timed = flagged.withColumns(
+    ).withColumns(
         {
-            "delivery_appt_ts": F.col("pickup_appt_ts")
-            + _hours(
-                _pick(
-                    F.col("service_type_id") - 1, tuple(s[1] for s in schema.SERVICES)
-                )
-            ),
-            "linehaul_cents": F.col("distance_miles").cast("bigint") * F.col("rate"),
+            "delivery_appt_ts": _after("pickup_appt_ts", "HOUR", F.col("sla_hours")),
+            "linehaul_cents": F.col("distance_miles").cast("bigint") * rate,
         }
     )
-    costed = timed.withColumns(
-        {
-            "fuel_cents": F.expr("linehaul_cents * 20 div 100"),
-            "accessorial_cents": F.expr(
-                "linehaul_cents * (CASE WHEN h % 400 = 0 THEN 60 ELSE pc % 30 END) div 100"
-            ),
-        }
-    ).withColumn(
-        "total_cents",
-        F.col("linehaul_cents") + F.col("fuel_cents") + F.col("accessorial_cents"),
+    accessorial_pct = F.when(h % 400 == 0, 60).otherwise(pc % 30)
+    costed = (
+        shaped.withColumn("accessorial_pct", accessorial_pct)
+        .withColumns(
+            {
+                "fuel_cents": F.expr("linehaul_cents * 20 div 100"),
+                "accessorial_cents": F.expr("linehaul_cents * accessorial_pct div 100"),
+            }
+        )
+        .withColumn(
+            "total_cents",
+            F.col("linehaul_cents") + F.col("fuel_cents") + F.col("accessorial_cents"),
+        )
     )
     pickup_delay = F.when(F.col("on_time_pickup"), h % 16).otherwise(16 + h % 160)
     delivery_delay = F.when(F.col("on_time_delivery"), -(pc % 600)).otherwise(
         16 + pc % 600
     )
     early = -(1 + pc % 29)
-    wait = 5 + F.expr("(pc % 100) * (pc % 100) div (40 + 20 * (lane_id % 3))") * F.col(
-        "late_dwell"
-    )
-    reason = _pick(qty % 7, schema.DEFECT_REASONS)
+    wait = 5 + F.expr("(pc % 100) * (pc % 100) div (40 + 20 * (lane_id % 3))") * late_dwell
+    reasons = F.array(*[F.lit(r) for r in schema.DEFECT_REASONS])
     return costed.select(
         "shipment_id",
-        (F.year(day) * 10000 + F.month(day) * 100 + F.dayofmonth(day)).alias(
-            "shipment_date_key"
-        ),
+        "shipment_date_key",
         "carrier_id",
         "lane_id",
-        "shipper_id",
+        F.col("o_custkey").alias("shipper_id"),
         "service_type_id",
         "pickup_appt_ts",
-        F.when(h % 250 != 0, F.col("pickup_appt_ts") + _minutes(pickup_delay)).alias(
+        F.when(h % 250 != 0, _after("pickup_appt_ts", "MINUTE", pickup_delay)).alias(
             "pickup_actual_ts"
         ),
         "delivery_appt_ts",
-        (F.col("delivery_appt_ts") + _minutes(delivery_delay)).alias(
-            "delivery_actual_ts"
-        ),
+        _after("delivery_appt_ts", "MINUTE", delivery_delay).alias("delivery_actual_ts"),
         "on_time_pickup",
         "on_time_delivery",
         F.when(pc % 1000 == 7, early).otherwise(wait).cast("double").alias(
             "dwell_minutes"
         ),
         "defect_flag",
-        F.when(F.col("defect_flag"), reason).alias("defect_reason"),
+        F.when(F.col("defect_flag"), F.get(reasons, qty % 7)).alias("defect_reason"),
         (0.2 + qty * 0.8 / 50).alias("trailer_utilization_pct"),
         "distance_miles",
         (qty * 900).cast("double").alias("weight_lbs"),
@@ -315,13 +345,23 @@ def _fact(spark: SparkSession, path: str) -> DataFrame:
         _dollars("fuel_cents").alias("fuel_surcharge_usd"),
         _dollars("accessorial_cents").alias("accessorial_cost_usd"),
         _dollars("total_cents").alias("total_cost_usd"),
+        "ship_month",
     )
 
 
-def derive_star(spark: SparkSession, path: str) -> Star:
-    """The freight star over the order-line tables in ``path`` (lazy)."""
+def derive_star(spark: SparkSession, path: str, *, by_month: bool = False) -> Star:
+    """The freight star over the order-line tables in ``path`` (lazy).
+
+    ``by_month`` lays the fact out for a table partitioned by month. The lines
+    are rebalanced while they are still narrow, before the fact columns are
+    computed; adaptive execution splits a heavy month over several tasks.
+    """
+    lines = _lines(spark, path)
+    if by_month:
+        lines = lines.hint("rebalance", F.col("ship_month"))
+    fact = _fact(lines)
     return Star(
-        fact=_fact(spark, path),
+        fact=fact if by_month else fact.drop("ship_month"),
         carrier=_carriers(spark, path),
         lane=_lanes(spark, path),
         shipper=_shippers(spark, path),

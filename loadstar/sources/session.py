@@ -13,7 +13,7 @@ from loadstar.sources.warehouse import read_star, write_star
 from loadstar.star import Star
 
 _FOLDER = "spark.checkpoint.dir"
-_built: dict[tuple[str, str], str] = {}
+_stars: dict[tuple[str, str], Star] = {}
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -43,12 +43,13 @@ def session_star(spark: SparkSession, path: str) -> Star:
     wide joins run once instead of once per query, and a lost executor costs a
     re-read, not a rebuild. Elsewhere the star stays part of each plan.
     """
-    if not spark.conf.get(_FOLDER, None):
-        return derive_star(spark, path)
     key = (spark.sparkContext.applicationId, path)
-    if key not in _built:
-        digest = hashlib.sha256(path.encode()).hexdigest()[:12]
-        target = new_folder(spark, f"star-{digest}")
-        write_star(derive_star(spark, path), target)
-        _built[key] = target
-    return read_star(spark, _built[key])
+    if key not in _stars:
+        if spark.conf.get(_FOLDER, None):
+            digest = hashlib.sha256(path.encode()).hexdigest()[:12]
+            target = new_folder(spark, f"star-{digest}")
+            write_star(derive_star(spark, path, by_month=True), target)
+            _stars[key] = read_star(spark, target)
+        else:
+            _stars[key] = derive_star(spark, path)
+    return _stars[key]

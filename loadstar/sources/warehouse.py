@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from loadstar import schema
 from loadstar.star import Star
@@ -40,9 +41,18 @@ def read_csv_star(spark: SparkSession, path: str, *, validate: bool = False) ->
 
 
 def read_star(spark: SparkSession, path: str, *, validate: bool = False) -> Star:
-    """A star written by :func:`write_star`."""
+    """A star written by :func:`write_star`; no file is opened to learn its layout."""
+    layouts = {
+        **schema.TABLES,
+        "fact_shipment": T.StructType(
+            [*schema.FACT.fields, T.StructField("ship_month", T.IntegerType())]
+        ),
+    }
     star = _star(
-        {name: spark.read.parquet(f"{path}/{name}") for name in schema.TABLES}
+        {
+            name: spark.read.schema(layout).parquet(f"{path}/{name}")
+            for name, layout in layouts.items()
+        }
     )
     return _checked(star) if validate else star
 
@@ -60,8 +70,9 @@ def _checked(star: Star) -> Star:
 def write_star(star: Star, path: str) -> None:
     """Write the star as Parquet, dimensions first, the fact one folder per month.
 
-    The rebalance hint lets adaptive execution split a heavy month over many
-    tasks and merge light ones, so file sizes stay even under skew.
+    A fact that already carries ``ship_month`` is taken as laid out; any other is
+    rebalanced, so that a heavy month is split over many tasks, light ones are
+    merged and file sizes stay even under skew.
     """
     for name, table in star.tables().items():
         if name == "fact_shipment":
@@ -70,12 +81,11 @@ def write_star(star: Star, path: str) -> None:
     fact = star.fact
     if "ship_month" not in fact.columns:
         month = F.expr("CAST(shipment_date_key div 100 AS INT)")
-        fact = fact.withColumn("ship_month", month)
-    (
-        fact.hint("rebalance", F.col("ship_month"))
-        .write.mode("errorifexists")
-        .partitionBy("ship_month")
-        .parquet(f"{path}/fact_shipment")
+        fact = fact.withColumn("ship_month", month).hint(
+            "rebalance", F.col("ship_month")
+        )
+    fact.write.mode("errorifexists").partitionBy("ship_month").parquet(
+        f"{path}/fact_shipment"
     )
 
 
