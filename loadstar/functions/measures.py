@@ -9,11 +9,13 @@ fact itself is therefore never joined and never shuffled row by row.
 from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loadstar.functions.numeric import ratio, settled
+from loadstar.schema import FOREIGN_KEYS
 
 _COST_PER_MILE = ratio("total_cost_usd", "distance_miles")
 _COST_PER_PALLET = ratio("total_cost_usd", "pallet_count")
@@ -106,10 +108,21 @@ def parts_of(kpis: Iterable[str]) -> list[str]:
     return list(parts)
 
 
+def linked(fact: DataFrame, *keys: str) -> DataFrame:
+    """Fact rows whose foreign keys among ``keys`` are filled.
+
+    The joins to the dimensions drop the others anyway. Saying so at the scan
+    gives every branch of a plan the same filter, so that branches which differ
+    only in their later joins still share one scan and one shuffle.
+    """
+    filled = [F.col(k).isNotNull() for k in keys if k in FOREIGN_KEYS]
+    return fact.where(reduce(Column.__and__, filled)) if filled else fact
+
+
 def gather(fact: DataFrame, keys: Sequence[str], kpis: Iterable[str]) -> DataFrame:
     """Parts of ``kpis`` per fact key: one pass with partial aggregation."""
     aggs = [PARTS[p].alias(p) for p in parts_of(kpis)]
-    return fact.groupBy(*keys).agg(*aggs)
+    return linked(fact, *keys).groupBy(*keys).agg(*aggs)
 
 
 def _merge_part(part: str) -> Column:

@@ -12,6 +12,7 @@ from loadstar.functions.measures import PARTS, gather, kpi, merge, parts_of
 from loadstar.functions.numeric import half_even, percent, ratio, rounded, settled
 from loadstar.operators.network import by_week
 from loadstar.operators.ordered import percentiles
+from loadstar.schema import NETWORK_OTP_TARGET_PCT
 from loadstar.star import Star, lane_label
 
 # Texts that appear in results.
@@ -176,7 +177,10 @@ def iqr_cost_anomalies(star: Star, *, k: float = 1.5, min_n: int = 3) -> DataFra
     daily = (
         gather(
             star.fact.where(F.col("distance_miles") > 0).join(
-                star.lane.select("lane_id", "lane_type"), "lane_id"
+                star.lane.select("lane_id", "lane_type").where(
+                    F.col("lane_type").isNotNull()
+                ),
+                "lane_id",
             ),
             ["carrier_id", "lane_type", "shipment_date_key"],
             kpis,
@@ -277,35 +281,34 @@ def briefing_rows(
             note.alias("note"),
         )
 
-    nothing, no_text = F.lit(None), F.lit(None).cast("string")
-    today_col = day_literal(today)
-    otp = rows(
-        recent,
-        "headline",
-        F.lit("network OTP %"),
-        today_col,
-        percent(kpi("otp_rate")),
-        F.lit(90.0),
-        nothing,
-        no_text,
+    lines = F.array(
+        F.struct(
+            F.lit("network OTP %").alias("subject"),
+            percent(kpi("otp_rate")).alias("value"),
+            F.lit(NETWORK_OTP_TARGET_PCT).alias("against"),
+        ),
+        F.struct(
+            F.lit("average cost per shipment").alias("subject"),
+            rounded(kpi("avg_cost")).alias("value"),
+            F.lit(None).cast("double").alias("against"),
+        ),
     )
-    cost = rows(
-        recent,
+    headline = rows(
+        recent.select(F.inline(lines)),
         "headline",
-        F.lit("average cost per shipment"),
-        today_col,
-        rounded(kpi("avg_cost")),
-        nothing,
-        nothing,
-        no_text,
+        F.col("subject"),
+        day_literal(today),
+        F.col("value"),
+        F.col("against"),
+        F.lit(None),
+        F.lit(None).cast("string"),
     )
     flags = anomalies_filtered(
         zscore_otp_anomalies(star, week_key=week_key), limit=zscore_limit
     ).join(star.lane, "lane_id")
     outliers = cost_anomalies_filtered(iqr_cost_anomalies(star), limit=iqr_limit)
     return (
-        otp.unionByName(cost)
-        .unionByName(
+        headline.unionByName(
             rows(
                 flags,
                 "zscore",

@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loadstar.functions.measures import gather
+from loadstar.functions.measures import gather, linked
 from loadstar.functions.numeric import ratio, settled
 from loadstar.operators.lanes import lane_primary_carrier
-from loadstar.operators.ordered import BUCKETS, running_totals
+from loadstar.operators.ordered import running_totals
 from loadstar.star import Star
 
 # Constants of a well-known 32-bit integer mixer.
@@ -29,7 +29,7 @@ def _next(state: Column, step: Column) -> Column:
     return _mix((state + step).bitwiseAND(F.lit(_MASK_32)))
 
 
-def _history(star: Star) -> DataFrame:
+def _history(fact: DataFrame) -> DataFrame:
     """Per carrier: distinct (cost, on time) outcomes with their rank interval.
 
     An outcome is coded as cents x 2 + on-time flag, so equal shipments collapse
@@ -37,7 +37,7 @@ def _history(star: Star) -> DataFrame:
     """
     cents = (F.col("total_cost_usd") * 100).cast("bigint")
     flag = F.col("on_time_pickup").cast("bigint")
-    outcomes = star.fact.select(
+    outcomes = linked(fact, "carrier_id").select(
         "carrier_id", (cents * 2 + flag).alias("outcome"), F.lit(1).alias("shipments")
     )
     return running_totals(outcomes, ["carrier_id"], "outcome", "shipments")
@@ -46,67 +46,68 @@ def _history(star: Star) -> DataFrame:
 def carrier_bootstrap(
     star: Star,
     *,
+    carriers: DataFrame | None = None,
     reps: int = 1000,
     draw: int = 100,
     min_n: int = 30,
     ci: float = 0.95,
     seed: int = 42,
-    blocks: int = BUCKETS,
 ) -> DataFrame:
     """Bootstrap mean and interval of OTP % and cost for every carrier.
 
     Each of ``reps`` resamples draws ``draw`` shipments (fewer for carriers with
-    fewer) with replacement from the carrier's whole history. A draw is a rank;
-    ranks find their outcome by a sorted merge inside (carrier, rank block), so
-    the history of one carrier is spread over ``blocks`` tasks and never copied
-    per resample. Draws come from a hash of carrier, resample and position:
-    a task that runs twice draws the same.
+    fewer) with replacement from the carrier's whole history. A draw is a rank.
+    The ranks of a carrier are cut into as many blocks as it has draws, and a
+    draw meets the outcomes of its own block only: the history is spread over
+    all blocks and read about once, however large, and never copied per
+    resample. Draws come from a hash of carrier, resample and position, so a
+    task that runs twice draws the same. ``carriers`` limits the work to the
+    given carrier ids.
     """
-    history = _history(star).where(F.col("weight_total") >= min_n)
+    fact = star.fact
+    if carriers is not None:
+        fact = fact.join(carriers.select("carrier_id"), "carrier_id", "left_semi")
 
     def block(rank: Column, total: Column) -> Column:
-        return F.floor(rank.cast("double") / total * blocks).cast("int")
+        blocks = F.least(total, F.lit(reps * draw).cast("bigint"))
+        return F.floor(rank * blocks / total).cast("bigint")
 
-    total = F.col("weight_total")
-    first = F.col("weight_before")
+    total, first = F.col("weight_total"), F.col("weight_before")
     last = first + F.col("weight_here") - 1
-    known = history.select(
-        "carrier_id",
-        F.explode(F.sequence(block(first, total), block(last, total))).alias("block"),
-        first.alias("rank"),
-        F.lit(None).cast("int").alias("rep"),
-        "outcome",
+    known = (
+        _history(fact)
+        .where(total >= min_n)
+        .select(
+            "carrier_id",
+            F.explode(F.sequence(block(first, total), block(last, total))).alias("block"),
+            first.alias("first"),
+            last.alias("last"),
+            "outcome",
+        )
     )
-    carriers = gather(star.fact, ["carrier_id"], ["n"]).where(F.col("n") >= min_n)
+    sizes = gather(fact, ["carrier_id"], ["n"]).where(F.col("n") >= min_n)
     size = F.least(F.lit(draw), F.col("n")).cast("int")
+    # a few small rows are about to become reps x draw rows each: spread the
+    # resamples first, with a fixed count that is not merged back for being small
+    tasks = int(fact.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     seeded = _next(F.lit(seed).cast("bigint"), F.col("carrier_id"))
     rank = F.floor(F.col("state") / F.lit(_RANGE_32) * F.col("n")).cast("bigint")
     draws = (
-        carriers.withColumn("state", seeded)
+        sizes.withColumn("state", seeded)
         .withColumn("rep", F.explode(F.sequence(F.lit(0), F.lit(reps - 1))))
+        .repartition(tasks, "carrier_id", "rep")
         .withColumn("state", _next(F.col("state"), F.col("rep")))
         .withColumn("pick", F.explode(F.sequence(F.lit(1), size)))
         .withColumn("state", _next(F.col("state"), F.col("pick")))
-        .select("carrier_id", rank.alias("rank"), "n", "rep")
-        .select(
-            "carrier_id",
-            block(F.col("rank"), F.col("n")).alias("block"),
-            "rank",
-            "rep",
-            F.lit(None).cast("bigint").alias("outcome"),
-        )
-    )
-    merged = Window.partitionBy("carrier_id", "block").orderBy(
-        "rank", F.asc_nulls_first("rep")
+        .select("carrier_id", "rep", "n", rank.alias("rank"))
+        .select("carrier_id", "rep", "rank", block(F.col("rank"), F.col("n")).alias("block"))
     )
-    found = (
-        known.unionByName(draws)
-        .withColumn("found", F.last("outcome", ignorenulls=True).over(merged))
-        .where(F.col("rep").isNotNull())
+    found = draws.join(known, ["carrier_id", "block"]).where(
+        F.col("rank").between(F.col("first"), F.col("last"))
     )
     means = found.groupBy("carrier_id", "rep").agg(
-        (ratio(F.sum(F.col("found") % 2), F.count("found")) * 100).alias("otp"),
-        (ratio(F.sum(F.shiftright("found", 1)), F.count("found")) / 100).alias("cost"),
+        (ratio(F.sum(F.col("outcome") % 2), F.count("outcome")) * 100).alias("otp"),
+        (ratio(F.sum(F.shiftright("outcome", 1)), F.count("outcome")) / 100).alias("cost"),
     )
     low, high = 0.5 - ci / 2, 0.5 + ci / 2
     # one value per resample and carrier, so the exact percentile stays small
@@ -136,6 +137,7 @@ def whatif_bootstrap_ci(
     every pair the network has shipped. Deltas are against the lane's primary
     carrier on that lane.
     """
+    carriers = None if candidates is None else candidates.select("carrier_id").distinct()
     if candidates is None:
         candidates = gather(star.fact, ["lane_id", "carrier_id"], ["n"])
     primary = lane_primary_carrier(star).select(
@@ -145,7 +147,7 @@ def whatif_bootstrap_ci(
         F.col("avg_cost").alias("current_cost"),
     )
     projected = carrier_bootstrap(
-        star, reps=reps, draw=draw, min_n=min_n, ci=ci, seed=seed
+        star, carriers=carriers, reps=reps, draw=draw, min_n=min_n, ci=ci, seed=seed
     )
     return (
         candidates.select("lane_id", "carrier_id")
@@ -156,7 +158,7 @@ def whatif_bootstrap_ci(
             "carrier_id",
             "current_carrier_id",
             *[
-                settled(value, 6).alias(name)
+                settled(value).alias(name)
                 for name, value in {
                     "otp_mean": F.col("otp_mean"),
                     "otp_low": F.col("otp_low"),

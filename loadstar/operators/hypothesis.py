@@ -89,10 +89,9 @@ def chi_square_independence(
         F.sum(F.when(F.col(flag_col), rows).otherwise(0)).alias("yes"),
         F.sum(F.when(F.col(flag_col), 0).otherwise(rows)).alias("no"),
     )
-    yes_all = observed.agg(F.sum("yes")).scalar().cast("double")
-    all_rows = observed.agg(F.sum(F.col("yes") + F.col("no"))).scalar()
     here = F.col("yes") + F.col("no")
-    expected_yes = here * F.try_divide(yes_all, all_rows)
+    share_of_yes = observed.agg(ratio(F.sum("yes"), F.sum(here))).scalar()
+    expected_yes = here * share_of_yes
     expected = observed.select(
         "yes",
         "no",

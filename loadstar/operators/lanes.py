@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from datetime import date, timedelta
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from loadstar.functions.measures import gather, kpi, merge
+from loadstar.functions.measures import gather, kpi, linked, merge
 from loadstar.functions.numeric import percent, ratio, rounded
 from loadstar.operators.ordered import percentiles
 from loadstar.schema import BENCHMARK_CPM
@@ -33,10 +33,10 @@ def _service_lanes(star: Star, service: str, kpis: list[str]) -> DataFrame:
     ).join(star.lane, "lane_id")
 
 
-def positive_dwell(fact: DataFrame, *keys) -> DataFrame:
-    """``keys`` with dwell minutes, NULL unless positive, one row per shipment."""
+def positive_dwell(fact: DataFrame, key: str, *extra: Column) -> DataFrame:
+    """A foreign key with dwell minutes, NULL unless positive, per shipment."""
     minutes = F.when(F.col("dwell_minutes") > 0, F.col("dwell_minutes"))
-    return fact.select(*keys, minutes.alias("minutes"), F.lit(1).alias("shipments"))
+    return linked(fact, key).select(key, *extra, minutes.alias("minutes"), F.lit(1).alias("shipments"))
 
 
 def top_lanes_by_volume(star: Star, *, limit: int = 10) -> DataFrame:
@@ -249,10 +249,10 @@ def origin_state_volume(star: Star) -> DataFrame:
 def inbound_node_balance(star: Star) -> DataFrame:
     """Volume share and service level per destination node."""
     kpis = ["shipment_count", "otp_rate", "avg_dwell", "avg_cost"]
-    lanes = _per_lane(star, kpis)
-    total = lanes.agg(F.sum("n")).scalar()
+    # one row per destination node is left when the total is taken
+    total = F.sum("n").over(Window.partitionBy())
     return (
-        merge(lanes, ["dest_fc_id", "dest_city", "dest_state"], kpis)
+        merge(_per_lane(star, kpis), ["dest_fc_id", "dest_city", "dest_state"], kpis)
         .select(
             "dest_fc_id",
             F.concat_ws(", ", "dest_city", "dest_state").alias("fc_location"),

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from loadstar.functions.calendar import week_year
-from loadstar.functions.measures import gather, kpi, merge
+from loadstar.functions.measures import gather, kpi, linked, merge
 from loadstar.functions.numeric import percent, ratio, rounded, settled
 from loadstar.operators.ordered import percentiles
 from loadstar.schema import DAY_NAMES, NETWORK_OTP_TARGET_PCT, PEAK_MONTHS
@@ -147,16 +147,16 @@ def late_pickup_cascade(star: Star) -> DataFrame:
     )
 
 
-def _pareto(df: DataFrame, size: str) -> tuple[Column, Column]:
+def _pareto(size: str) -> tuple[Column, Column]:
     """Share and running share (ties together) of ``size`` over a category list.
 
-    The rows are one per defect reason, a short fixed vocabulary, so a single
-    ordered window is enough here.
+    For rows that are one per defect reason, a short fixed vocabulary, so plain
+    windows over all of them are enough.
     """
-    total = df.agg(F.sum(size)).scalar()
     largest = Window.orderBy(F.desc(size)).rangeBetween(
         Window.unboundedPreceding, Window.currentRow
     )
+    total = F.sum(size).over(Window.partitionBy())
     return (
         percent(ratio(size, total)),
         percent(ratio(F.sum(size).over(largest), total)),
@@ -169,7 +169,7 @@ def defect_reason_pareto(star: Star) -> DataFrame:
         .groupBy("defect_reason")
         .agg(F.count(F.lit(1)).alias("defect_count"))
     )
-    share, running = _pareto(reasons, "defect_count")
+    share, running = _pareto("defect_count")
     return reasons.select(
         "defect_reason",
         "defect_count",
@@ -186,7 +186,7 @@ def accessorial_pareto(star: Star) -> DataFrame:
     reasons = gather(
         charged.select(reason, "accessorial_cost_usd"), ["reason"], kpis
     )
-    share, running = _pareto(reasons, "accessorial_sum")
+    share, running = _pareto("accessorial_sum")
     return reasons.select(
         "reason",
         kpi("shipment_count").alias("shipment_count"),
@@ -253,9 +253,10 @@ def cost_per_pallet_by_service(star: Star) -> DataFrame:
 def utilization_by_service(star: Star) -> DataFrame:
     """Mean, quartiles and under-half share of trailer utilisation per service."""
     fill = (
-        star.fact.groupBy("service_type_id", "trailer_utilization_pct")
+        linked(star.fact, "service_type_id")
+        .groupBy("service_type_id", "trailer_utilization_pct")
         .agg(F.count(F.lit(1)).alias("shipments"))
-        .join(star.service, "service_type_id")
+        .join(star.service.where(F.col("service_name").isNotNull()), "service_type_id")
     )
     quartiles = percentiles(
         fill,

@@ -35,8 +35,19 @@ def _value_counts(
     )
 
 
-def _with_bucket(counts: DataFrame, buckets: int) -> DataFrame:
-    cuts = counts.agg(
+def _all_used(counts: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """``counts`` with a condition that always holds but reads ``columns``.
+
+    Without it the optimiser drops these columns from one branch of the plan,
+    the branches stop sharing a shuffle, and the input is read once per branch.
+    """
+    return counts.where(F.greatest(*columns, F.lit(0)) >= 0) if columns else counts
+
+
+def _with_bucket(
+    counts: DataFrame, buckets: int, carry: Sequence[str] = ()
+) -> DataFrame:
+    cuts = _all_used(counts, ["_w", *carry]).agg(
         F.percentile_approx("_v", [i / buckets for i in range(1, buckets)], 50 * buckets)
     ).scalar()
     below = F.size(F.filter(F.col("_cuts"), lambda cut: cut < F.col("_v")))
@@ -101,9 +112,9 @@ def running_totals(
         "_signed", F.col(value) * F.lit(sign)
     )
     counts = _with_bucket(
-        _value_counts(known, keys, "_signed", weight, carry), buckets
+        _value_counts(known, keys, "_signed", weight, carry), buckets, carry
     )
-    offsets = _bucket_offsets(counts, keys).drop("_rows")
+    offsets = _bucket_offsets(_all_used(counts, carry), keys).drop("_rows")
     inside = (
         Window.partitionBy(*keys, "_b")
         .orderBy("_v")

@@ -45,12 +45,13 @@ def fk_orphans(
 ) -> DataFrame:
     """Fact rows without a dimension row, one result row per foreign key.
 
-    Rows are counted per key value first, so the anti join sees each key once.
+    Rows are counted per key value first, so the anti join sees each key once. A
+    NULL key counts as an orphan.
     """
     tables = star.tables()
     checks = []
     for column, (table, key) in foreign_keys.items():
-        used = gather(star.fact, [column], ["n"])
+        used = star.fact.groupBy(column).agg(F.count(F.lit(1)).alias("n"))
         keys = tables[table].select(F.col(key).alias(column))
         orphans = used.join(keys, column, "left_anti").agg(
             F.coalesce(F.sum("n"), F.lit(0)).alias("orphans")

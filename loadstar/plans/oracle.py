@@ -809,10 +809,10 @@ ORACLE_SQL: dict[str, str] = {
     ),
     "pricing_recommendations": _q("*", "FROM recs", _PRICING),
     "whatif_bootstrap_ci": _q(
-        """p.lane_id, p.carrier_id, prim.carrier_id AS current_carrier_id, ROUND(otp_mean, 6) AS otp_mean,
-        ROUND(otp_low, 6) AS otp_low, ROUND(otp_high, 6) AS otp_high, ROUND(otp_mean - prim.otp, 6) AS otp_delta_pp,
-        ROUND(cost_mean, 6) AS cost_mean, ROUND(cost_low, 6) AS cost_low, ROUND(cost_high, 6) AS cost_high,
-        ROUND(cost_mean - prim.avg_cost, 6) AS cost_delta""",
+        """p.lane_id, p.carrier_id, prim.carrier_id AS current_carrier_id, ROUND(otp_mean, 9) AS otp_mean,
+        ROUND(otp_low, 9) AS otp_low, ROUND(otp_high, 9) AS otp_high, ROUND(otp_mean - prim.otp, 9) AS otp_delta_pp,
+        ROUND(cost_mean, 9) AS cost_mean, ROUND(cost_low, 9) AS cost_low, ROUND(cost_high, 9) AS cost_high,
+        ROUND(cost_mean - prim.avg_cost, 9) AS cost_delta""",
         "FROM pairs p JOIN boot USING (carrier_id) JOIN prim ON p.lane_id = prim.lane_id",
         _PRIMARY + ", " + _BOOT,
     ),
