@@ -8,7 +8,7 @@ fact itself is therefore never joined and never shuffled row by row.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Callable, Iterable, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -17,67 +17,90 @@ from pyspark.sql import functions as F
 from loadstar.functions.numeric import ratio, settled
 from loadstar.schema import FOREIGN_KEYS
 
-_COST_PER_MILE = ratio("total_cost_usd", "distance_miles")
-_COST_PER_PALLET = ratio("total_cost_usd", "pallet_count")
-_ACCESSORIAL_SHARE = ratio("accessorial_cost_usd", "total_cost_usd")
-_POSITIVE_DWELL = F.when(F.col("dwell_minutes") > 0, F.col("dwell_minutes"))
-_NEGATIVE_DWELL = F.when(F.col("dwell_minutes") < 0, F.col("dwell_minutes"))
+def _cost_per_mile() -> Column:
+    return ratio("total_cost_usd", "distance_miles")
+
+
+def _cost_per_pallet() -> Column:
+    return ratio("total_cost_usd", "pallet_count")
+
+
+def _accessorial_share() -> Column:
+    return ratio("accessorial_cost_usd", "total_cost_usd")
+
+
+def _positive_dwell() -> Column:
+    return F.when(F.col("dwell_minutes") > 0, F.col("dwell_minutes"))
+
+
+def _negative_dwell() -> Column:
+    return F.when(F.col("dwell_minutes") < 0, F.col("dwell_minutes"))
+
 
 # part name -> aggregate over fact rows
-PARTS: dict[str, Column] = {
-    "n": F.count(F.lit(1)),
-    "on_time": F.count_if(F.col("on_time_pickup")),
-    "delivered_on_time": F.count_if(F.col("on_time_delivery")),
-    "defects": F.count_if(F.col("defect_flag")),
-    "dwell_sum": F.sum(_POSITIVE_DWELL),
-    "dwell_n": F.count(_POSITIVE_DWELL),
-    "early_n": F.count(_NEGATIVE_DWELL),
-    "early_sum": F.sum(_NEGATIVE_DWELL),
-    "early_min": F.min(_NEGATIVE_DWELL),
-    "util_sum": F.sum("trailer_utilization_pct"),
-    "util_under_half": F.count_if(F.col("trailer_utilization_pct") < 0.5),
-    "weight_sum": F.sum("weight_lbs"),
-    "pallet_sum": F.sum("pallet_count"),
-    "miles_sum": F.sum("distance_miles"),
-    "cost_sum": F.sum("total_cost_usd"),
-    "linehaul_sum": F.sum("linehaul_cost_usd"),
-    "accessorial_sum": F.sum("accessorial_cost_usd"),
-    "cpm_sum": F.sum(_COST_PER_MILE),
-    "cpm_n": F.count(_COST_PER_MILE),
-    "cpm_min": F.min(_COST_PER_MILE),
-    "cpm_max": F.max(_COST_PER_MILE),
-    "cpp_sum": F.sum(_COST_PER_PALLET),
-    "cpp_n": F.count(_COST_PER_PALLET),
-    "acc_share_sum": F.sum(_ACCESSORIAL_SHARE),
-    "acc_share_n": F.count(_ACCESSORIAL_SHARE),
+_PARTS: dict[str, Callable[[], Column]] = {
+    "n": lambda: F.count(F.lit(1)),
+    "on_time": lambda: F.count_if(F.col("on_time_pickup")),
+    "delivered_on_time": lambda: F.count_if(F.col("on_time_delivery")),
+    "defects": lambda: F.count_if(F.col("defect_flag")),
+    "dwell_sum": lambda: F.sum(_positive_dwell()),
+    "dwell_n": lambda: F.count(_positive_dwell()),
+    "early_n": lambda: F.count(_negative_dwell()),
+    "early_sum": lambda: F.sum(_negative_dwell()),
+    "early_min": lambda: F.min(_negative_dwell()),
+    "util_sum": lambda: F.sum("trailer_utilization_pct"),
+    "util_under_half": lambda: F.count_if(F.col("trailer_utilization_pct") < 0.5),
+    "weight_sum": lambda: F.sum("weight_lbs"),
+    "pallet_sum": lambda: F.sum("pallet_count"),
+    "miles_sum": lambda: F.sum("distance_miles"),
+    "cost_sum": lambda: F.sum("total_cost_usd"),
+    "linehaul_sum": lambda: F.sum("linehaul_cost_usd"),
+    "accessorial_sum": lambda: F.sum("accessorial_cost_usd"),
+    "cpm_sum": lambda: F.sum(_cost_per_mile()),
+    "cpm_n": lambda: F.count(_cost_per_mile()),
+    "cpm_min": lambda: F.min(_cost_per_mile()),
+    "cpm_max": lambda: F.max(_cost_per_mile()),
+    "cpp_sum": lambda: F.sum(_cost_per_pallet()),
+    "cpp_n": lambda: F.count(_cost_per_pallet()),
+    "acc_share_sum": lambda: F.sum(_accessorial_share()),
+    "acc_share_n": lambda: F.count(_accessorial_share()),
 }
 
 
-def _mean(total: str, count: str) -> Column:
+def _value(part: str) -> Callable[[], Column]:
+    return lambda: F.col(part).cast("double")
+
+
+def _rate(top: str, bottom: str) -> Callable[[], Column]:
+    """Ratio of exact counts or decimal sums."""
+    return lambda: ratio(top, bottom)
+
+
+def _mean(total: str, count: str) -> Callable[[], Column]:
     """Average of doubles, free of the noise that summation order leaves."""
-    return settled(ratio(total, count))
+    return lambda: settled(ratio(total, count))
 
 
 # KPI name -> (parts it needs, formula over them)
-_KPIS: dict[str, tuple[tuple[str, ...], Column]] = {
-    "shipment_count": (("n",), F.col("n")),
-    "otp_rate": (("on_time", "n"), ratio("on_time", "n")),
-    "otd_rate": (("delivered_on_time", "n"), ratio("delivered_on_time", "n")),
-    "defect_rate": (("defects", "n"), ratio("defects", "n")),
+_KPIS: dict[str, tuple[tuple[str, ...], Callable[[], Column]]] = {
+    "shipment_count": (("n",), lambda: F.col("n")),
+    "otp_rate": (("on_time", "n"), _rate("on_time", "n")),
+    "otd_rate": (("delivered_on_time", "n"), _rate("delivered_on_time", "n")),
+    "defect_rate": (("defects", "n"), _rate("defects", "n")),
     "defect_free_rate": (
         ("defects", "n"),
-        ratio(F.col("n") - F.col("defects"), "n"),
+        lambda: ratio(F.col("n") - F.col("defects"), "n"),
     ),
     "avg_dwell": (("dwell_sum", "dwell_n"), _mean("dwell_sum", "dwell_n")),
     "avg_utilization": (("util_sum", "n"), _mean("util_sum", "n")),
     "avg_weight": (("weight_sum", "n"), _mean("weight_sum", "n")),
-    "avg_pallets": (("pallet_sum", "n"), ratio("pallet_sum", "n")),
+    "avg_pallets": (("pallet_sum", "n"), _rate("pallet_sum", "n")),
     "avg_miles": (("miles_sum", "n"), _mean("miles_sum", "n")),
-    "avg_cost": (("cost_sum", "n"), ratio("cost_sum", "n")),
-    "total_cost": (("cost_sum",), F.col("cost_sum").cast("double")),
-    "avg_linehaul": (("linehaul_sum", "n"), ratio("linehaul_sum", "n")),
-    "avg_accessorial": (("accessorial_sum", "n"), ratio("accessorial_sum", "n")),
-    "total_accessorial": (("accessorial_sum",), F.col("accessorial_sum").cast("double")),
+    "avg_cost": (("cost_sum", "n"), _rate("cost_sum", "n")),
+    "total_cost": (("cost_sum",), _value("cost_sum")),
+    "avg_linehaul": (("linehaul_sum", "n"), _rate("linehaul_sum", "n")),
+    "avg_accessorial": (("accessorial_sum", "n"), _rate("accessorial_sum", "n")),
+    "total_accessorial": (("accessorial_sum",), _value("accessorial_sum")),
     # mean of per-shipment ratios
     "cpm": (("cpm_sum", "cpm_n"), _mean("cpm_sum", "cpm_n")),
     "cost_per_pallet": (("cpp_sum", "cpp_n"), _mean("cpp_sum", "cpp_n")),
@@ -88,15 +111,15 @@ _KPIS: dict[str, tuple[tuple[str, ...], Column]] = {
     # ratio of the sums: a different number
     "accessorial_of_total": (
         ("accessorial_sum", "cost_sum"),
-        ratio("accessorial_sum", "cost_sum"),
+        _rate("accessorial_sum", "cost_sum"),
     ),
-    "util_under_half_rate": (("util_under_half", "n"), ratio("util_under_half", "n")),
+    "util_under_half_rate": (("util_under_half", "n"), _rate("util_under_half", "n")),
 }
 
 
 def kpi(name: str) -> Column:
     """The formula of a KPI over gathered parts."""
-    return _KPIS[name][1]
+    return _KPIS[name][1]()
 
 
 def parts_of(kpis: Iterable[str]) -> list[str]:
@@ -108,6 +131,11 @@ def parts_of(kpis: Iterable[str]) -> list[str]:
     return list(parts)
 
 
+def part_aggregates(kpis: Iterable[str]) -> list[Column]:
+    """The aggregates over fact rows that ``kpis`` need, named by part."""
+    return [_PARTS[p]().alias(p) for p in parts_of(kpis)]
+
+
 def linked(fact: DataFrame, *keys: str) -> DataFrame:
     """Fact rows whose foreign keys among ``keys`` are filled.
 
@@ -121,8 +149,7 @@ def linked(fact: DataFrame, *keys: str) -> DataFrame:
 
 def gather(fact: DataFrame, keys: Sequence[str], kpis: Iterable[str]) -> DataFrame:
     """Parts of ``kpis`` per fact key: one pass with partial aggregation."""
-    aggs = [PARTS[p].alias(p) for p in parts_of(kpis)]
-    return linked(fact, *keys).groupBy(*keys).agg(*aggs)
+    return linked(fact, *keys).groupBy(*keys).agg(*part_aggregates(kpis))
 
 
 def _merge_part(part: str) -> Column:

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from loadstar.functions.calendar import day_literal
-from loadstar.functions.measures import PARTS, gather, kpi, merge, parts_of
+from loadstar.functions.measures import gather, kpi, merge, part_aggregates
 from loadstar.functions.numeric import half_even, percent, ratio, rounded, settled
 from loadstar.operators.network import by_week
 from loadstar.operators.ordered import percentiles
@@ -110,7 +110,7 @@ def anomaly_reason_hints(
         star.fact.join(lane_days, ["lane_id", "shipment_date_key"])
         .join(star.carrier.select("carrier_id", "carrier_tier"), "carrier_id")
         .groupBy(*week, "carrier_tier")
-        .agg(*[PARTS[p].alias(p) for p in parts_of(kpis)])
+        .agg(*part_aggregates(kpis))
     )
     spot_n = F.sum(F.when(F.col("carrier_tier") == "Spot", F.col("n")).otherwise(0))
     spot_share = (

@@ -102,7 +102,9 @@ def carrier_bootstrap(
         .select("carrier_id", "rep", "n", rank.alias("rank"))
         .select("carrier_id", "rep", "rank", block(F.col("rank"), F.col("n")).alias("block"))
     )
-    found = draws.join(known, ["carrier_id", "block"]).where(
+    # Sizes measured before the draws are unfolded make them look tiny; a merge
+    # join keeps Spark from broadcasting them, and it spills when it must.
+    found = draws.join(known.hint("merge"), ["carrier_id", "block"]).where(
         F.col("rank").between(F.col("first"), F.col("last"))
     )
     means = found.groupBy("carrier_id", "rep").agg(

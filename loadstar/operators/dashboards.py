@@ -9,7 +9,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from loadstar.functions.measures import PARTS, gather, kpi, merge, parts_of
+from loadstar.functions.measures import gather, kpi, merge, part_aggregates
 from loadstar.functions.numeric import percent, rounded
 from loadstar.operators.network import by_week
 from loadstar.operators.pricing import pricing_recommendations
@@ -33,7 +33,7 @@ def kpi_period_delta(
     halves = (
         star.last_days(today, 2 * days)
         .groupBy(shipped_since(today - timedelta(days=days)).alias("is_current"))
-        .agg(*[PARTS[p].alias(p) for p in parts_of(kpis)])
+        .agg(*part_aggregates(kpis))
         .select(
             "is_current",
             percent(kpi("otp_rate")).alias("otp"),

@@ -7,7 +7,7 @@ from datetime import date
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loadstar.functions.measures import PARTS, kpi, parts_of
+from loadstar.functions.measures import kpi, part_aggregates
 from loadstar.functions.numeric import half_even, ratio
 from loadstar.operators.shippers import growth_rate, volume_growth
 from loadstar.schema import BENCHMARK_CPM
@@ -58,9 +58,8 @@ def pricing_recommendations(
         "otd_rate",
         "defect_rate",
     ]
-    parts = [PARTS[p].alias(p) for p in parts_of(kpis)]
     shippers = (
-        volume_growth(star, today, 90, *parts)
+        volume_growth(star, today, 90, *part_aggregates(kpis))
         .join(star.shipper, "shipper_id")
         .orderBy(F.desc("n"), "shipper_id")
         .limit(top)

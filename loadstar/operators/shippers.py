@@ -7,7 +7,7 @@ from datetime import date, timedelta
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from loadstar.functions.measures import PARTS, gather, kpi, linked, merge, parts_of
+from loadstar.functions.measures import gather, kpi, linked, merge, part_aggregates
 from loadstar.functions.numeric import clamp, percent, ratio, rounded, settled
 from loadstar.operators.ordered import cumulative_top
 from loadstar.star import Star, shipped_since
@@ -116,8 +116,7 @@ def shipper_health(
     today = star.resolve_as_of(as_of)
     share = {**HEALTH_WEIGHTS, **(weights or {})}
     kpis = ["shipment_count", "otd_rate", "defect_free_rate", "avg_cost", "on_time"]
-    parts = [PARTS[p].alias(p) for p in parts_of(kpis)]
-    shippers = volume_growth(star, today, growth_days, *parts).join(
+    shippers = volume_growth(star, today, growth_days, *part_aggregates(kpis)).join(
         star.shipper, "shipper_id"
     )
     # Always true, but it keeps every gathered column in use below the benchmark:
