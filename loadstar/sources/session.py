@@ -12,22 +12,25 @@ from loadstar.sources.orders_star import derive_star
 from loadstar.sources.warehouse import read_star, write_star
 from loadstar.star import Star
 
-_FOLDER = "spark.checkpoint.dir"
 _stars: dict[tuple[str, str], Star] = {}
 
 
+def named_folder(spark: SparkSession) -> str | None:
+    """The folder every executor can reach, where the cluster names one."""
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    return folder.rstrip("/") if folder else None
+
+
 def shared_folder(spark: SparkSession) -> str:
-    """The folder every executor can reach, as named by the cluster.
+    """The named folder, or in a local session a temporary one.
 
-    Only a local session, where driver and tasks share one machine, may fall
-    back to a temporary folder.
+    Only a local session, where driver and tasks share one machine, may use a
+    temporary folder.
     """
-    folder = spark.conf.get(_FOLDER, None)
-    if folder:
-        return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError(f"set {_FOLDER} to a folder shared by all executors")
-    return tempfile.mkdtemp(prefix="loadstar-")
+    folder = named_folder(spark)
+    if folder is None and not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder all executors share")
+    return folder or tempfile.mkdtemp(prefix="loadstar-")
 
 
 def new_folder(spark: SparkSession, name: str) -> str:
@@ -45,7 +48,7 @@ def session_star(spark: SparkSession, path: str) -> Star:
     """
     key = (spark.sparkContext.applicationId, path)
     if key not in _stars:
-        if spark.conf.get(_FOLDER, None):
+        if named_folder(spark):
             digest = hashlib.sha256(path.encode()).hexdigest()[:12]
             target = new_folder(spark, f"star-{digest}")
             write_star(derive_star(spark, path, by_month=True), target)
