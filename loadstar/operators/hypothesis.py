@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from loadstar.functions.measures import gather
 from loadstar.functions.numeric import percent, ratio, rounded
-from loadstar.operators.ordered import BUCKETS, running_totals
+from loadstar.operators.ordered import running_totals
 from loadstar.schema import PEAK_MONTHS
 from loadstar.star import Star
 
@@ -124,7 +124,7 @@ def mann_whitney_u(
     *,
     weight: str | None = None,
     critical: float = 1.96,
-    buckets: int = BUCKETS,
+    buckets: int | None = None,
 ) -> DataFrame:
     """Mann-Whitney U of ``value`` in group ``a`` against ``b``.
 
@@ -213,7 +213,7 @@ def defects_vs_tier(star: Star, *, critical: float = 7.815) -> DataFrame:
 
 
 def peak_cost_lift(
-    star: Star, *, critical: float = 1.96, buckets: int = BUCKETS
+    star: Star, *, critical: float = 1.96, buckets: int | None = None
 ) -> DataFrame:
     """Cost per mile in the peak quarter against the rest, by rank."""
     peak = F.col("month").isin(list(PEAK_MONTHS))

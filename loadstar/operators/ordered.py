@@ -11,17 +11,27 @@ cuts only decide how the work is spread.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from loadstar.functions.numeric import settled
 
-BUCKETS = 64
 _NULL_BUCKET = -1
 
 
+def bucket_count(df: DataFrame, buckets: int | None) -> int:
+    """``buckets``, or as many as the session has shuffle partitions (64 to 1024).
+
+    A session tuned for more data cuts finer, so that a group holding a third of
+    all distinct values still falls into many tasks.
+    """
+    if buckets is not None:
+        return buckets
+    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return min(1024, max(64, partitions))
+
+
 def _value_counts(
     df: DataFrame,
     keys: Sequence[str],
@@ -45,22 +55,24 @@ def _all_used(counts: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def _with_bucket(
-    counts: DataFrame, buckets: int, carry: Sequence[str] = ()
+    counts: DataFrame, buckets: int | None, carry: Sequence[str] = ()
 ) -> DataFrame:
+    buckets = bucket_count(counts, buckets)
+    shares = ", ".join(f"{i / buckets!r}D" for i in range(1, buckets))
     cuts = _all_used(counts, ["_w", *carry]).agg(
-        F.percentile_approx("_v", [i / buckets for i in range(1, buckets)], 50 * buckets)
-    ).scalar()
-    below = F.size(F.filter(F.col("_cuts"), lambda cut: cut < F.col("_v")))
+        F.expr(f"percentile_approx(_v, array({shares}), {50 * buckets})")
+    )
+    bucket = f"CASE WHEN _v IS NULL THEN {_NULL_BUCKET} ELSE size(filter(_cuts, c -> c < _v)) END"
     return (
-        counts.withColumn("_cuts", cuts)
-        .withColumn("_b", F.when(F.col("_v").isNull(), _NULL_BUCKET).otherwise(below))
+        counts.withColumn("_cuts", cuts.scalar())
+        .withColumn("_b", F.expr(bucket))
         .drop("_cuts")
     )
 
 
 def _bucket_offsets(counts: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Per (keys, bucket): weight before it, and the totals of the group."""
-    known = F.when(F.col("_b") != _NULL_BUCKET, F.col("_bw"))
+    known = F.expr(f"CASE WHEN _b <> {_NULL_BUCKET} THEN _bw END")
     ahead = Window.partitionBy(*keys).orderBy("_b").rowsBetween(
         Window.unboundedPreceding, -1
     )
@@ -82,13 +94,13 @@ def _bucket_offsets(counts: DataFrame, keys: Sequence[str]) -> DataFrame:
 def _join_buckets(
     counts: DataFrame, offsets: DataFrame, keys: Sequence[str]
 ) -> DataFrame:
-    left, right = counts.alias("c"), offsets.alias("o")
-    on = reduce(
-        lambda a, b: a & b,
-        [F.col(f"c.{k}").eqNullSafe(F.col(f"o.{k}")) for k in [*keys, "_b"]],
+    on = " AND ".join(f"c.{k} <=> o.{k}" for k in [*keys, "_b"])
+    carried = [f"o.{c}" for c in offsets.columns if c not in {*keys, "_b", "_bw"}]
+    return (
+        counts.alias("c")
+        .join(offsets.alias("o"), F.expr(on))
+        .select("c.*", *carried)
     )
-    carried = [c for c in offsets.columns if c not in {*keys, "_b", "_bw"}]
-    return left.join(right, on).select("c.*", *[F.col(f"o.{c}") for c in carried])
 
 
 def running_totals(
@@ -99,7 +111,7 @@ def running_totals(
     *,
     carry: Sequence[str] = (),
     descending: bool = False,
-    buckets: int = BUCKETS,
+    buckets: int | None = None,
 ) -> DataFrame:
     """Per (keys, distinct value): ``weight_here``, ``weight_before``, ``weight_total``.
 
@@ -169,7 +181,7 @@ def global_rank(
     keys: Sequence[str] = (),
     descending: bool = False,
     name: str = "rank",
-    buckets: int = BUCKETS,
+    buckets: int | None = None,
 ) -> DataFrame:
     """``df`` with the standard rank (ties share the lowest) of ``value``.
 
@@ -194,7 +206,7 @@ def percentiles(
     weight: str,
     probabilities: Mapping[str, float],
     *,
-    buckets: int = BUCKETS,
+    buckets: int | None = None,
 ) -> DataFrame:
     """Exact interpolated percentiles of ``value`` per group.
 
@@ -205,42 +217,38 @@ def percentiles(
     """
     counts = _with_bucket(_value_counts(df, keys, value, weight), buckets)
     offsets = _bucket_offsets(counts, keys)
-
-    def position(p: float) -> Column:
-        return (F.col("_known") - 1) * F.lit(float(p))
-
-    def holds(place: Column) -> Column:
-        return (F.col("_ahead") <= place) & (place < F.col("_ahead") + F.col("_bw"))
-
-    wanted = F.col("_b") == _NULL_BUCKET
-    for p in probabilities.values():
-        wanted |= holds(F.floor(position(p))) | holds(F.ceil(position(p)))
+    # Every probability has a position among the known values, usually between
+    # two of them: the places just below and just above.
+    positions = {n: f"(_known - 1) * {float(p)!r}D" for n, p in probabilities.items()}
+    places = {
+        f"_{n}_{side}": f"{function}({position})"
+        for n, position in positions.items()
+        for side, function in (("low", "floor"), ("high", "ceil"))
+    }
+    holds = [f"({p}) BETWEEN _ahead AND _ahead + _bw - 1" for p in places.values()]
+    wanted = offsets.where(" OR ".join([f"_b = {_NULL_BUCKET}", *holds]))
     inside = (
         Window.partitionBy(*keys, "_b")
         .orderBy("_v")
         .rowsBetween(Window.unboundedPreceding, -1)
     )
-    placed = _join_buckets(counts, offsets.where(wanted), keys).withColumn(
+    placed = _join_buckets(counts, wanted, keys).withColumn(
         "_first", F.col("_ahead") + F.coalesce(F.sum("_w").over(inside), F.lit(0))
     )
-
-    def at(place: Column) -> Column:
-        here = (F.col("_first") <= place) & (place < F.col("_first") + F.col("_w"))
-        return F.max(F.when((F.col("_b") != _NULL_BUCKET) & here, F.col("_v")))
-
-    edges, results = [], []
-    for name, p in probabilities.items():
-        low, high = F.floor(position(p)), F.ceil(position(p))
-        edges += [at(low).alias(f"_{name}_low"), at(high).alias(f"_{name}_high")]
-        share = position(p) - F.floor(position(p))
-        results.append(
-            settled(
-                F.col(f"_{name}_low") * (F.lit(1.0) - share)
-                + F.col(f"_{name}_high") * share
-            ).alias(name)
-        )
+    found = [
+        F.expr(
+            f"max(CASE WHEN _b <> {_NULL_BUCKET}"
+            f" AND ({place}) BETWEEN _first AND _first + _w - 1 THEN _v END)"
+        ).alias(name)
+        for name, place in places.items()
+    ]
+    share = {n: f"({position} - floor({position}))" for n, position in positions.items()}
+    results = [
+        settled(F.expr(f"_{n}_low * (1 - {share[n]}) + _{n}_high * {share[n]}")).alias(n)
+        for n in probabilities
+    ]
     return (
         placed.groupBy(*keys)
-        .agg(*edges, F.max("_known").alias("_known"), F.max("_rows").alias("row_count"))
+        .agg(*found, F.max("_known").alias("_known"), F.max("_rows").alias("row_count"))
         .select(*keys, "row_count", *results)
     )
