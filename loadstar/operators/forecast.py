@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from statistics import NormalDist
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from loadstar.functions.measures import kpi
@@ -30,6 +30,11 @@ def cost_daily_series(star: Star, *, keys: Sequence[str] = ()) -> DataFrame:
     )
 
 
+def _report(value: Column) -> Column:
+    """Six decimals; settled first, as sums of cents often end in an exact half."""
+    return settled(settled(value, 8), 6)
+
+
 def series_forecast(
     series: DataFrame,
     keys: Sequence[str],
@@ -80,9 +85,9 @@ def series_forecast(
         .select(
             *keys,
             "step",
-            settled(middle, 6).alias("forecast"),
-            settled(middle - margin, 6).alias("lower"),
-            settled(middle + margin, 6).alias("upper"),
+            _report(middle).alias("forecast"),
+            _report(middle - margin).alias("lower"),
+            _report(middle + margin).alias("upper"),
         )
         .orderBy(*keys, "step")
     )

@@ -334,9 +334,9 @@ def _forecast(
     keys = f"{key}, " if key else ""
     step, middle, low, high = names
     return _q(
-        f"""{keys}step::INTEGER AS {step}, ROUND(y + k * drift, 6) AS {middle},
-        ROUND(y + k * drift - {_Z95}::DOUBLE * sigma * SQRT(k), 6) AS {low},
-        ROUND(y + k * drift + {_Z95}::DOUBLE * sigma * SQRT(k), 6) AS {high}""",
+        f"""{keys}step::INTEGER AS {step}, ROUND(ROUND(y + k * drift, 8), 6) AS {middle},
+        ROUND(ROUND(y + k * drift - {_Z95}::DOUBLE * sigma * SQRT(k), 8), 6) AS {low},
+        ROUND(ROUND(y + k * drift + {_Z95}::DOUBLE * sigma * SQRT(k), 8), 6) AS {high}""",
         f"""FROM (SELECT *, ((step - place) // {period} + 1)::DOUBLE AS k
               FROM last_season JOIN range(1, {horizon + 1}) h(step)
                 ON step >= place AND (step - place) % {period} = 0)""",
