@@ -10,6 +10,7 @@ cuts only decide how the work is spread.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, Window
@@ -55,18 +56,39 @@ def _all_used(counts: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def _with_bucket(
-    counts: DataFrame, buckets: int | None, carry: Sequence[str] = ()
+    counts: DataFrame,
+    keys: Sequence[str],
+    buckets: int | None,
+    carry: Sequence[str] = (),
 ) -> DataFrame:
+    """``counts`` with the bucket ``_b`` of each value, laid out by (keys, bucket).
+
+    The bucket is the number of cuts below the value, found in two steps: first
+    among every ``step``-th cut, then among the cuts that follow it. The layout
+    serves the bucket totals and the windows inside buckets alike.
+    """
     buckets = bucket_count(counts, buckets)
+    step = math.isqrt(buckets)
     shares = ", ".join(f"{i / buckets!r}D" for i in range(1, buckets))
-    cuts = _all_used(counts, ["_w", *carry]).agg(
-        F.expr(f"percentile_approx(_v, array({shares}), {50 * buckets})")
+    cuts = (
+        _all_used(counts, ["_w", *carry])
+        .agg(F.expr(f"percentile_approx(_v, array({shares}), {50 * buckets}) AS fine"))
+        .select(
+            F.expr(
+                f"struct(fine, filter(fine, (c, i) -> (i + 1) % {step} = 0) AS coarse)"
+            )
+        )
     )
-    bucket = f"CASE WHEN _v IS NULL THEN {_NULL_BUCKET} ELSE size(filter(_cuts, c -> c < _v)) END"
+    jump = f"size(filter(_cuts.coarse, c -> c < _v)) * {step}"
+    rest = f"size(filter(slice(_cuts.fine, _jump + 1, {step}), c -> c < _v))"
     return (
         counts.withColumn("_cuts", cuts.scalar())
-        .withColumn("_b", F.expr(bucket))
-        .drop("_cuts")
+        .withColumn("_jump", F.expr(jump))
+        .withColumn(
+            "_b", F.expr(f"CASE WHEN _v IS NULL THEN {_NULL_BUCKET} ELSE _jump + {rest} END")
+        )
+        .drop("_cuts", "_jump")
+        .repartition(*keys, "_b")
     )
 
 
@@ -124,7 +146,7 @@ def running_totals(
         "_signed", F.col(value) * F.lit(sign)
     )
     counts = _with_bucket(
-        _value_counts(known, keys, "_signed", weight, carry), buckets, carry
+        _value_counts(known, keys, "_signed", weight, carry), keys, buckets, carry
     )
     offsets = _bucket_offsets(_all_used(counts, carry), keys).drop("_rows")
     inside = (
@@ -215,7 +237,7 @@ def percentiles(
     also counts rows whose value is NULL. Only the buckets that hold a wanted
     position are sorted.
     """
-    counts = _with_bucket(_value_counts(df, keys, value, weight), buckets)
+    counts = _with_bucket(_value_counts(df, keys, value, weight), keys, buckets)
     offsets = _bucket_offsets(counts, keys)
     # Every probability has a position among the known values, usually between
     # two of them: the places just below and just above.
