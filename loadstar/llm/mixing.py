@@ -129,8 +129,8 @@ def mixed_documents(docs: DataFrame, seed: int = 8, **options) -> DataFrame:
         F.col("doc_id").cast("long").eqNullSafe(F.col("_id")) & (F.col("_k") == F.col("_key")) & F.col("_s").eqNullSafe(F.col("_source")) & (F.col("_n") == F.col("_nth")),
     )
     joined = joined.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies") + F.when(F.col("_part") > 0, 1).otherwise(0))))
-    start = F.concat(F.lit("^(?:"), F.lit(r"[\x20\x09-\x0D]*[^\x20\x09-\x0D]+){"), F.col("_part").cast("string"), F.lit("}"))
-    text = F.when(F.col("_copy") > F.col("_copies"), F.regexp_substr(F.col("text"), start)).otherwise(F.col("text"))
+    pieces = F.regexp_extract_all("text", F.lit(r"[\x20\x09-\x0D]*[^\x20\x09-\x0D]+"), F.lit(0))
+    text = F.when(F.col("_copy") > F.col("_copies"), F.array_join(F.slice(pieces, 1, F.col("_part")), "")).otherwise(F.col("text"))
     return joined.withColumn("text", text).select(*docs.columns)
 
 
