@@ -28,7 +28,7 @@ from loadstar.llm.common import stored, table, word_count
 #: Most often that a document may be repeated.
 MAX_EPOCHS = 3
 #: Documents a bucket should hold; only sets the grain, never the result.
-BUCKET_ROWS = 20_000
+BUCKET_ROWS = 1000
 
 
 def source_targets(sizes: DataFrame, weights: tuple[int, ...] = (1, 2, 3), max_epochs: int = MAX_EPOCHS) -> DataFrame:
