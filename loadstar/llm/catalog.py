@@ -9,11 +9,13 @@ from pyspark.sql import DataFrame, SparkSession
 from loadstar.llm.mixing import op8_mixing
 from loadstar.llm.quality import op7_quality_rules
 from loadstar.llm.tokens import op5_token_files
+from loadstar.llm.toxicity import op10_toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_token_files": op5_token_files,
     "op7_quality_rules": op7_quality_rules,
     "op8_mixing": op8_mixing,
+    "op10_toxicity": op10_toxicity,
 }
 
 ORACLE_SQL: dict[str, str] = {}

@@ -15,8 +15,8 @@ special tokens inside a text are ordinary text. An empty table gives no part fil
 Tasks write files under names of their own and report them in a manifest; a task that
 runs again leaves a file nobody names.
 
-The dictionary is fitted on a bounded sample: the ``DICT_DOCS`` documents whose ids
-hash lowest, at most ``DICT_CHARS`` characters of each. It only affects compression.
+The dictionary is fitted on a bounded sample: about ``DICT_DOCS`` documents picked by a
+hash of their ids, ``DICT_CHARS`` characters of each. It only affects compression.
 """
 
 from __future__ import annotations
@@ -38,29 +38,42 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from loadstar.llm.common import batch, stored, table
+from loadstar.llm.common import batch, slices, stored, strings, table
 from loadstar.sources.session import new_folder
 
 DICT_DOCS, DICT_CHARS, DICT_BYTES = 1000, 4096, 64 << 10
-MEMO_SIZE = 300_000
+MEMO_SIZE = 500_000
+_BLOCK = 1 << 20  # bytes of text encoded at a time
 END_ID = 2
 MAGIC = b"TOKFRM01"
 _HEAD = struct.Struct("<8sI32s")
 _FOOT = struct.Struct("<QQ8s")
 _INDEX = np.dtype([("doc_id", "<i8"), ("has_id", "u1"), ("offset", "<u8"), ("n", "<u4"), ("crc", "<u4")])
 
-# Beyond these, a space starts a new piece exactly where one follows a non-space or
-# stands last in a run of white space; see ``Encoder``.
-_UNSAFE = re.compile(r"\s (?:\s|\Z)")
+# White space as byte-level tokenizers see it: a run belongs together but for its last
+# character, which stands alone unless it is a space before a word; then it is the word's.
+_PIECES = re.compile(r"\s+(?!\S)| ?\S+|\s")
+_ODD = re.compile("[\x1c-\x1f]")  # white space to this module's regex, not to the library
+
+
+# Latin letters with punctuation behind them, by far the most common kind of piece: byte-level
+# tokenizers split it into the letters and the marks.
+_LATIN = re.compile(r"( ?[A-Za-zÀ-ÖØ-öø-ɏ]+)([!-&(-/:-@\[-`{-~]*)")
+
+
+def _visible() -> dict[int, str]:
+    """How byte-level vocabularies spell bytes: printable ones as they are, the rest from 256 on."""
+    plain = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    rest = [b for b in range(256) if b not in plain]
+    return {b: chr(b) for b in plain} | {b: chr(256 + n) for n, b in enumerate(rest)}
 
 
 class Encoder:
-    """Texts to ids through the tokenizers library, with repeated words encoded once.
+    """Texts to ids through the tokenizers library, with repeated pieces encoded once.
 
-    Byte-level tokenizers split a text into pieces before merging, and no piece extends
-    over a space that follows a non-space. A text may therefore be cut before such
-    spaces, and each different part needs to be encoded only once. Texts with inner or
-    trailing runs of white space, where the cut could differ, are encoded whole.
+    Byte-level tokenizers split a text into pieces before merging, and no such piece
+    reaches over the cuts of ``_PIECES``. So the ids of a text are those of its parts,
+    and the library has to merge each different part only once in a while.
     """
 
     def __init__(self, path: str):
@@ -71,28 +84,55 @@ class Encoder:
         self.tokenizer.encode_special_tokens = True
         self.vocabulary = self.tokenizer.get_vocab_size()
         self.dtype = np.dtype("<u2" if self.vocabulary <= 1 << 16 else "<u4")
+        self.as_bytes = [i.to_bytes(self.dtype.itemsize, "little") for i in range(self.vocabulary)]
+        self.spelling = _visible()
         self.memo: dict[str, bytes] = {}
-
-    def _library(self, texts: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(e.ids, self.dtype).tobytes() for e in found]
+        self.marks: dict[str, bytes] = {}
+        self.merge = self.tokenizer.model.tokenize
+        # Only a tokenizer that splits the probe as assumed gets the short cuts.
+        probe = ["a", " été,", "x", " y..", "Z"]
+        expected = [t for p in probe for t in _LATIN.fullmatch(p).groups() if t]
+        splits = self.tokenizer.pre_tokenizer.pre_tokenize_str("\n".join(probe)) if self.tokenizer.pre_tokenizer else []
+        self.cuts = self.tokenizer.normalizer is None and [t for t, _ in splits if t != self._spelled("\n")] == [*map(self._spelled, expected)]
+
+    def _spelled(self, text: str) -> str:
+        return text.encode().decode("latin-1").translate(self.spelling)
+
+    def _ids(self, text: str) -> bytes:
+        found = self.tokenizer.encode_batch_fast([text], add_special_tokens=False)
+        return b"".join(map(self.as_bytes.__getitem__, found[0].ids))
+
+    def _merged(self, split: str) -> bytes:
+        table = self.as_bytes
+        spelled = split.replace(" ", "Ġ") if split.isascii() else self._spelled(split)
+        return b"".join([table[t.id] for t in self.merge(spelled)])
+
+    def _learn(self, piece: str) -> bytes:
+        simple = _LATIN.fullmatch(piece)
+        if not simple:
+            return self._ids(piece)
+        word, marks = simple.groups()
+        if not marks:
+            return self._merged(word)
+        if marks not in self.marks:
+            self.marks[marks] = self._merged(marks)
+        return (self.memo.get(word) or self._merged(word)) + self.marks[marks]
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as bytes of the item type."""
-        plain = [not _UNSAFE.search(t) for t in texts]
-        parts = []
-        for text, ok in zip(texts, plain, strict=True):
-            head, *rest = text.split(" ") if ok else [text]
-            parts.append((head, rest))
-        heads = self._library([h for h, _ in parts])
-        new = list(set().union(*(rest for _, rest in parts)) - self.memo.keys())
+        if not self.cuts:
+            return [self._ids(t) for t in texts]
         memo = self.memo
-        found = dict(zip(new, self._library([" " + x for x in new]), strict=True))
-        if len(memo) + len(found) <= MEMO_SIZE:
-            memo.update(found)
-        else:
-            memo = memo | found
-        return [h + b"".join(map(memo.__getitem__, rest)) for h, (_, rest) in zip(heads, parts, strict=True)]
+        parts = [_PIECES.findall(t) for t in texts]
+        new = set().union(*parts).difference(memo)
+        memo.update([(x, self._learn(x)) for x in new])
+        found = [b"".join(map(memo.__getitem__, p)) for p in parts]
+        if len(self.marks) > MEMO_SIZE:
+            self.marks.clear()
+        if len(memo) > MEMO_SIZE:  # what came first is what is common
+            for x in new:
+                del memo[x]
+        return [self._ids(t) if _ODD.search(t) else f for t, f in zip(texts, found, strict=True)]
 
 
 @functools.lru_cache(maxsize=2)
@@ -102,8 +142,9 @@ def _encoder(path: str) -> Encoder:
 
 def train_dictionary(docs: DataFrame, tokenizer: str) -> bytes:
     """Dictionary bytes fitted on the id arrays of the bounded sample; may be empty."""
-    sample = docs.select(F.substring(F.coalesce("text", F.lit("")), 1, DICT_CHARS).alias("t"), F.xxhash64("doc_id").alias("h"))
-    texts = [r.t for r in sample.orderBy("h", "t").limit(DICT_DOCS).collect()]
+    share = max(1, docs.count() // DICT_DOCS)
+    sample = docs.where(F.pmod(F.xxhash64("doc_id"), F.lit(share)) == 0).select(F.substring("text", 1, DICT_CHARS).alias("t"))
+    texts = sorted(r.t for r in sample.limit(2 * DICT_DOCS).collect())
     encoder = Encoder(tokenizer)
     samples = [s for s in encoder.encode(texts) if s] if texts else []
     try:
@@ -113,7 +154,11 @@ def train_dictionary(docs: DataFrame, tokenizer: str) -> bytes:
 
 
 def _dictionary(content: bytes) -> zstandard.ZstdCompressionDict | None:
-    return zstandard.ZstdCompressionDict(content) if content else None
+    if not content:
+        return None
+    found = zstandard.ZstdCompressionDict(content)
+    found.precompute_compress(level=1)
+    return found
 
 
 def _write(batches: Iterator[pa.RecordBatch], folder: str, tokenizer: str, content: bytes, end_id: int) -> Iterator[pa.RecordBatch]:
@@ -127,13 +172,15 @@ def _write(batches: Iterator[pa.RecordBatch], folder: str, tokenizer: str, conte
         if out is None:
             out = fs.open_output_stream(path)
             out.write(_HEAD.pack(MAGIC, encoder.dtype.itemsize, hashlib.sha256(content).digest()))
-        for i, ids in zip(b.column(0).to_pylist(), encoder.encode(b.column(1).to_pylist()), strict=True):
-            ids += end
-            wide = np.frombuffer(ids, encoder.dtype).astype("<u4")
-            frame = packer.compress(ids)
-            index.append((i or 0, i is not None, offset, len(wide), zlib.crc32(wide.tobytes())))
-            out.write(frame)
-            offset += len(frame)
+        for low, high in slices(strings(b.column(1))[1], _BLOCK):
+            found = encoder.encode(b.column(1)[low:high].to_pylist())
+            for i, ids in zip(b.column(0)[low:high].to_pylist(), found, strict=True):
+                ids += end
+                wide = np.frombuffer(ids, encoder.dtype).astype("<u4")
+                frame = packer.compress(ids)
+                index.append((i or 0, i is not None, offset, len(wide), zlib.crc32(wide.tobytes())))
+                out.write(frame)
+                offset += len(frame)
     if out is None:
         return
     rows = np.array(index, _INDEX)
