@@ -6,16 +6,23 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from loadstar.llm.chat import OP1_SQL, op1_chat_format
 from loadstar.llm.mixing import op8_mixing
 from loadstar.llm.quality import op7_quality_rules
 from loadstar.llm.tokens import op5_token_files
 from loadstar.llm.toxicity import op10_toxicity
+from loadstar.llm.warc import OP9_SQL, op9_warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_chat_format": op1_chat_format,
     "op5_token_files": op5_token_files,
     "op7_quality_rules": op7_quality_rules,
     "op8_mixing": op8_mixing,
+    "op9_warc": op9_warc,
     "op10_toxicity": op10_toxicity,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op1_chat_format": OP1_SQL,
+    "op9_warc": OP9_SQL,
+}
