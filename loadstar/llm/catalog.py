@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from loadstar.llm.chat import OP1_SQL, op1_chat_format
 from loadstar.llm.mixing import op8_mixing
 from loadstar.llm.quality import op7_quality_rules
+from loadstar.llm.simhash import op6_simhash
 from loadstar.llm.tokens import op5_token_files
 from loadstar.llm.toxicity import op10_toxicity
 from loadstar.llm.warc import OP9_SQL, op9_warc
@@ -16,6 +17,7 @@ from loadstar.llm.warc import OP9_SQL, op9_warc
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_chat_format": op1_chat_format,
     "op5_token_files": op5_token_files,
+    "op6_simhash": op6_simhash,
     "op7_quality_rules": op7_quality_rules,
     "op8_mixing": op8_mixing,
     "op9_warc": op9_warc,
