@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from loadstar.llm.chat import OP1_SQL, op1_chat_format
+from loadstar.llm.decontamination import op4_decontamination
 from loadstar.llm.mixing import op8_mixing
 from loadstar.llm.quality import op7_quality_rules
 from loadstar.llm.simhash import op6_simhash
@@ -16,6 +17,7 @@ from loadstar.llm.warc import OP9_SQL, op9_warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_chat_format": op1_chat_format,
+    "op4_decontamination": op4_decontamination,
     "op5_token_files": op5_token_files,
     "op6_simhash": op6_simhash,
     "op7_quality_rules": op7_quality_rules,
