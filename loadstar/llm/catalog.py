@@ -8,15 +8,19 @@ from pyspark.sql import DataFrame, SparkSession
 
 from loadstar.llm.chat import OP1_SQL, op1_chat_format
 from loadstar.llm.decontamination import op4_decontamination
+from loadstar.llm.fm_dedup import op2_fm_dedup
 from loadstar.llm.mixing import op8_mixing
 from loadstar.llm.quality import op7_quality_rules
 from loadstar.llm.simhash import op6_simhash
+from loadstar.llm.suffix_dedup import op3_suffix_dedup
 from loadstar.llm.tokens import op5_token_files
 from loadstar.llm.toxicity import op10_toxicity
 from loadstar.llm.warc import OP9_SQL, op9_warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_chat_format": op1_chat_format,
+    "op2_fm_dedup": op2_fm_dedup,
+    "op3_suffix_dedup": op3_suffix_dedup,
     "op4_decontamination": op4_decontamination,
     "op5_token_files": op5_token_files,
     "op6_simhash": op6_simhash,
