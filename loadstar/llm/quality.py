@@ -174,7 +174,7 @@ def keep_documents(docs: DataFrame, policy: str = DEFAULT_POLICY) -> DataFrame:
     Copies of one id are judged together: the id goes if any of its rows is rejected.
     """
     bad = quality_ledger(docs).where(rejected(policy)).select(F.col("doc_id").alias("_rejected")).distinct()
-    return docs.join(bad, F.col("doc_id").cast("long") == F.col("_rejected"), "left_anti")
+    return docs.join(bad, F.col("doc_id").cast("long").eqNullSafe(F.col("_rejected")), "left_anti")
 
 
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -45,6 +45,7 @@ _BLOCK = 1 << 20
 _CHUNK = 4096  # fingerprints whose variants a task holds at a time
 _CODE_BITS = 11
 BUCKET_BYTES = 4 << 20  # packed variants a bucket should hold
+EMIT_BYTES = 32 << 20  # packed variants a task should emit
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
@@ -232,7 +233,9 @@ def links(prints: DataFrame) -> DataFrame:
     n = prints.count()
     emitted = n * (len(FLIPS) + len(_EVEN)) / 2 * 8
     bits = min(40, max(_CODE_BITS, math.ceil(math.log2(max(1, emitted / BUCKET_BYTES)))))
-    variants = prints.select("fp").mapInArrow(lambda b: _emit(b, bits), "bucket long, entries binary")
+    # The variants are many times the fingerprints, so the tasks that emit them are set by their size.
+    tasks = max(int(prints.sparkSession.conf.get("spark.sql.shuffle.partitions")), math.ceil(emitted / EMIT_BYTES))
+    variants = prints.select("fp").repartition(tasks, F.col("fp")).mapInArrow(lambda b: _emit(b, bits), "bucket long, entries binary")
     variants = variants.repartition(F.col("bucket")).sortWithinPartitions("bucket")
     return variants.mapInArrow(lambda b: _meet(b, bits), "a long, b long").distinct()
 
@@ -241,7 +244,7 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     """``doc_id, fp, component_id``: the smallest id that links lead to, its own included."""
     rows = stored(simhash(docs, shingle), "simhash")
     first = stored(rows.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "simhash-prints")
-    found = components(links(first.repartition(F.col("fp"))))
+    found = components(links(first))
     labels = first.join(found.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     least = labels.groupBy("root").agg(F.min("first_id").alias("component_id"))
     labels = labels.join(least, "root").select("fp", "component_id")
