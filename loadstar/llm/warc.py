@@ -100,6 +100,8 @@ def with_revisits(pages: DataFrame, min_bytes: int = 0) -> DataFrame:
     # Only payloads that occur more than once go on; counts are combined before the shuffle.
     groups = rows.select("sha", "page_id", F.octet_length("payload").alias("n")).where(F.col("n") >= min_bytes)
     groups = groups.groupBy("sha").agg(F.max("page_id").alias("kept"), F.count("*").alias("copies")).where("copies > 1")
+    # Stored, their size is known when the join is planned: payloads move only if they are many.
+    groups = stored(groups, "warc-copies")
     rows = rows.join(groups.select(F.col("sha").alias("_sha"), "kept"), F.col("sha") == F.col("_sha"), "left")
     refers = F.when(F.col("page_id").isNull() | (F.col("page_id") < F.col("kept")), F.col("kept"))
     return rows.select("page_id", "url", "payload", refers.alias("refers_to"))
