@@ -63,6 +63,13 @@ def strings(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]
     return data, offsets - offsets[0]
 
 
+def portions(batches: Iterator[pa.RecordBatch], column: int = 1, size: int = 1 << 20) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches of about ``size`` bytes of text, one row at least."""
+    for b in batches:
+        for low, high in slices(strings(b.column(column))[1], size):
+            yield b.slice(low, high - low)
+
+
 def slices(offsets: np.ndarray, size: int) -> Iterator[tuple[int, int]]:
     """Ranges of rows that hold about ``size`` units each, one row at least."""
     row, last = 0, len(offsets) - 1

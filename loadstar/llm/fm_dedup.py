@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loadstar.llm.common import batch, strings, table, words
+from loadstar.llm.common import batch, portions, strings, table, words
 from loadstar.llm.passages import Spec, covered_tokens, removed_by_document, repeated_windows, tokens_of
 from loadstar.llm.suffix import classes, common_prefixes, joined, suffix_array
 from loadstar.llm.suffix_dedup import _LAST_ID, _places
@@ -165,7 +165,7 @@ _OUT = pa.schema([("doc_id", pa.int64()), ("n_words", pa.int64()), ("n_removed",
 
 
 def _kept(batches: Iterator[pa.RecordBatch], width: int, content: bool) -> Iterator[pa.RecordBatch]:
-    for b in batches:
+    for b in portions(batches):
         data, offsets = strings(b.column(1))
         starts, ends, bounds = words(data, offsets)
         gone = covered_tokens(b.column(2), bounds, width)
@@ -184,7 +184,7 @@ def _kept(batches: Iterator[pa.RecordBatch], width: int, content: bool) -> Itera
         yield batch(_OUT, doc_id=b.column(0), n_words=np.diff(bounds), n_removed=removed, kept_sha256=sha, kept=kept)
 
 
-def remove_repeats(docs: DataFrame, width: int = WIDTH, gram: int = GRAM, content: bool = True, shard_bytes: int = 4 << 20) -> DataFrame:
+def remove_repeats(docs: DataFrame, width: int = WIDTH, gram: int = GRAM, content: bool = True, shard_bytes: int = 2 << 20) -> DataFrame:
     """``doc_id, n_words, n_removed, kept_sha256`` and the ``kept`` words joined by spaces."""
     rows = _places(docs)
     spec = Spec("word", width, min(gram, width), same_document=False, shard_bytes=shard_bytes)

@@ -33,10 +33,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from loadstar.llm.common import BYTE_VALUES, batch, mix, prefix_hash, slices, span_hash, stored, strings, word_hashes, words
+from loadstar.llm.common import BYTE_VALUES, batch, mix, portions, prefix_hash, slices, span_hash, stored, strings, word_hashes, words
 
 _BLOCK = 1 << 18  # tokens worked on at a time, so that arrays stay in the cache
-_LONGEST = 1 << 22  # windows of one text cut at a time
+_LONGEST = 1 << 20  # windows of one text cut at a time
+_ROWS = 1 << 17  # pieces handed on at a time
 
 
 @dataclass(frozen=True)
@@ -47,7 +48,7 @@ class Spec:
     width: int
     gram: int
     same_document: bool  # whether an earlier start in the same document counts
-    shard_bytes: int = 4 << 20
+    shard_bytes: int = 2 << 20
 
 
 def sliding_min(x: np.ndarray, width: int) -> np.ndarray:
@@ -103,11 +104,10 @@ def cut_tokens(tokens: np.ndarray, bounds: np.ndarray, width: int, gram: int) ->
     return dict(row=row, start=first - bounds[row], n=end - first, key=low[first].view(np.int64), content=content.view(np.int64), again=again)
 
 
-def tokens_of(unit: str, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Hash of each token, the texts' bounds in tokens, and each token's first and last byte."""
+def tokens_of(unit: str, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray | None, np.ndarray | None]:
+    """Hash of each token, the texts' bounds in tokens, and of words the first byte and the end."""
     if unit == "byte":
-        at = np.arange(len(data))
-        return BYTE_VALUES[data], offsets, at, at + 1
+        return BYTE_VALUES[data], offsets, None, None
     starts, ends, bounds = words(data, offsets)
     return word_hashes(data, starts, ends), bounds, starts, ends
 
@@ -138,22 +138,27 @@ def _cut_block(ids: np.ndarray, tokens: np.ndarray, bounds: np.ndarray, spec: Sp
 
 def _cut(batches: Iterator[pa.RecordBatch], spec: Spec) -> Iterator[pa.RecordBatch]:
     for b in batches:
-        data, offsets = strings(b.column(1))
-        tokens, bounds, _, _ = tokens_of(spec.unit, data, offsets)
-        found = _cut_block(b.column(0).to_numpy(zero_copy_only=False), tokens, bounds, spec)
-        del tokens
+        parts = []
+        for small in portions([b]):
+            data, offsets = strings(small.column(1))
+            tokens, bounds = tokens_of(spec.unit, data, offsets)[:2]
+            parts.append(_cut_block(small.column(0).to_numpy(zero_copy_only=False), tokens, bounds, spec))
+        found = {k: np.concatenate([p[k] for p in parts]) for k in parts[0]} if parts else {}
+        if not found or not len(found["key"]):
+            continue
         # Of equal contents only the first place of this batch has to meet the others.
         same = mix(found["key"].view(np.uint64)) ^ found["content"].view(np.uint64)
         order = np.lexsort((found["start"], found["doc_id"], same))
-        found = {k: v[order] for k, v in found.items()}
         same = same[order]
-        new = np.concatenate([[True], same[1:] != same[:-1]]) if len(same) else np.zeros(0, bool)
-        head = np.maximum.accumulate(np.where(new, np.arange(len(new)), 0))
-        later = found["doc_id"] != found["doc_id"][head]
+        new = np.concatenate([[True], same[1:] != same[:-1]])
+        head = order[np.maximum.accumulate(np.where(new, np.arange(len(new)), 0))]
+        later = found["doc_id"][order] != found["doc_id"][head]
         if spec.same_document:
-            later |= found["start"] != found["start"][head]
-        key = pa.array(found.pop("key"), pa.int64(), mask=later)
-        yield batch(_PIECES, key=key, **found)
+            later |= found["start"][order] != found["start"][head]
+        for low in range(0, len(order), _ROWS):
+            part = order[low : low + _ROWS]
+            key = pa.array(found["key"][part], pa.int64(), mask=later[low : low + _ROWS])
+            yield batch(_PIECES, key=key, **{k: v[part] for k, v in found.items() if k != "key"})
 
 
 def pieces(docs: DataFrame, spec: Spec) -> DataFrame:
@@ -187,7 +192,7 @@ _WANTED = pa.schema([("key", pa.int64()), ("key_tokens", pa.int64()), ("doc_id",
 
 def _fetch(batches: Iterator[pa.RecordBatch], spec: Spec) -> Iterator[pa.RecordBatch]:
     """Cut the wanted pieces out of their texts."""
-    for b in batches:
+    for b in portions(batches, column=0):
         data, offsets = strings(b.column(0))
         raw = data.tobytes()
         _, bounds, begin, end = tokens_of(spec.unit, data, offsets) if spec.unit == "word" else (None, offsets, None, None)

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loadstar.llm.common import batch, strings, table
+from loadstar.llm.common import batch, portions, strings, table
 from loadstar.llm.passages import Spec, covered_tokens, removed_by_document, repeated_windows
 from loadstar.llm.suffix import classes, common_prefixes, joined, suffix_array
 
@@ -56,7 +56,7 @@ _OUT = pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("n_removed",
 
 
 def _kept(batches: Iterator[pa.RecordBatch], width: int, content: bool) -> Iterator[pa.RecordBatch]:
-    for b in batches:
+    for b in portions(batches):
         data, offsets = strings(b.column(1))
         gone = covered_tokens(b.column(2), offsets, width)
         sha, kept, removed, spans = [], [], [], []
@@ -74,7 +74,7 @@ def _places(docs: DataFrame) -> DataFrame:
     return docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(_LAST_ID)).alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
 
 
-def remove_repeats(docs: DataFrame, width: int = WIDTH, gram: int = GRAM, content: bool = True, shard_bytes: int = 4 << 20) -> DataFrame:
+def remove_repeats(docs: DataFrame, width: int = WIDTH, gram: int = GRAM, content: bool = True, shard_bytes: int = 2 << 20) -> DataFrame:
     """``doc_id, n_bytes, n_removed, n_spans, kept_sha256`` and the ``kept`` bytes.
 
     The kept bytes need not be valid UTF-8, since strings may begin inside a character.
