@@ -22,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loadstar.llm.common import table, word_list
+from loadstar.llm.common import stored, table, word_list
 
 #: Positions each mask looks at. Five words each, over seven and nine.
 MASKS = ((0, 1, 3, 5, 6), (0, 2, 3, 7, 8))
@@ -125,6 +125,7 @@ def contaminated_pairs(
 def without_leaks(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
     """The documents that share no passage with any item, with all their columns."""
     bad = contaminated_pairs(docs, benchmark, **options).select(F.col("doc_id").alias("_leak")).distinct()
+    bad = stored(bad, "leaks")  # so that its size is known when the join is planned
     return docs.join(bad, F.col("doc_id").cast("long").eqNullSafe(F.col("_leak")), "left_anti")
 
 

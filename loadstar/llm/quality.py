@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loadstar.llm.common import batch, prefix_hash, slices, span_hash, strings, table, word_hashes, words
+from loadstar.llm.common import batch, prefix_hash, slices, span_hash, stored, strings, table, word_hashes, words
 
 MEASURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines")
 _OUT = pa.schema([("doc_id", pa.int64())] + [(m, pa.int64()) for m in MEASURES])
@@ -173,7 +173,8 @@ def keep_documents(docs: DataFrame, policy: str = DEFAULT_POLICY) -> DataFrame:
 
     Copies of one id are judged together: the id goes if any of its rows is rejected.
     """
-    bad = quality_ledger(docs).where(rejected(policy)).select(F.col("doc_id").alias("_rejected")).distinct()
+    # Stored, its size is known when the join is planned.
+    bad = stored(quality_ledger(docs).where(rejected(policy)).select(F.col("doc_id").alias("_rejected")).distinct(), "quality-rejected")
     return docs.join(bad, F.col("doc_id").cast("long").eqNullSafe(F.col("_rejected")), "left_anti")
 
 
