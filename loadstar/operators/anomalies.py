@@ -244,10 +244,10 @@ def anomaly_count(
     zscores: DataFrame, outliers: DataFrame, *, as_of: date, days: int = 14
 ) -> DataFrame:
     """Flags raised in the last ``days`` days, one row per detector."""
-    start = day_literal(as_of - timedelta(days=days))
+    period = day_literal(as_of - timedelta(days=days)), day_literal(as_of)
     counted = F.count(F.lit(1)).alias("anomaly_count")
-    lane_weeks = zscores.where(F.col("week_start") >= start).agg(counted)
-    carrier_days = outliers.where(F.col("date") >= start).agg(counted)
+    lane_weeks = zscores.where(F.col("week_start").between(*period)).agg(counted)
+    carrier_days = outliers.where(F.col("date").between(*period)).agg(counted)
     return lane_weeks.select(F.lit("zscore").alias("detector"), "anomaly_count").union(
         carrier_days.select(F.lit("iqr").alias("detector"), "anomaly_count")
     )
@@ -267,7 +267,7 @@ def briefing_rows(
     Sections: ``headline`` (network OTP and cost of the last ``days`` days),
     ``zscore`` and ``iqr`` (the latest flags of each detector).
     """
-    today = star.resolve_as_of(as_of)
+    star, today = star.at(as_of)
     recent = gather(star.last_days(today, days), [], ["otp_rate", "avg_cost"])
 
     def rows(source: DataFrame, section: str, subject, day, value, against, score, note):

@@ -147,7 +147,7 @@ def otp_decline(
     star: Star, *, as_of: date | None = None, days: int = 28, drop: float = 0.05
 ) -> DataFrame:
     """Carriers whose OTP fell by more than ``drop`` against the period before."""
-    today = star.resolve_as_of(as_of)
+    star, today = star.at(as_of)
     fact = star.last_days(today, 2 * days)
     late_half = shipped_since(today - timedelta(days=days))
 

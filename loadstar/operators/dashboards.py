@@ -96,7 +96,7 @@ def health_filtered(
     limit: int = 50,
 ) -> DataFrame:
     """The healthiest shippers under optional filters, with any pricing advice."""
-    today = star.resolve_as_of(as_of)
+    star, today = star.at(as_of)
     health = _matching(
         shipper_health(star, as_of=today),
         vendor_type=vendor_type,

@@ -35,6 +35,37 @@ def _report(value: Column) -> Column:
     return settled(settled(value, 8), 6)
 
 
+def without_gaps(
+    series: DataFrame,
+    keys: Sequence[str],
+    time: str,
+    value: str,
+    *,
+    every: int = 1,
+    missing: float | None = None,
+) -> DataFrame:
+    """``keys, time, value`` with a row for every step between a series' ends.
+
+    Steps are ``every`` days apart. A step without a row, or with a NULL value,
+    gets ``missing``; without that, the value of the step before it.
+    """
+    ends = series.groupBy(*keys).agg(
+        F.min(time).alias("_first"), F.max(time).alias("_last")
+    )
+    steps = F.sequence("_first", "_last", F.expr(f"INTERVAL {int(every)} DAYS"))
+    calendar = ends.select(*keys, F.explode(steps).alias(time))
+    known = series.select(*keys, time, value)
+    filled = calendar.join(known, [*keys, time], "left")
+    if missing is not None:
+        return filled.withColumn(value, F.coalesce(value, F.lit(missing)))
+    before = (
+        Window.partitionBy(*keys)
+        .orderBy(time)
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    )
+    return filled.withColumn(value, F.last(value, ignorenulls=True).over(before))
+
+
 def series_forecast(
     series: DataFrame,
     keys: Sequence[str],
@@ -45,16 +76,21 @@ def series_forecast(
     horizon: int,
     min_history: int,
     ci: float = 0.95,
+    every: int = 1,
+    missing: float | None = None,
 ) -> DataFrame:
     """Seasonal random walk with drift: ``step``, ``forecast``, ``lower``, ``upper``.
 
     The forecast repeats the last season, moved by the mean change from one
     season to the next; the interval widens with the square root of the seasons
-    ahead. Series shorter than ``min_history`` are left out. A window holds one
-    series, one row per time step; all series run in parallel.
+    ahead. Steps are ``every`` days apart, and gaps are filled first (see
+    ``without_gaps``), so a season is a stretch of time and not of rows. Series
+    shorter than ``min_history`` steps are left out. A window holds one series,
+    one row per time step; all series run in parallel.
     """
     order = Window.partitionBy(*keys).orderBy(time)
     whole = Window.partitionBy(*keys)
+    series = without_gaps(series, keys, time, value, every=every, missing=missing)
     changes = series.select(
         *keys,
         F.col(value).alias("y"),
@@ -103,9 +139,14 @@ def forecast_otp(
     ci: float = 0.95,
     week_key: str = "iso",
 ) -> DataFrame:
-    """Weekly OTP, ``horizon`` weeks ahead, for the network or per ``keys``."""
+    """Weekly OTP, ``horizon`` weeks ahead, for the network or per ``keys``.
+
+    A week without shipments keeps the rate of the week before.
+    """
+    weeks = otp_weekly_series(star, keys=keys, week_key=week_key)
+    monday = F.trunc("week_start", "week")
     found = series_forecast(
-        otp_weekly_series(star, keys=keys, week_key=week_key),
+        weeks.withColumn("week_start", monday),
         keys,
         "week_start",
         "otp",
@@ -113,6 +154,7 @@ def forecast_otp(
         horizon=horizon,
         min_history=min_history,
         ci=ci,
+        every=7,
     )
     return found.withColumnsRenamed(
         {
@@ -133,7 +175,10 @@ def forecast_cost(
     min_history: int = 30,
     ci: float = 0.95,
 ) -> DataFrame:
-    """Daily total cost, ``horizon`` days ahead, for the network or per ``keys``."""
+    """Daily total cost, ``horizon`` days ahead, for the network or per ``keys``.
+
+    A day without shipments costs nothing.
+    """
     found = series_forecast(
         cost_daily_series(star, keys=keys),
         keys,
@@ -143,6 +188,7 @@ def forecast_cost(
         horizon=horizon,
         min_history=min_history,
         ci=ci,
+        missing=0.0,
     )
     return found.withColumnsRenamed(
         {

@@ -249,10 +249,10 @@ def origin_state_volume(star: Star) -> DataFrame:
 def inbound_node_balance(star: Star) -> DataFrame:
     """Volume share and service level per destination node."""
     kpis = ["shipment_count", "otp_rate", "avg_dwell", "avg_cost"]
-    # one row per destination node is left when the total is taken
-    total = F.sum("n").over(Window.partitionBy())
+    lanes = _per_lane(star, kpis)
+    total = lanes.agg(F.sum("n")).scalar()
     return (
-        merge(_per_lane(star, kpis), ["dest_fc_id", "dest_city", "dest_state"], kpis)
+        merge(lanes, ["dest_fc_id", "dest_city", "dest_state"], kpis)
         .select(
             "dest_fc_id",
             F.concat_ws(", ", "dest_city", "dest_state").alias("fc_location"),
@@ -278,7 +278,8 @@ def dwell_spikes(
 
     Both periods come from one pass: the period is part of the percentile key.
     """
-    start = star.resolve_as_of(as_of) - timedelta(days=days)
+    star, today = star.at(as_of)
+    start = today - timedelta(days=days)
     recent = shipped_since(start).alias("is_recent")
     p90 = percentiles(
         positive_dwell(star.fact, "lane_id", recent),

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from loadstar.functions.calendar import week_year
 from loadstar.functions.measures import gather, kpi, linked, merge
 from loadstar.functions.numeric import percent, ratio, rounded, settled
-from loadstar.operators.ordered import percentiles
+from loadstar.operators.ordered import percentiles, running_totals
 from loadstar.schema import DAY_NAMES, NETWORK_OTP_TARGET_PCT, PEAK_MONTHS
 from loadstar.star import Star
 
@@ -147,19 +147,21 @@ def late_pickup_cascade(star: Star) -> DataFrame:
     )
 
 
-def _pareto(size: str) -> tuple[Column, Column]:
-    """Share and running share (ties together) of ``size`` over a category list.
+def _pareto(categories: DataFrame, size: str) -> DataFrame:
+    """``categories`` with share and running share (ties together) of ``size``.
 
-    For rows that are one per defect reason, a short fixed vocabulary, so plain
-    windows over all of them are enough.
+    The column that names the category is free text, so its values may be many:
+    running sums are taken per distinct size, in buckets.
     """
-    largest = Window.orderBy(F.desc(size)).rangeBetween(
-        Window.unboundedPreceding, Window.currentRow
+    sums = running_totals(
+        categories.withColumn("_size", F.col(size)), [], size, "_size", descending=True
     )
-    total = F.sum(size).over(Window.partitionBy())
+    so_far = (F.col("weight_before") + F.col("weight_here")).alias("_so_far")
+    sums = sums.select(F.col(size).alias("_at"), so_far, F.col("weight_total").alias("_total"))
     return (
-        percent(ratio(size, total)),
-        percent(ratio(F.sum(size).over(largest), total)),
+        categories.join(sums, F.col(size) == F.col("_at"))
+        .withColumn("pct_of_total", percent(ratio(size, "_total")))
+        .withColumn("cumulative_pct", percent(ratio("_so_far", "_total")))
     )
 
 
@@ -169,12 +171,8 @@ def defect_reason_pareto(star: Star) -> DataFrame:
         .groupBy("defect_reason")
         .agg(F.count(F.lit(1)).alias("defect_count"))
     )
-    share, running = _pareto("defect_count")
-    return reasons.select(
-        "defect_reason",
-        "defect_count",
-        share.alias("pct_of_total"),
-        running.alias("cumulative_pct"),
+    return _pareto(reasons, "defect_count").select(
+        "defect_reason", "defect_count", "pct_of_total", "cumulative_pct"
     ).orderBy(F.desc("defect_count"), "defect_reason")
 
 
@@ -186,14 +184,13 @@ def accessorial_pareto(star: Star) -> DataFrame:
     reasons = gather(
         charged.select(reason, "accessorial_cost_usd"), ["reason"], kpis
     )
-    share, running = _pareto("accessorial_sum")
-    return reasons.select(
+    return _pareto(reasons, "accessorial_sum").select(
         "reason",
         kpi("shipment_count").alias("shipment_count"),
         kpi("total_accessorial").alias("total_accessorial"),
         rounded(kpi("avg_accessorial"), 2).alias("avg_accessorial"),
-        share.alias("pct_of_total"),
-        running.alias("cumulative_pct"),
+        "pct_of_total",
+        "cumulative_pct",
     ).orderBy(F.desc("total_accessorial"), "reason")
 
 

@@ -22,7 +22,7 @@ _NULL_BUCKET = -1
 
 
 def bucket_count(df: DataFrame, buckets: int | None) -> int:
-    """``buckets``, or as many as the session has shuffle partitions (64 to 1024).
+    """``buckets``, or as many as the session has shuffle partitions, at least 64.
 
     A session tuned for more data cuts finer, so that a group holding a third of
     all distinct values still falls into many tasks.
@@ -30,7 +30,7 @@ def bucket_count(df: DataFrame, buckets: int | None) -> int:
     if buckets is not None:
         return buckets
     partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return min(1024, max(64, partitions))
+    return max(64, partitions)
 
 
 def _value_counts(
@@ -218,7 +218,9 @@ def global_rank(
         descending=descending,
         buckets=buckets,
     ).select(*keys, value, (F.col("weight_before") + 1).alias(name))
-    return df.join(ranks, [*keys, value], "left")
+    on = [F.col(f"d.{c}").eqNullSafe(F.col(f"r.{c}")) for c in [*keys, value]]
+    joined = df.alias("d").join(ranks.alias("r"), on, "left")
+    return joined.select("d.*", F.col(f"r.{name}").alias(name))
 
 
 def percentiles(

@@ -48,7 +48,7 @@ def pricing_recommendations(
     increase; otherwise a falling volume, or strong growth with good service,
     earns a discount. One pass over the fact gathers metrics and growth alike.
     """
-    today = star.resolve_as_of(as_of)
+    star, today = star.at(as_of)
     kpis = [
         "shipment_count",
         "avg_cost",

@@ -45,20 +45,31 @@ def fk_orphans(
 ) -> DataFrame:
     """Fact rows without a dimension row, one result row per foreign key.
 
-    Rows are counted per key value first, so the anti join sees each key once. A
-    NULL key counts as an orphan.
+    All keys are counted per value in one pass over the fact and looked up in one
+    anti join. A NULL key counts as an orphan.
     """
     tables = star.tables()
-    checks = []
-    for column, (table, key) in foreign_keys.items():
-        used = star.fact.groupBy(column).agg(F.count(F.lit(1)).alias("n"))
-        keys = tables[table].select(F.col(key).alias(column))
-        orphans = used.join(keys, column, "left_anti").agg(
-            F.coalesce(F.sum("n"), F.lit(0)).alias("orphans")
-        )
-        n = F.col("orphans")
-        checks.append(_check(orphans, f"orphan_{column}", n, n == 0))
-    return _stack(checks)
+    pairs = [
+        F.struct(F.lit(c).alias("fk"), F.col(c).cast("bigint").alias("value"))
+        for c in foreign_keys
+    ]
+    used = star.fact.select(F.inline(F.array(*pairs))).groupBy("fk", "value").agg(
+        F.count(F.lit(1)).alias("n")
+    )
+    known = _stack(
+        [
+            tables[table].select(F.lit(column).alias("fk"), F.col(key).cast("bigint").alias("value"))
+            for column, (table, key) in foreign_keys.items()
+        ]
+    )
+    orphans = used.join(known, ["fk", "value"], "left_anti").groupBy("fk").agg(F.sum("n").alias("orphans"))
+    names = star.fact.sparkSession.range(1).select(F.explode(F.array(*map(F.lit, foreign_keys))).alias("fk"))
+    n = F.coalesce("orphans", F.lit(0))
+    return names.join(orphans, "fk", "left").select(
+        F.concat(F.lit("orphan_"), "fk").alias("check_name"),
+        n.cast("double").alias("value"),
+        (n == 0).alias("passed"),
+    )
 
 
 def cost_identity(star: Star) -> DataFrame:

@@ -113,7 +113,7 @@ def shipper_health(
     One pass over the fact gathers service, cost, growth and reliability; the
     tier benchmark is a roll-up of the same per-shipper rows.
     """
-    today = star.resolve_as_of(as_of)
+    star, today = star.at(as_of)
     share = {**HEALTH_WEIGHTS, **(weights or {})}
     kpis = ["shipment_count", "otd_rate", "defect_free_rate", "avg_cost", "on_time"]
     shippers = volume_growth(star, today, growth_days, *part_aggregates(kpis)).join(

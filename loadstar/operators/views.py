@@ -221,12 +221,15 @@ def anomaly_summary(
     )
 
 
-def all_views(star: Star, *, as_of: date | None = None) -> dict[str, DataFrame]:
-    today = star.resolve_as_of(as_of)
+def all_views(
+    star: Star, *, as_of: date | None = None, week_key: str = "calendar"
+) -> dict[str, DataFrame]:
+    """The six views; weeks pair the calendar year with the ISO week unless told else."""
+    star, today = star.at(as_of)
     return {
         "v_carrier_scorecard": carrier_scorecard(star),
         "v_lane_performance": lane_performance(star),
-        "v_weekly_kpis": weekly_kpis(star),
+        "v_weekly_kpis": weekly_kpis(star, week_key=week_key),
         "v_shipper_costtoserve": shipper_cost_to_serve(star),
         "v_shipper_health": shippers.shipper_health(star, as_of=today),
         "v_anomaly_flags": anomaly_flags(star, as_of=today),
@@ -239,6 +242,7 @@ def export_kpi_tables(
     """Write the weekly, carrier, lane and shipper tables as CSV folders."""
     from loadstar.sources.warehouse import write_csv
 
+    star, as_of = star.at(as_of)
     tables = {
         "weekly_kpis": weekly_kpis(star, week_key=week_key),
         "carrier_scorecard": carrier_scorecard(star),

@@ -8,6 +8,7 @@ the ``_iso`` variants use the ISO week-year, under which weeks sort in time.
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import date
 from functools import partial
 
 from pyspark.sql import DataFrame
@@ -41,6 +42,8 @@ Query = Callable[[Star], DataFrame]
 
 _CALENDAR = {"week_key": "calendar"}
 _DATED = {"as_of": AS_OF}
+# a day in the middle of the data, for queries that look back from one
+_PAST = date(2024, 8, 18)
 
 
 def _exported(star: Star) -> DataFrame:
@@ -106,11 +109,12 @@ def _carrier_cost_ranks(star: Star) -> DataFrame:
     return ordered.global_rank(spend, "total_cost", descending=True, name="cost_rank")
 
 
-def _anomaly_count(star: Star) -> DataFrame:
+def _anomaly_count(star: Star, *, as_of: date = AS_OF) -> DataFrame:
+    star, as_of = star.at(as_of)
     return anomalies.anomaly_count(
         anomalies.zscore_flags(star, **_CALENDAR),
         anomalies.iqr_cost_anomalies(star),
-        as_of=AS_OF,
+        as_of=as_of,
     )
 
 
@@ -219,6 +223,7 @@ QUERIES: dict[str, Query] = {
     "dq_pk_unique": quality.pk_unique,
     "dq_not_null": quality.not_null,
     "dq_domain": quality.domains,
+    "dq_report": quality.all_checks,
     # report tables
     "report_kpi_snapshot": reports.kpi_snapshot,
     "report_carrier_month": reports.carrier_month,
@@ -245,3 +250,21 @@ QUERIES: dict[str, Query] = {
     "filter_values": dashboards.filter_values,
     "anomaly_window_otp": anomalies.anomaly_window_otp,
 }
+
+QUERIES |= {
+    f"{name}_past": partial(QUERIES[name], as_of=_PAST)
+    for name in (
+        "q28_carriers_otp_decline",
+        "q29_lanes_dwell_spike",
+        "q30_anomaly_summary_14d",
+        "v_shipper_health",
+        "v_anomaly_flags",
+        "bi_extract_60d",
+        "anomaly_count_14d",
+        "briefing_rows",
+        "pricing_recommendations",
+        "exec_kpi_period_delta",
+        "exec_top_issues",
+        "health_filtered",
+    )
+}

@@ -329,10 +329,15 @@ _Z95 = repr(NormalDist().inv_cdf(0.975))
 def _forecast(
     series: str, key: str, time: str, value: str, period: int, horizon: int, least: int, names: tuple
 ) -> str:
-    """Seasonal walk with drift, in plain window SQL."""
+    """Seasonal walk with drift. Earlier seasons are found by date, in a calendar without gaps."""
     part = f"PARTITION BY {key}" if key else ""
     keys = f"{key}, " if key else ""
     step, middle, low, high = names
+    weekly = time == "week_start"
+    every = 7 if weekly else 1
+    day = f"date_trunc('week', {time})::DATE" if weekly else time
+    same = f"a.{key} = b.{key} AND " if key else ""
+    known = f"LAST_VALUE({value} IGNORE NULLS) OVER ({part} ORDER BY t)" if weekly else f"COALESCE({value}, 0.0::DOUBLE)"
     return _q(
         f"""{keys}step::INTEGER AS {step}, ROUND(ROUND(y + k * drift, 8), 6) AS {middle},
         ROUND(ROUND(y + k * drift - {_Z95}::DOUBLE * sigma * SQRT(k), 8), 6) AS {low},
@@ -341,8 +346,12 @@ def _forecast(
               FROM last_season JOIN range(1, {horizon + 1}) h(step)
                 ON step >= place AND (step - place) % {period} = 0)""",
         f"""ser AS ({series}),
-        ch AS (SELECT {keys}{value} AS y, ROW_NUMBER() OVER ({part} ORDER BY {time}) AS t,
-            {value} - LAG({value}, {period}) OVER ({part} ORDER BY {time}) AS d FROM ser),
+        dated AS (SELECT {keys}{day} AS t, {value} FROM ser),
+        steps AS (SELECT {keys}UNNEST(generate_series(MIN(t), MAX(t), INTERVAL {every} DAY))::DATE AS t
+            FROM dated {"GROUP BY " + key if key else ""}),
+        filled AS (SELECT {keys}t, {known} AS y FROM steps LEFT JOIN dated USING ({keys}t)),
+        ch AS (SELECT {"a." + keys if key else ""}a.y, ROW_NUMBER() OVER ({part.replace("BY ", "BY a.")} ORDER BY a.t) AS t, a.y - b.y AS d
+            FROM filled a LEFT JOIN filled b ON {same}b.t = a.t - {period * every}),
         fit AS (SELECT *, COUNT(*) OVER ({part}) AS n, AVG(d) OVER ({part}) AS drift,
             STDDEV_SAMP(d) OVER ({part}) AS sigma FROM ch),
         last_season AS (SELECT *, t - (n - {period}) AS place FROM fit WHERE n >= {least} AND t > n - {period})""",
@@ -970,3 +979,43 @@ ORACLE_SQL: dict[str, str] = {
         "FROM s WHERE carrier_tier = 'Spot' AND lane_id IN (1, 2, 3)",
     ),
 }
+
+
+PAST = "DATE '2024-08-18'"
+#: Queries that look back from a day, and so are also asked in the middle of the year.
+DATED = (
+    "q28_carriers_otp_decline",
+    "q29_lanes_dwell_spike",
+    "q30_anomaly_summary_14d",
+    "v_shipper_health",
+    "v_anomaly_flags",
+    "bi_extract_60d",
+    "anomaly_count_14d",
+    "briefing_rows",
+    "pricing_recommendations",
+    "exec_kpi_period_delta",
+    "exec_top_issues",
+    "health_filtered",
+)
+
+
+def at_past(sql: str) -> str:
+    """The same question asked on an earlier day, when nothing later had shipped."""
+    bounded = sql.replace("  FROM flags\n), s AS", f"  FROM flags WHERE ship_date <= {PAST}\n), s AS")
+    assert bounded != sql
+    return bounded.replace(AS_OF, PAST)
+
+
+ORACLE_SQL["dq_report"] = " UNION ALL ".join(
+    f"SELECT check_name, value, passed FROM ({ORACLE_SQL[name]})"
+    for name in (
+        "dq_row_count",
+        "dq_distinct_lanes",
+        "dq_fk_orphans",
+        "dq_cost_identity",
+        "dq_null_pickup",
+        "dq_negative_dwell",
+        "dq_top20_concentration",
+    )
+)
+ORACLE_SQL |= {f"{name}_past": at_past(ORACLE_SQL[name]) for name in DATED}

@@ -19,13 +19,17 @@ from loadstar.star import Star
 FIRST_DAY = date(2024, 1, 1)
 LAST_DAY = date(2024, 12, 31)
 AS_OF = LAST_DAY
-_REGIONS = 5
 
 
 def _table(spark: SparkSession, path: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{path}/{name}.parquet")
 
 
+def _stride(spark: SparkSession, path: str) -> Column:
+    """Lane ids per origin: one for every region key there can be."""
+    return _table(spark, path, "region").agg(F.max("r_regionkey") + 1).scalar()
+
+
 def _pick(index: Column, values: tuple) -> Column:
     """``values[index]`` for a small fixed tuple."""
     picked = None
@@ -88,8 +92,9 @@ def _lanes(spark: SparkSession, path: str) -> DataFrame:
     origin = region.select(
         F.col("r_regionkey").alias("o_regionkey"), F.col("r_name").alias("o_region")
     )
-    destinations = F.explode(F.sequence(F.lit(0), F.lit(_REGIONS - 1)))
-    lane_id = F.col("n_nationkey").cast("bigint") * _REGIONS + F.col("r_regionkey")
+    stride = _stride(spark, path)
+    destinations = F.explode(F.sequence(F.lit(0), stride - 1))
+    lane_id = F.col("n_nationkey").cast("bigint") * stride + F.col("r_regionkey")
     return (
         nation.withColumn("dest", destinations)
         .join(origin, F.col("n_regionkey") == F.col("o_regionkey"))
@@ -127,13 +132,11 @@ def _shippers(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def _services(spark: SparkSession, path: str) -> DataFrame:
-    """One row per service that an order priority maps to."""
-    priorities = _table(spark, path, "orders").select(
-        _service_id(F.col("o_orderpriority")).alias("service_type_id")
-    )
+def _services(spark: SparkSession) -> DataFrame:
+    """One row per service; order priorities map to their numbers."""
     index = F.col("service_type_id") - 1
-    return priorities.distinct().select(
+    numbers = spark.range(1, len(schema.SERVICES) + 1, numPartitions=1)
+    return numbers.select(F.col("id").cast("int").alias("service_type_id")).select(
         "service_type_id",
         _pick(index, tuple(s[0] for s in schema.SERVICES)).alias("service_name"),
         _pick(index, tuple(s[1] for s in schema.SERVICES)).alias(
@@ -194,7 +197,7 @@ def _order_rules(spark: SparkSession, path: str) -> DataFrame:
     hours = tuple(s[1] for s in schema.SERVICES)
     return (
         _table(spark, path, "orders")
-        .join(customer_region, F.col("o_custkey") == F.col("c_custkey"))
+        .join(customer_region, F.col("o_custkey") == F.col("c_custkey"), "left")
         .select(
             "o_orderkey",
             "o_custkey",
@@ -239,9 +242,12 @@ def _lines(spark: SparkSession, path: str) -> DataFrame:
 
     Customers go to orders first, so the widest table is shuffled only once, on
     the fine-grained order key. No join is forced to broadcast: Spark sends a
-    side to all executors only when its measured size allows it.
+    side to all executors only when its measured size allows it. A line whose
+    order, customer, supplier or day is missing stays, with what depends on it
+    NULL, so that the data checks can see it.
     """
-    day_number = F.unix_date(F.col("l_shipdate").cast("date")) % 366
+    # a day of the year for every date, also before 1970
+    day_number = F.pmod(F.unix_date(F.col("l_shipdate").cast("date")), F.lit(366))
     lines = _table(spark, path, "lineitem").select(
         F.concat_ws("-", "l_orderkey", "l_linenumber").alias("shipment_id"),
         "l_orderkey",
@@ -260,12 +266,13 @@ def _lines(spark: SparkSession, path: str) -> DataFrame:
     orders = _order_rules(spark, path)
     carriers = _carrier_rules(spark, path)
     return (
-        lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
-        .join(carriers, F.col("carrier_id") == F.col("s_suppkey"))
-        .join(_day_rules(spark), "day_number")
+        lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"), "left")
+        .join(carriers, F.col("carrier_id") == F.col("s_suppkey"), "left")
+        .join(_day_rules(spark), "day_number", "left")
         .withColumn(
             "lane_id",
-            F.col("s_nationkey").cast("bigint") * _REGIONS + F.col("dest_region"),
+            F.col("s_nationkey").cast("bigint") * _stride(spark, path)
+            + F.col("dest_region"),
         )
         .drop("l_orderkey", "o_orderkey", "s_suppkey", "s_nationkey", "dest_region")
     )
@@ -366,5 +373,5 @@ def derive_star(spark: SparkSession, path: str, *, by_month: bool = False) -> St
         lane=_lanes(spark, path),
         shipper=_shippers(spark, path),
         date=dim_date(spark, FIRST_DAY, LAST_DAY),
-        service=_services(spark, path),
+        service=_services(spark),
     )

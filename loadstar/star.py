@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from datetime import date, timedelta
 
 from pyspark.sql import Column, DataFrame
@@ -62,7 +62,18 @@ class Star:
         return fact
 
     def last_days(self, as_of: date, days: int) -> DataFrame:
-        return self.between(first=as_of - timedelta(days=days))
+        """Shipments of the ``days`` days up to ``as_of`` and of that day itself."""
+        return self.between(as_of - timedelta(days=days), as_of + timedelta(days=1))
+
+    def at(self, as_of: date | None) -> tuple[Star, date]:
+        """The star as it stood at the end of ``as_of``, and that day.
+
+        Nothing shipped later is seen, neither by periods nor by whole-history
+        metrics. Without ``as_of`` the last ship day bounds nothing.
+        """
+        if as_of is None:
+            return self, self.resolve_as_of(None)
+        return replace(self, fact=self.between(before=as_of + timedelta(days=1))), as_of
 
 
 def shipped_since(day: date) -> Column:
