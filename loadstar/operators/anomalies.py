@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from loadstar.functions.calendar import day_literal
-from loadstar.functions.measures import gather, kpi, merge, part_aggregates
+from loadstar.functions.measures import gather, kpi, merge
 from loadstar.functions.numeric import half_even, percent, ratio, rounded, settled
 from loadstar.operators.network import by_week
 from loadstar.operators.ordered import percentiles
@@ -23,8 +23,8 @@ HINT_COLLAPSE = "OTP collapse on weekday lanes"
 HINT_IMPROVED = "Unusual OTP improvement"
 
 
-def _severity(size: Column) -> Column:
-    return F.when(size > 3.5, "HIGH").when(size > 3.0, "MEDIUM").otherwise("LOW")
+def _severity(size: Column, high: float, medium: float) -> Column:
+    return F.when(size > high, "HIGH").when(size > medium, "MEDIUM").otherwise("LOW")
 
 
 def zscore_flags(
@@ -33,6 +33,8 @@ def zscore_flags(
     window: int = 8,
     min_n: int = 5,
     z_max: float = 2.5,
+    high: float = 3.5,
+    medium: float = 3.0,
     week_key: str = "iso",
 ) -> DataFrame:
     """Lane-weeks whose OTP is far from the ``window`` qualifying weeks before.
@@ -71,7 +73,7 @@ def zscore_flags(
         half_even("otp", 4).alias("otp_observed"),
         half_even("expected", 4).alias("otp_expected"),
         half_even("z", 3).alias("z_score"),
-        _severity(size).alias("severity"),
+        _severity(size, high, medium).alias("severity"),
     )
 
 
@@ -86,8 +88,8 @@ def anomaly_reason_hints(
 ) -> DataFrame:
     """``anomalies`` with a ``reason_hint`` from the shipments behind each one.
 
-    Every flagged lane-week becomes its seven lane-days, so one equality join
-    fetches the shipments of all anomalies at once. ``mode='reference'`` raises
+    Every flagged lane-week becomes its seven lane-days, which are joined to the
+    fact's totals per lane, day and carrier. ``mode='reference'`` raises
     the Spot hint whenever a Spot carrier moved anything; ``mode='share'``
     compares the Spot share of the week's volume with ``spot``.
     """
@@ -106,11 +108,13 @@ def anomaly_reason_hints(
         )
     )
     kpis = ["shipment_count", "accessorial_share", "defect_rate"]
-    tiers = (
-        star.fact.join(lane_days, ["lane_id", "shipment_date_key"])
-        .join(star.carrier.select("carrier_id", "carrier_tier"), "carrier_id")
-        .groupBy(*week, "carrier_tier")
-        .agg(*part_aggregates(kpis))
+    cells = gather(star.fact, ["lane_id", "shipment_date_key", "carrier_id"], kpis)
+    tiers = merge(
+        cells.join(lane_days, ["lane_id", "shipment_date_key"]).join(
+            star.carrier.select("carrier_id", "carrier_tier"), "carrier_id"
+        ),
+        [*week, "carrier_tier"],
+        kpis,
     )
     spot_n = F.sum(F.when(F.col("carrier_tier") == "Spot", F.col("n")).otherwise(0))
     spot_share = (
@@ -174,17 +178,15 @@ def iqr_cost_anomalies(star: Star, *, k: float = 1.5, min_n: int = 3) -> DataFra
     quartiles are exact and spread over value buckets, not one task per type.
     """
     kpis = ["shipment_count", "cpm"]
+    cells = gather(
+        star.fact.where(F.col("distance_miles") > 0),
+        ["carrier_id", "lane_id", "shipment_date_key"],
+        kpis,
+    )
+    types = star.lane.select("lane_id", "lane_type").where(F.col("lane_type").isNotNull())
+    keys = ["carrier_id", "lane_type", "shipment_date_key"]
     daily = (
-        gather(
-            star.fact.where(F.col("distance_miles") > 0).join(
-                star.lane.select("lane_id", "lane_type").where(
-                    F.col("lane_type").isNotNull()
-                ),
-                "lane_id",
-            ),
-            ["carrier_id", "lane_type", "shipment_date_key"],
-            kpis,
-        )
+        merge(cells.join(types, "lane_id"), keys, kpis)
         .where(F.col("n") >= min_n)
         .withColumn("cpm", kpi("cpm"))
     )

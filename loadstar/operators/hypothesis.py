@@ -216,10 +216,11 @@ def peak_cost_lift(
     star: Star, *, critical: float = 1.96, buckets: int | None = None
 ) -> DataFrame:
     """Cost per mile in the peak quarter against the rest, by rank."""
-    peak = F.col("month").isin(list(PEAK_MONTHS))
+    month = F.expr("shipment_date_key div 100 % 100")
+    peak = month.isin(list(PEAK_MONTHS))
+    dated = F.col("shipment_date_key").isNotNull()
     cost = (
-        star.fact.where(F.col("distance_miles") > 0)
-        .join(star.date, F.col("shipment_date_key") == F.col("date_key"))
+        star.fact.where(dated & (F.col("distance_miles") > 0))
         .select(
             F.when(peak, "Q4").otherwise("Non-Q4").alias("period"),
             ratio("total_cost_usd", "distance_miles").alias("cpm"),

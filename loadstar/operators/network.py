@@ -262,18 +262,24 @@ def utilization_by_service(star: Star) -> DataFrame:
         "shipments",
         {"p25": 0.25, "p50": 0.50, "p75": 0.75},
     )
-    kpis = ["shipment_count", "avg_utilization", "util_under_half_rate"]
+    # the same counts per distinct value also give the means
+    value, n = F.col("trailer_utilization_pct"), F.col("shipments")
+    known = F.when(value.isNotNull(), n)
+    totals = fill.groupBy("service_name").agg(
+        F.sum(n).alias("shipment_count"),
+        ratio(F.sum(value * n), F.sum(known)).alias("mean"),
+        ratio(F.coalesce(F.sum(F.when(value < 0.5, n)), F.lit(0)), F.sum(n)).alias("low"),
+    )
     return (
-        _per_service(star, kpis)
-        .join(quartiles, "service_name")
+        totals.join(quartiles, "service_name")
         .select(
             "service_name",
-            kpi("shipment_count").alias("shipment_count"),
-            percent(kpi("avg_utilization")).alias("avg_utilization_pct"),
+            "shipment_count",
+            percent("mean").alias("avg_utilization_pct"),
             percent("p25").alias("util_p25"),
             percent("p50").alias("util_p50"),
             percent("p75").alias("util_p75"),
-            percent(kpi("util_under_half_rate")).alias("pct_under_50"),
+            percent("low").alias("pct_under_50"),
         )
         .orderBy("avg_utilization_pct", "service_name")
     )

@@ -7,10 +7,9 @@ from datetime import date
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loadstar.functions.measures import gather, kpi
+from loadstar.functions.measures import gather, kpi, merge, parts_of
 from loadstar.functions.numeric import percent, ratio, rounded, settled
 from loadstar.operators import shippers
-from loadstar.operators.lanes import positive_dwell
 from loadstar.operators.network import by_week
 from loadstar.operators.ordered import percentiles
 from loadstar.star import Star, lane_label
@@ -27,15 +26,22 @@ def carrier_scorecard(star: Star) -> DataFrame:
         "avg_cost",
         "total_cost",
     ]
+    # One pass per carrier and dwell value serves the percentiles and the KPIs. The
+    # condition always holds, but it keeps all parts in use on both branches, so
+    # that they share the shuffle.
+    cells = gather(star.fact, ["carrier_id", "dwell_minutes"], kpis)
+    used = [F.col(p).cast("double") for p in parts_of(kpis)]
+    cells = cells.where(F.greatest(F.lit(0.0), *used) >= 0)
+    minutes = F.when(F.col("dwell_minutes") > 0, F.col("dwell_minutes"))
     dwell = percentiles(
-        positive_dwell(star.fact, "carrier_id"),
+        cells.withColumn("minutes", minutes),
         ["carrier_id"],
         "minutes",
-        "shipments",
+        "n",
         {"dwell_p50": 0.50, "dwell_p90": 0.90},
     )
     return (
-        gather(star.fact, ["carrier_id"], kpis)
+        merge(cells, ["carrier_id"], kpis)
         .join(dwell, "carrier_id")
         .join(star.carrier, "carrier_id")
         .select(

@@ -65,6 +65,18 @@ def _exported(star: Star) -> DataFrame:
     return result
 
 
+def _kept(name: str, query: Query) -> Query:
+    """Write the result as CSV, read it back with its types, and return what was read."""
+
+    def written(star: Star) -> DataFrame:
+        table = query(star)
+        path = new_folder(star.fact.sparkSession, name)
+        warehouse.write_csv(table, path)
+        return warehouse.read_csv(table.sparkSession, path, table.schema)
+
+    return written
+
+
 def _on_time_audit(star: Star) -> DataFrame:
     """Stored on-time flags against flags derived from the timestamps."""
     stored = star.fact.withColumnsRenamed(
@@ -268,3 +280,18 @@ QUERIES |= {
         "health_filtered",
     )
 }
+
+# The tables a refresh leaves behind: written, read back, and compared in full.
+SINKS = (
+    "v_weekly_kpis",
+    "v_carrier_scorecard",
+    "v_lane_performance",
+    "v_shipper_health",
+    "zscore_otp_anomalies",
+    "iqr_cost_anomalies",
+    "pricing_recommendations",
+    "forecast_otp",
+    "forecast_cost",
+    "bi_extract_60d",
+)
+QUERIES |= {f"sink_{name}": _kept(f"sink-{name}", QUERIES[name]) for name in SINKS}

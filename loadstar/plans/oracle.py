@@ -981,6 +981,19 @@ ORACLE_SQL: dict[str, str] = {
 }
 
 
+#: Tables that are written, read back and compared in full.
+SINKS = (
+    "v_weekly_kpis",
+    "v_carrier_scorecard",
+    "v_lane_performance",
+    "v_shipper_health",
+    "zscore_otp_anomalies",
+    "iqr_cost_anomalies",
+    "pricing_recommendations",
+    "forecast_otp",
+    "forecast_cost",
+    "bi_extract_60d",
+)
 PAST = "DATE '2024-08-18'"
 #: Queries that look back from a day, and so are also asked in the middle of the year.
 DATED = (
@@ -1019,3 +1032,4 @@ ORACLE_SQL["dq_report"] = " UNION ALL ".join(
     )
 )
 ORACLE_SQL |= {f"{name}_past": at_past(ORACLE_SQL[name]) for name in DATED}
+ORACLE_SQL |= {f"sink_{name}": ORACLE_SQL[name] for name in SINKS}

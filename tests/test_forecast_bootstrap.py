@@ -45,6 +45,31 @@ def test_interval_brackets_and_widens(spark):
         assert r["lower"] < r["forecast"] < r["upper"]
 
 
+def test_gaps_do_not_shift_the_season(spark):
+    """A weekly pattern stays in place when days are missing; a missing day is zero."""
+    pattern = [0, 100, 200, 300, 400, 500, 600]
+    full = [(("a", START + timedelta(days=i), float(pattern[i % 7]))) for i in range(100)]
+    schema = "k string, day date, y double"
+    options = {"period": 7, "horizon": 7, "missing": 0.0}
+    expected = [pattern[(100 + i) % 7] for i in range(7)]
+    rows = run(spark.createDataFrame(full, schema), **options)
+    assert [r["forecast"] for r in rows] == expected
+    # zero days left out change nothing
+    rows = run(spark.createDataFrame([r for r in full if r[2]], schema), **options)
+    assert [r["forecast"] for r in rows] == expected
+
+
+def test_gap_filling(spark):
+    rows = [("a", START, 5.0), ("a", START + timedelta(days=14), 7.0), ("b", START, None), ("b", START + timedelta(days=7), 1.0)]
+    df = spark.createDataFrame(rows, "k string, day date, y double")
+    carried = forecast.without_gaps(df, ["k"], "day", "y", every=7).orderBy("k", "day").collect()
+    assert [(r["k"], r["y"]) for r in carried] == [("a", 5.0), ("a", 5.0), ("a", 7.0), ("b", None), ("b", 1.0)]
+    zero = forecast.without_gaps(df, ["k"], "day", "y", every=7, missing=0.0).orderBy("k", "day").collect()
+    assert [r["y"] for r in zero] == [5.0, 0.0, 7.0, 0.0, 1.0]
+    whole = forecast.without_gaps(df.where("k = 'a'"), [], "day", "y", every=7, missing=0.0)
+    assert whole.count() == 3
+
+
 def test_short_series_are_left_out(spark):
     df = series(spark, range(9)).unionByName(series(spark, range(12), ("b",)))
     assert {r["k"] for r in run(df)} == {"b"}

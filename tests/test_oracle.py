@@ -19,6 +19,7 @@ MAY_BE_EMPTY |= {"q21_modal_mismatch_candidates_low", "cost_anomalies_filtered"}
 MAY_BE_EMPTY |= {"iqr_cost_anomalies", "anomalies_filtered", "q29_lanes_dwell_spike"}
 MAY_BE_EMPTY |= {"zscore_otp_anomalies", "zscore_otp_anomalies_iso"}
 MAY_BE_EMPTY |= {"anomaly_reason_hints_share", "forecast_otp_by_lane"}
+MAY_BE_EMPTY |= {"sink_iqr_cost_anomalies", "sink_zscore_otp_anomalies"}
 MAY_BE_EMPTY |= {"q28_carriers_otp_decline_past", "q29_lanes_dwell_spike_past"}
 
 

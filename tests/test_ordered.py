@@ -101,3 +101,13 @@ def test_cumulative_top_keeps_ties_behind_the_limit(spark):
     # b ties with c and d, so its running sum holds all three
     assert [r["running"] for r in rows] == [5, 14]
     assert {r["overall"] for r in rows} == {15}
+
+
+def test_global_rank_with_null_keys(spark):
+    """NULL keys form a group of their own; only NULL values have no rank."""
+    rows = [("a", "x", 1), ("a", "x", 2), ("a", None, 5), ("a", None, 5), ("a", None, 9), (None, None, None)]
+    df = spark.createDataFrame(rows, "k1 string, k2 string, v int")
+    found = global_rank(df, "v", keys=["k1", "k2"], buckets=3)
+    assert found.columns == ["k1", "k2", "v", "rank"]
+    ranks = sorted(((r.k2 or "", r.v, r["rank"]) for r in found.collect()), key=str)
+    assert ranks == sorted([("x", 1, 1), ("x", 2, 2), ("", 5, 1), ("", 5, 1), ("", 9, 3), ("", None, None)], key=str)
