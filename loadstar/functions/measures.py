@@ -41,6 +41,10 @@ def _negative_dwell() -> Column:
 _PARTS: dict[str, Callable[[], Column]] = {
     "n": lambda: F.count(F.lit(1)),
     "on_time": lambda: F.count_if(F.col("on_time_pickup")),
+    "on_time_known": lambda: F.count_if(
+        F.col("on_time_pickup") & F.col("pickup_actual_ts").isNotNull()
+    ),
+    "pickup_known": lambda: F.count("pickup_actual_ts"),
     "delivered_on_time": lambda: F.count_if(F.col("on_time_delivery")),
     "defects": lambda: F.count_if(F.col("defect_flag")),
     "dwell_sum": lambda: F.sum(_positive_dwell()),
@@ -85,6 +89,8 @@ def _mean(total: str, count: str) -> Callable[[], Column]:
 _KPIS: dict[str, tuple[tuple[str, ...], Callable[[], Column]]] = {
     "shipment_count": (("n",), lambda: F.col("n")),
     "otp_rate": (("on_time", "n"), _rate("on_time", "n")),
+    # shipments without a pickup time left out of both counts
+    "otp_known_rate": (("on_time_known", "pickup_known"), _rate("on_time_known", "pickup_known")),
     "otd_rate": (("delivered_on_time", "n"), _rate("delivered_on_time", "n")),
     "defect_rate": (("defects", "n"), _rate("defects", "n")),
     "defect_free_rate": (

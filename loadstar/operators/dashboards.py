@@ -134,21 +134,20 @@ def health_filtered(
 def lane_otp_pivot(star: Star, *, nodes: Sequence[str] | None = None) -> DataFrame:
     """Origin rows x destination-node columns of OTP %.
 
-    Column names must be known before the pivot; without ``nodes`` they are read
-    from the lane dimension, which has one value per destination node.
+    A table's columns must be named before it is computed, so the caller names the
+    ``nodes`` wanted. Without them the result stays long: one row per origin and node.
     """
-    if nodes is None:
-        found = star.lane.select("dest_fc_id").distinct().orderBy("dest_fc_id")
-        nodes = [row[0] for row in found.collect()]
     lanes = gather(star.fact, ["lane_id"], ["otp_rate"]).join(star.lane, "lane_id")
     cells = merge(lanes, ["origin_city", "dest_fc_id"], ["otp_rate"])
+    rows = cells.select(
+        F.col("origin_city").alias("origin"),
+        "dest_fc_id",
+        percent(kpi("otp_rate")).alias("otp"),
+    )
+    if nodes is None:
+        return rows.orderBy("origin", "dest_fc_id")
     return (
-        cells.select(
-            F.col("origin_city").alias("origin"),
-            "dest_fc_id",
-            percent(kpi("otp_rate")).alias("otp"),
-        )
-        .groupBy("origin")
+        rows.groupBy("origin")
         .pivot("dest_fc_id", list(nodes))
         .agg(F.first("otp"))
         .orderBy("origin")

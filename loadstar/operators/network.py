@@ -297,11 +297,16 @@ def negative_dwell_audit(star: Star) -> DataFrame:
     )
 
 
-def network_kpis(star: Star) -> DataFrame:
-    """Nine network measures in one row."""
+def network_kpis(star: Star, *, exclude_unknown_pickup: bool = False) -> DataFrame:
+    """Nine network measures in one row.
+
+    ``exclude_unknown_pickup`` leaves shipments without a pickup time out of the
+    on-time pickup rate; all other measures keep them.
+    """
+    otp = "otp_known_rate" if exclude_unknown_pickup else "otp_rate"
     kpis = [
         "shipment_count",
-        "otp_rate",
+        otp,
         "otd_rate",
         "avg_dwell",
         "defect_rate",
@@ -312,7 +317,7 @@ def network_kpis(star: Star) -> DataFrame:
     ]
     return gather(star.fact, [], kpis).select(
         kpi("shipment_count").alias("total_shipments"),
-        percent(kpi("otp_rate")).alias("otp_pct"),
+        percent(kpi(otp)).alias("otp_pct"),
         percent(kpi("otd_rate")).alias("otd_pct"),
         rounded(kpi("avg_dwell"), 1).alias("avg_dwell"),
         percent(kpi("defect_rate"), 2).alias("defect_rate_pct"),

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
 from datetime import date
 
 from pyspark.sql import Column, DataFrame
@@ -34,6 +35,20 @@ def _limited(value: Column, low: float, high: float) -> Column:
     return F.least(F.lit(float(high)), F.greatest(F.lit(float(low)), value))
 
 
+@dataclass(frozen=True)
+class Limits:
+    """Where the rules begin, and the least and most percent they change a rate by."""
+
+    decline: float = -0.20
+    growth: float = 0.10
+    good_service: float = 0.92
+    poor_service: float = 0.85
+    defects: float = 0.03
+    increase: tuple[float, float] = (3, 15)
+    decline_discount: tuple[float, float] = (2, 8)
+    growth_discount: tuple[float, float] = (2, 5)
+
+
 def pricing_recommendations(
     star: Star,
     *,
@@ -41,6 +56,7 @@ def pricing_recommendations(
     top: int = 20,
     benchmark_cpm: float = BENCHMARK_CPM,
     markup: float = 1.08,
+    limits: Limits = Limits(),
 ) -> DataFrame:
     """Action, size and up to two drivers for the ``top`` shippers by volume.
 
@@ -69,8 +85,8 @@ def pricing_recommendations(
     )
     growth, otd, defect = F.col("growth_rate"), F.col("otd_rate"), F.col("defect_rate")
     gap, profitable = F.col("cost_gap_pct"), F.col("is_profitable")
-    declining = growth < -0.20
-    rewarded = profitable & ~declining & (growth > 0.10) & (otd > 0.92)
+    declining = growth < limits.decline
+    rewarded = profitable & ~declining & (growth > limits.growth) & (otd > limits.good_service)
     drivers = F.array_compact(
         F.array(
             F.when(
@@ -90,13 +106,13 @@ def pricing_recommendations(
                 ),
             ),
             F.when(
-                otd < 0.85,
+                otd < limits.poor_service,
                 F.concat(
                     F.lit(DRIVER_OTD[0]), _text(otd * 100, 1), F.lit(DRIVER_OTD[1])
                 ),
             ),
             F.when(
-                defect > 0.03,
+                defect > limits.defects,
                 F.concat(
                     F.lit(DRIVER_DEFECT[0]),
                     _text(defect * 100, 1),
@@ -121,9 +137,9 @@ def pricing_recommendations(
         .otherwise(HOLD)
     )
     change = (
-        F.when(~profitable, _limited(gap / 2, 3, 15))
-        .when(declining, -_limited(F.abs(growth) * 10, 2, 8))
-        .when(rewarded, -_limited(growth * 20, 2, 5))
+        F.when(~profitable, _limited(gap / 2, *limits.increase))
+        .when(declining, -_limited(F.abs(growth) * 10, *limits.decline_discount))
+        .when(rewarded, -_limited(growth * 20, *limits.growth_discount))
         .otherwise(F.lit(0.0))
     )
     return (

@@ -44,6 +44,8 @@ _CALENDAR = {"week_key": "calendar"}
 _DATED = {"as_of": AS_OF}
 # a day in the middle of the data, for queries that look back from one
 _PAST = date(2024, 8, 18)
+# destination nodes of the derived star, one per region
+_NODES = tuple(f"FC{i}" for i in range(5))
 
 
 def _exported(star: Star) -> DataFrame:
@@ -195,6 +197,9 @@ QUERIES: dict[str, Query] = {
     "v_shipper_health": partial(shippers.shipper_health, **_DATED),
     "v_anomaly_flags": partial(views.anomaly_flags, **_DATED),
     "network_kpis": network.network_kpis,
+    "network_kpis_known_pickup": partial(
+        network.network_kpis, exclude_unknown_pickup=True
+    ),
     "export_kpi_tables": _exported,
     "mom_cost_change": network.mom_cost_change,
     "bi_extract_60d": partial(views.bi_extract, **_DATED),
@@ -250,7 +255,8 @@ QUERIES: dict[str, Query] = {
     "health_filtered": partial(
         dashboards.health_filtered, vendor_type="Brand", **_DATED
     ),
-    "lane_otp_pivot": dashboards.lane_otp_pivot,
+    "lane_otp_pivot": partial(dashboards.lane_otp_pivot, nodes=_NODES),
+    "lane_otp_long": dashboards.lane_otp_pivot,
     "lane_best_worst_10": dashboards.lane_best_worst,
     "carrier_filtered": partial(dashboards.carrier_filtered, tier="Spot"),
     "carrier_lane_mix": dashboards.carrier_lane_mix,

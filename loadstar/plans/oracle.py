@@ -744,6 +744,14 @@ ORACLE_SQL: dict[str, str] = {
         {_round(COST, 2)} AS avg_cost_per_shipment, {_round(CPM, 2)} AS avg_cpm, {_round(TOTAL, 0)} AS total_cost""",
         "FROM s",
     ),
+    "network_kpis_known_pickup": _q(
+        f"""COUNT(*) AS total_shipments,
+        {_pct("COUNT(*) FILTER (WHERE on_time_pickup AND pickup_actual_ts IS NOT NULL)::DOUBLE / COUNT(pickup_actual_ts)")} AS otp_pct,
+        {_pct(OTD)} AS otd_pct, {_round(DWELL, 1)} AS avg_dwell,
+        {_pct(DEFECT, 2)} AS defect_rate_pct, {_pct(UTIL)} AS avg_utilization_pct,
+        {_round(COST, 2)} AS avg_cost_per_shipment, {_round(CPM, 2)} AS avg_cpm, {_round(TOTAL, 0)} AS total_cost""",
+        "FROM s",
+    ),
     "export_kpi_tables": _q(
         "*",
         """FROM (SELECT 'weekly_kpis' AS table_name, COUNT(DISTINCT (year, week_of_year)) AS row_count FROM s
@@ -928,6 +936,9 @@ ORACLE_SQL: dict[str, str] = {
         ),
         "FROM s GROUP BY origin_city",
     ),
+    "lane_otp_long": _q(
+        f"origin_city AS origin, dest_fc_id, {_pct(OTP)} AS otp", "FROM s GROUP BY origin_city, dest_fc_id"
+    ),
     "lane_best_worst_10": _q(
         "side, origin_city, dest_fc_id, shipment_count, otp_rate, avg_cost_per_mile",
         """FROM (SELECT 'best' AS side, * FROM (SELECT * FROM lp ORDER BY otp_rate DESC, shipment_count DESC, lane_id LIMIT 10)
