@@ -6,8 +6,9 @@ such terms. A text is cut into overlapping windows, whole to its end; the gains
 windows are summed up in a few numbers, and a calibrated logistic threshold turns them
 into a score between 0 and 1.
 
-Learning uses a bounded sample of labelled rows, ``SAMPLE`` of each class (those whose
-ids hash lowest) and ``SAMPLE_CHARS`` characters of each, outside the held-out fold.
+Learning uses a bounded sample of labelled rows outside the held-out fold, about
+``SAMPLE`` of each class picked by a hash of their ids (never over twice that), and
+``SAMPLE_CHARS`` characters of each.
 One half of the sample gives the dictionaries, the other half the calibration. Scoring
 reads every text in full.
 
@@ -18,6 +19,7 @@ for each row. Repeated documents are scored one by one. Other columns are not re
 
 from __future__ import annotations
 
+import math
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -30,7 +32,7 @@ from pyspark.sql import functions as F
 
 from loadstar.llm.common import batch, table
 
-SAMPLE, SAMPLE_CHARS = 5000, 3000
+SAMPLE, SAMPLE_CHARS = 4000, 3000
 BASE_BYTES = 32 << 10
 WINDOW, STEP = 64, 40
 LEVEL = 3
@@ -145,9 +147,11 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
     ids = F.col("doc_id").cast("long")
     labels = labels.select(ids.alias("_id"), F.col("toxic").cast("int").alias("toxic")).where("_id is not null and toxic in (0, 1)")
     labels = labels.where(fold(F.col("_id")) != 0)
-    order = F.xxhash64(F.lit(10), "_id")
-    picked = [labels.where(F.col("toxic") == c).orderBy(order, "_id").limit(SAMPLE) for c in (1, 0)]
-    sample = F.broadcast(picked[0].unionAll(picked[1]))  # at most 2 * SAMPLE rows of two numbers
+    # A hash picks about SAMPLE rows of each class, so that tasks return no more than their share.
+    number = {r.toxic: r["count"] for r in labels.groupBy("toxic").count().collect()}
+    place = F.pmod(F.xxhash64(F.lit(10), "_id"), F.lit(1_000_000))
+    picked = [labels.where((F.col("toxic") == c) & (place < math.ceil(1e6 * SAMPLE / number.get(c, 1)))).orderBy(place, "_id").limit(2 * SAMPLE) for c in (1, 0)]
+    sample = F.broadcast(picked[0].unionAll(picked[1]))  # at most 4 * SAMPLE rows of two numbers
     text = F.substring(F.coalesce("text", F.lit("")), 1, SAMPLE_CHARS)
     rows = docs.select(ids.alias("doc_id"), text.alias("text")).join(sample, F.col("doc_id") == F.col("_id"))
     rows = rows.select("toxic", "text", (F.xxhash64(F.lit(11), "doc_id") % 2 == 0).alias("half"), F.xxhash64(F.lit(12), "doc_id").alias("h"))
