@@ -82,6 +82,12 @@ def fingerprint(text, shingle=3):
     return sum(1 << b for b in range(64) if 2 * sum(v >> b & 1 for v in h) > len(h))
 
 
+def shingles(text, n):
+    """Distinct word shingles in lower case; a shorter text is one shingle."""
+    w = words("".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or ""))
+    return {tuple(w[i : i + n]) for i in range(max(len(w) - n + 1, min(1, len(w))))}
+
+
 def groups(nodes, linked):
     """Smallest reachable node of each node."""
     nodes = sorted(nodes)

@@ -39,11 +39,14 @@ def survivors(docs, bench):
         "long_words": lambda m: m["word_chars"] > 15 * m["n_words"],
     }
     good = [r for r in docs if not any(fails[f](brute.quality(r[1])) for f in POLICIES["v2"])]
-    prints = {i: brute.fingerprint(t) for i, t, _ in good}
-    order = {i: (1 << 62) if i is None else i for i in prints}
-    by_rank = {order[i]: p for i, p in prints.items()}
-    root = brute.groups(by_rank, lambda a, b: (by_rank[a] ^ by_rank[b]).bit_count() <= 3)
-    one = {r for r in good if root[order[r[0]]] == order[r[0]]}
+    texts = {}
+    for i, t, _ in good:
+        if i is not None:
+            texts.setdefault(i, t)
+    sets = {i: brute.shingles(t, 5) for i, t in texts.items()}
+    root = brute.groups(sets, lambda a, b: len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b]))
+    order = {i: (1 << 62) if i is None else i for i, *_ in good}
+    one = {r for r in good if r[0] is None or root[r[0]] == r[0]}
     leaks = {d for d, _ in expected(one, bench)}
     return sorted((r for r in one if r[0] not in leaks), key=lambda r: order[r[0]])
 

@@ -10,6 +10,7 @@ from loadstar.llm.common import mix, strings
 from loadstar.llm.components import components
 from loadstar.llm.xxh64 import xxh64
 from tests.llm import brute
+from tests.llm.conftest import prose
 
 
 def test_xxh64_of_all_lengths():
@@ -70,7 +71,29 @@ def test_one_of_each_group_stays(docs, rows):
     kept = S.keep_one(docs)
     assert kept.columns == docs.columns
     ids = [r.doc_id for r in kept.collect()]
-    assert ids.count(0) == 1 and not {40, 41, 42, 43, 44} & set(ids) and {1, 2, 3, 90} <= set(ids)
+    assert ids.count(0) == 1 and not {40, 41, 42, 43, 44, 50} & set(ids) and {1, 2, 3, 90, None} <= set(ids)
+
+
+def test_near_copies_are_found_and_others_left(spark):
+    rng = random.Random(9)
+    docs, sets = [], {}
+    for g in range(30):
+        base = prose(rng, 200).split(" ")
+        for c in range(4):
+            w = list(base)
+            for _ in range(c):  # up to three words replaced: at least 0.85 similar
+                w[rng.randrange(len(w))] = prose(rng, 1)
+            docs.append((g * 10 + c, " ".join(w)))
+        w = list(base)
+        for j in range(0, len(w), 4):  # every fourth word replaced: no shingle in common
+            w[j] = prose(rng, 2).replace(" ", "")
+        docs.append((g * 10 + 9, " ".join(w)))
+    sets = {i: brute.shingles(t, 5) for i, t in docs}
+    want = brute.groups(sets, lambda a, b: len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b]))
+    got = {r.doc_id: r.component_id for r in S.near_copies(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    assert got.keys() == want.keys()
+    assert all(got[i] // 10 == i // 10 for i in got) and all(got[i] == i for i in got if i % 10 == 9)
+    assert sum(got[i] == want[i] for i in got) >= 0.9 * len(got)
 
 
 def test_chain_and_hub(spark):
@@ -82,3 +105,4 @@ def test_chain_and_hub(spark):
 
 def test_empty_table(no_docs):
     assert S.near_duplicates(no_docs).count() == 0
+    assert S.keep_one(no_docs).count() == 0
