@@ -254,7 +254,7 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
 
 #: Each adds what the others miss: near copies of 0.8 stay within three bits of a word set's
 #: fingerprint with a chance of about 0.6 to 0.9.
-WORD_SETS = 3
+WORD_SETS = 2
 _SETS_DDL = "doc_id long, content binary, " + ", ".join(f"fp{t} long" for t in range(WORD_SETS))
 
 
