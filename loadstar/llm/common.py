@@ -33,6 +33,15 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def freed(df: DataFrame) -> DataFrame:
+    """``df``, a stored one, after shuffles that only led to stored ones left the disk.
+
+    Spark deletes shuffle files when the driver collects the plans they belong to.
+    """
+    df.sparkSession._jvm.System.gc()
+    return df
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

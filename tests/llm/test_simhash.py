@@ -96,6 +96,29 @@ def test_near_copies_are_found_and_others_left(spark):
     assert sum(got[i] == want[i] for i in got) >= 0.9 * len(got)
 
 
+def check_components(spark, texts):
+    """Components equal those of all pairs; returns how many texts are linked."""
+    sets = {i: brute.shingles(t, 5) for i, t in enumerate(texts)}
+    want = brute.groups(sets, lambda a, b: len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b]))
+    got = {r.doc_id: r.component_id for r in S.near_copies(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    assert got == want
+    return sum(i != c for i, c in got.items())
+
+
+def test_appended_and_cut_copies_are_all_found(spark):
+    rng = random.Random(10)
+    texts = []
+    for g in range(60):
+        base = prose(rng, 200)
+        texts += [base, base + " " + prose(rng, 20 + g % 28), " ".join(base.split(" ")[: 165 + g % 30])]
+        if g % 3 == 0:
+            w = base.split(" ")
+            for j in (30, 80, 130, 180):
+                w[j] = prose(rng, 1)
+            texts.append(" ".join(w))
+    assert check_components(spark, texts + ["", " ", "\n"]) > 100
+
+
 def test_chain_and_hub(spark):
     chain = [(i, i + 1) for i in range(200)]
     hub = [(1000, 1000 + i) for i in range(1, 300)]
