@@ -119,6 +119,29 @@ def test_appended_and_cut_copies_are_all_found(spark):
     assert check_components(spark, texts + ["", " ", "\n"]) > 100
 
 
+def test_permuted_texts_do_not_hide_near_copies(spark):
+    rng = random.Random(11)
+    texts = []
+    for _ in range(20):
+        lines = [prose(rng, 12).replace("\n", " ") for _ in range(20)]
+        for _ in range(4):  # same words in another order, and each with a near copy of equal fingerprints
+            rng.shuffle(lines)
+            lots = [w for line in lines for w in rng.sample(line.split(), len(line.split()))]
+            texts.append(" ".join(lots))
+            i = rng.randrange(len(lots) - 1)
+            lots[i], lots[i + 1] = lots[i + 1], lots[i]
+            texts.append(" ".join(lots))
+    assert check_components(spark, texts) >= 80
+
+
+def test_large_groups_of_a_shared_passage(spark):
+    rng = random.Random(12)
+    passage = prose(rng, 90)
+    bases = [prose(rng, 30) + " " + passage + " " + prose(rng, 10 + i) for i in range(40)]
+    copies = [b + " " + prose(rng, 12) for b in bases for _ in range(2)]
+    assert check_components(spark, bases + copies + [passage + " " + prose(rng, 5 + i % 20) for i in range(40)]) > 60
+
+
 def test_chain_and_hub(spark):
     chain = [(i, i + 1) for i in range(200)]
     hub = [(1000, 1000 + i) for i in range(1, 300)]
