@@ -123,12 +123,14 @@ def contaminated_pairs(
 
 
 def without_leaks(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
-    """The documents that share no passage with any item, with all their columns."""
-    bad = contaminated_pairs(docs, benchmark, **options).select(F.col("doc_id").alias("_leak")).distinct()
-    bad = stored(bad, "leaks")  # so that its size is known when the join is planned
-    return docs.join(bad, F.col("doc_id").cast("long").eqNullSafe(F.col("_leak")), "left_anti")
-
+    """The documents that share no passage with any item, with all their columns.
 
+    Every row is judged by its own text, whatever other rows share its id.
+    """
+    row = F.xxhash64(F.col("doc_id").cast("long"), F.col("text").cast("string"))
+    bad = contaminated_pairs(docs.select(row.alias("doc_id"), "text"), benchmark, **options).select(F.col("doc_id").alias("_leak")).distinct()
+    bad = stored(bad, "leaks")  # so that its size is known when the join is planned
+    return docs.join(bad, row == F.col("_leak"), "left_anti")
 
 
 def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -20,8 +20,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
-from loadstar.llm.common import batch, prefix_hash, slices, span_hash, stored, strings, table, word_hashes, words
+from loadstar.llm.common import batch, portions, prefix_hash, slices, span_hash, strings, table, word_hashes, words
 
 MEASURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines")
 _OUT = pa.schema([("doc_id", pa.int64())] + [(m, pa.int64()) for m in MEASURES])
@@ -138,10 +139,20 @@ def _measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield batch(_OUT, doc_id=ids[low:high], **found)
 
 
+def _measured_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The first column as it is, beside the measurements of the text in the second."""
+    for b in portions(batches):
+        found = measure(*strings(b.column(1)))
+        yield pa.RecordBatch.from_arrays([b.column(0), *(pa.array(found[m], pa.int64()) for m in MEASURES)], names=["row", *MEASURES])
+
+
 def quality_ledger(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per document: ``doc_id``, the measurements and ``fail_bits``."""
     found = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
-    found = found.mapInArrow(_measured, _DDL)
+    return _with_bits(found.mapInArrow(_measured, _DDL))
+
+
+def _with_bits(found: DataFrame) -> DataFrame:
     bits = [F.when(fails, F.lit(1 << i).cast("long")).otherwise(F.lit(0).cast("long")) for i, fails in enumerate(_rules().values())]
     return found.withColumn("fail_bits", reduce(Column.bitwiseOR, bits))
 
@@ -171,11 +182,12 @@ def ablations(ledger: DataFrame, policy: str = DEFAULT_POLICY) -> DataFrame:
 def keep_documents(docs: DataFrame, policy: str = DEFAULT_POLICY) -> DataFrame:
     """The documents the policy does not reject, with all their columns.
 
-    Copies of one id are judged together: the id goes if any of its rows is rejected.
+    Every row is judged by its own text, whatever other rows share its id.
     """
-    # Stored, its size is known when the join is planned.
-    bad = stored(quality_ledger(docs).where(rejected(policy)).select(F.col("doc_id").alias("_rejected")).distinct(), "quality-rejected")
-    return docs.join(bad, F.col("doc_id").cast("long").eqNullSafe(F.col("_rejected")), "left_anti")
+    rows = docs.select(F.struct("*").alias("row"), F.col("text").cast("string").alias("text"))
+    schema = StructType([StructField("row", docs.schema), *(StructField(m, LongType()) for m in MEASURES)])
+    ledger = _with_bits(rows.mapInArrow(_measured_rows, schema))
+    return ledger.where(~rejected(policy)).select("row.*")
 
 
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -79,6 +79,14 @@ def test_leaks_go_and_the_rest_stays(frames):
     assert sorted(ids) == sorted(d for d, *_ in leaky_rows() if d is not None and (d < 30 or d in (201, 203, 204, 205)))
 
 
+def test_rows_are_judged_by_their_own_text(frames, spark):
+    _, bench = frames
+    leak = next(t for _, t in bench_rows() if len(t.split()) >= 20)
+    docs = [(None, leak), (None, "clean " * 60), (7, leak), (7, "also clean " * 30), (8, leak)]
+    kept = K.without_leaks(spark.createDataFrame(docs, "doc_id long, text string"), bench).collect()
+    assert sorted(map(str, kept)) == sorted(map(str, spark.createDataFrame([docs[1], docs[3]], "doc_id long, text string").collect()))
+
+
 def test_empty_tables(frames):
     docs, bench = frames
     assert K.contaminated_pairs(docs.limit(0), bench).count() == 0

@@ -37,6 +37,13 @@ def test_keeps_clean_documents_with_all_columns(docs, rows):
     assert not any(ids[i] for i in (20, 21, 22, 23, 24, 60, 61, 71))
 
 
+def test_rows_are_judged_by_their_own_text(spark):
+    good = [" ".join(f"word{i}x{k}" for i in range(60)) for k in range(3)]
+    docs = [(None, ""), (None, None), (None, good[0]), (5, "few"), (5, good[1]), (6, good[2]), (6, good[2])]
+    kept = Q.keep_documents(spark.createDataFrame(docs, "doc_id long, text string")).collect()
+    assert Counter(map(tuple, kept)) == Counter([(None, good[0]), (5, good[1]), (6, good[2]), (6, good[2])])
+
+
 def test_empty_table(no_docs):
     assert Q.quality_ledger(no_docs).count() == 0
     assert Q.ablations(Q.quality_ledger(no_docs)).count() == 0

@@ -142,6 +142,14 @@ def test_large_groups_of_a_shared_passage(spark):
     assert check_components(spark, bases + copies + [passage + " " + prose(rng, 5 + i % 20) for i in range(40)]) > 60
 
 
+def test_rows_are_dropped_by_text_and_not_by_id(spark):
+    rng = random.Random(13)
+    a, b, c = prose(rng, 80), prose(rng, 80), prose(rng, 80)
+    docs = [(1, a), (2, a), (2, b), (2, b), (3, c), (3, c + " tail"), (4, b)]
+    kept = sorted((r.doc_id, r.text) for r in S.keep_one(spark.createDataFrame(docs, "doc_id long, text string")).collect())
+    assert kept in (sorted([(1, a), (2, b), (3, t)]) for t in (c, c + " tail"))
+
+
 def test_chain_and_hub(spark):
     chain = [(i, i + 1) for i in range(200)]
     hub = [(1000, 1000 + i) for i in range(1, 300)]
