@@ -9,8 +9,8 @@ the interval of suffixes that start with it. Where the length reaches the thresh
 the smallest document of the interval decides.
 
 Defined results: null texts have no words. A null id stands behind all others. Rows that
-share an id count as one document; if their texts differ, each is cut at the places of
-all. An empty table gives no rows.
+share an id and the text count as one document; different texts of one id (or without an
+id) are documents in the order of a hash. An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -24,9 +24,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loadstar.llm.common import batch, portions, strings, table, words
-from loadstar.llm.passages import Spec, covered_tokens, removed_by_document, repeated_windows, tokens_of
+from loadstar.llm.passages import LAST_ID, Spec, covered_tokens, places, removed_by_document, repeated_windows, tokens_of
 from loadstar.llm.suffix import classes, common_prefixes, joined, suffix_array
-from loadstar.llm.suffix_dedup import _LAST_ID, _places
 
 WIDTH = 50
 GRAM = 12
@@ -186,11 +185,11 @@ def _kept(batches: Iterator[pa.RecordBatch], width: int, content: bool) -> Itera
 
 def remove_repeats(docs: DataFrame, width: int = WIDTH, gram: int = GRAM, content: bool = True, shard_bytes: int = 2 << 20) -> DataFrame:
     """``doc_id, n_words, n_removed, kept_sha256`` and the ``kept`` words joined by spaces."""
-    rows = _places(docs)
+    rows = places(docs)
     spec = Spec("word", width, min(gram, width), same_document=False, shard_bytes=shard_bytes)
     rows = removed_by_document(rows, repeated_windows(rows, spec, search))
     out = rows.mapInArrow(lambda b: _kept(b, width, content), "doc_id long, n_words long, n_removed long, kept_sha256 string, kept string")
-    return out.withColumn("doc_id", F.nullif("doc_id", F.lit(_LAST_ID)))
+    return out.withColumn("doc_id", F.nullif("doc_id", F.lit(LAST_ID)))
 
 
 def op2_fm_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -112,11 +112,11 @@ def tokens_of(unit: str, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndar
     return word_hashes(data, starts, ends), bounds, starts, ends
 
 
-_PIECES = pa.schema([("key", pa.int64()), ("content", pa.int64()), ("doc_id", pa.int64()), ("start", pa.int64()), ("n", pa.int64()), ("again", pa.bool_())])
-_PIECES_DDL = "key long, content long, doc_id long, start long, n long, again boolean"
+_PIECES = pa.schema([("key", pa.int64()), ("content", pa.int64()), ("doc_id", pa.int64()), ("row", pa.int64()), ("start", pa.int64()), ("n", pa.int64()), ("again", pa.bool_())])
+_PIECES_DDL = "key long, content long, doc_id long, row long, start long, n long, again boolean"
 
 
-def _cut_block(ids: np.ndarray, tokens: np.ndarray, bounds: np.ndarray, spec: Spec) -> dict[str, np.ndarray]:
+def _cut_block(ids: np.ndarray, rows: np.ndarray, tokens: np.ndarray, bounds: np.ndarray, spec: Spec) -> dict[str, np.ndarray]:
     parts = []
     for low, high in slices(bounds, _BLOCK):
         begin, end = bounds[low], bounds[high]
@@ -132,7 +132,7 @@ def _cut_block(ids: np.ndarray, tokens: np.ndarray, bounds: np.ndarray, spec: Sp
     if not parts:
         parts = [cut_tokens(np.zeros(0, np.uint64), np.zeros(1, np.int64), spec.width, spec.gram)]
     out = {k: np.concatenate([p[k] for p in parts]) for k in parts[0]}
-    out["doc_id"] = ids[out.pop("row")]
+    out["doc_id"], out["row"] = ids[out["row"]], rows[out["row"]]
     return out
 
 
@@ -142,17 +142,18 @@ def _cut(batches: Iterator[pa.RecordBatch], spec: Spec) -> Iterator[pa.RecordBat
         for small in portions([b]):
             data, offsets = strings(small.column(1))
             tokens, bounds = tokens_of(spec.unit, data, offsets)[:2]
-            parts.append(_cut_block(small.column(0).to_numpy(zero_copy_only=False), tokens, bounds, spec))
+            ids, rows = (small.column(i).to_numpy(zero_copy_only=False) for i in (0, 2))
+            parts.append(_cut_block(ids, rows, tokens, bounds, spec))
         found = {k: np.concatenate([p[k] for p in parts]) for k in parts[0]} if parts else {}
         if not found or not len(found["key"]):
             continue
         # Of equal contents only the first place of this batch has to meet the others.
         same = mix(found["key"].view(np.uint64)) ^ found["content"].view(np.uint64)
-        order = np.lexsort((found["start"], found["doc_id"], same))
+        order = np.lexsort((found["start"], found["row"], found["doc_id"], same))
         same = same[order]
         new = np.concatenate([[True], same[1:] != same[:-1]])
         head = order[np.maximum.accumulate(np.where(new, np.arange(len(new)), 0))]
-        later = found["doc_id"][order] != found["doc_id"][head]
+        later = (found["doc_id"][order] != found["doc_id"][head]) | (found["row"][order] != found["row"][head])
         if spec.same_document:
             later |= found["start"][order] != found["start"][head]
         for low in range(0, len(order), _ROWS):
@@ -162,32 +163,32 @@ def _cut(batches: Iterator[pa.RecordBatch], spec: Spec) -> Iterator[pa.RecordBat
 
 
 def pieces(docs: DataFrame, spec: Spec) -> DataFrame:
-    """All pieces of ``docs`` (``doc_id, text``). A null ``key``: repeats an earlier piece."""
+    """All pieces of ``docs`` (``doc_id, text, row``). A null ``key``: repeats an earlier piece."""
     return docs.mapInArrow(lambda b: _cut(b, spec), _PIECES_DDL)
 
 
 def resolve(found: DataFrame, spec: Spec) -> DataFrame:
     """Pieces that repeat, and pieces to search.
 
-    ``doc_id, start, n, covered``; where not ``covered`` also ``key`` and ``key_tokens``,
+    ``doc_id, row, start, n, covered``; where not ``covered`` also ``key`` and ``key_tokens``,
     the size of all different pieces of that key.
     """
     met = found.where("key is not null")
-    same = W.partitionBy("key", "content").orderBy("doc_id", "start")
+    same = W.partitionBy("key", "content").orderBy("doc_id", "row", "start")
     if spec.same_document:
         met = met.withColumn("covered", F.rank().over(same) > 1)
     else:
-        met = met.withColumn("covered", F.first("doc_id").over(same) < F.col("doc_id"))
+        met = met.withColumn("covered", F.first(F.struct("doc_id", "row")).over(same) < F.struct("doc_id", "row"))
     key = W.partitionBy("key")
     size = F.when(~F.col("covered"), F.col("n") + spec.width - 1).otherwise(0)
     met = met.withColumn("lone", F.min("content").over(key) == F.max("content").over(key))
     met = met.withColumn("key_again", F.max("again").over(key)).withColumn("key_tokens", F.sum(size).over(key))
-    met = met.where("covered or not lone or key_again").select("doc_id", "start", "n", "covered", "key", "key_tokens")
-    local = found.where("key is null").select("doc_id", "start", "n", F.lit(True).alias("covered"), "key", F.lit(None).cast("long").alias("key_tokens"))
+    met = met.where("covered or not lone or key_again").select("doc_id", "row", "start", "n", "covered", "key", "key_tokens")
+    local = found.where("key is null").select("doc_id", "row", "start", "n", F.lit(True).alias("covered"), "key", F.lit(None).cast("long").alias("key_tokens"))
     return met.unionByName(local)
 
 
-_WANTED = pa.schema([("key", pa.int64()), ("key_tokens", pa.int64()), ("doc_id", pa.int64()), ("start", pa.int64()), ("content", pa.binary())])
+_WANTED = pa.schema([("key", pa.int64()), ("key_tokens", pa.int64()), ("doc_id", pa.int64()), ("row", pa.int64()), ("start", pa.int64()), ("content", pa.binary())])
 
 
 def _fetch(batches: Iterator[pa.RecordBatch], spec: Spec) -> Iterator[pa.RecordBatch]:
@@ -205,13 +206,13 @@ def _fetch(batches: Iterator[pa.RecordBatch], spec: Spec) -> Iterator[pa.RecordB
         if spec.unit == "word":
             low, high = begin[low], end[high - 1]
         content = pa.array([raw[i:j] for i, j in zip(low.tolist(), high.tolist(), strict=True)], pa.binary())
-        yield batch(_WANTED, key=flat.field("key"), key_tokens=flat.field("key_tokens"), doc_id=flat.field("doc_id"), start=start, content=content)
+        yield batch(_WANTED, key=flat.field("key"), key_tokens=flat.field("key_tokens"), doc_id=flat.field("doc_id"), row=flat.field("row"), start=start, content=content)
 
 
 def _shard(spec: Spec, shards: int) -> F.Column:
     """The shard of a piece: by key, and by place too for keys larger than a shard."""
     salts = F.greatest(F.lit(1), F.ceil(F.col("key_tokens") * F.lit(_token_bytes(spec) / spec.shard_bytes)))
-    salt = F.pmod(F.xxhash64("doc_id", "start"), salts)
+    salt = F.pmod(F.xxhash64("doc_id", "row", "start"), salts)
     return F.pmod(F.xxhash64("key", F.when(salts > 1, salt).otherwise(0)), F.lit(shards))
 
 
@@ -220,8 +221,8 @@ def _token_bytes(spec: Spec) -> int:
 
 
 Search = Callable[[list[bytes], np.ndarray, np.ndarray, Spec], tuple[np.ndarray, np.ndarray, np.ndarray]]
-_MARKS = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("n", pa.int64()), ("window", pa.int64()), ("key", pa.int64())])
-_MARKS_DDL = "doc_id long, start long, n long, window long, key long"
+_MARKS = pa.schema([("doc_id", pa.int64()), ("row", pa.int64()), ("start", pa.int64()), ("n", pa.int64()), ("window", pa.int64()), ("key", pa.int64())])
+_MARKS_DDL = "doc_id long, row long, start long, n long, window long, key long"
 
 
 def _runs(owner: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -233,15 +234,22 @@ def _runs(owner: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np
     return owner[first], at[first], np.diff(np.append(first, len(at)))
 
 
+def _rank(ids: np.ndarray, rows: np.ndarray) -> np.ndarray:
+    """Number of each (id, row) in their order; equal ones are neighbours and share it."""
+    new = np.zeros(len(ids), np.int64)
+    new[1:] = (ids[1:] != ids[:-1]) | (rows[1:] != rows[:-1])
+    return np.cumsum(new)
+
+
 def _search(table: pa.Table, spec: Spec, search: Search) -> pa.Table:
     """Search one shard: windows that start earlier, and of large keys those left."""
-    table = table.sort_by([("doc_id", "ascending"), ("start", "ascending")])
+    table = table.sort_by([("doc_id", "ascending"), ("row", "ascending"), ("start", "ascending")])
     contents = table["content"].to_pylist()
-    ids, start = table["doc_id"].to_numpy(), table["start"].to_numpy()
-    piece, offset, repeats = search(contents, ids, start, spec)
+    ids, rows, start = (table[c].to_numpy() for c in ("doc_id", "row", "start"))
+    piece, offset, repeats = search(contents, _rank(ids, rows), start, spec)
     hit = repeats.astype(bool)
     owner, at, n = _runs(piece[hit], offset[hit])
-    out = [batch(_MARKS, doc_id=ids[owner], start=start[owner] + at, n=n, window=pa.nulls(len(n), pa.int64()), key=pa.nulls(len(n), pa.int64()))]
+    out = [batch(_MARKS, doc_id=ids[owner], row=rows[owner], start=start[owner] + at, n=n, window=pa.nulls(len(n), pa.int64()), key=pa.nulls(len(n), pa.int64()))]
     large = table["key_tokens"].to_numpy() * _token_bytes(spec) > spec.shard_bytes
     left = ~hit & large[piece]
     if left.any():
@@ -252,7 +260,7 @@ def _search(table: pa.Table, spec: Spec, search: Search) -> pa.Table:
             tokens = tokens_of(spec.unit, data, np.array([0, len(data)]))[0]
             mine = owner == p
             hashes[mine] = span_hash(prefix_hash(tokens), at[mine], at[mine] + spec.width)
-        out.append(batch(_MARKS, doc_id=ids[owner], start=start[owner] + at, n=np.ones(len(owner), np.int64), window=hashes.view(np.int64), key=table["key"].to_numpy()[owner]))
+        out.append(batch(_MARKS, doc_id=ids[owner], row=rows[owner], start=start[owner] + at, n=np.ones(len(owner), np.int64), window=hashes.view(np.int64), key=table["key"].to_numpy()[owner]))
     return pa.Table.from_batches(out)
 
 
@@ -261,7 +269,10 @@ def _merge(table: pa.Table, spec: Spec) -> pa.Table:
 
     The places of one shard's list are looked up in the sorted list of all.
     """
-    ids, start = table["doc_id"].to_numpy(), table["start"].to_numpy()
+    docs, rows, start = (table[c].to_numpy() for c in ("doc_id", "row", "start"))
+    place = np.lexsort((rows, docs))
+    ids = np.empty(len(place), np.int64)
+    ids[place] = _rank(docs[place], rows[place])
     window = mix(table["window"].to_numpy().view(np.uint64)) ^ table["key"].to_numpy().view(np.uint64)
     order = np.lexsort((start, ids, window))
     ordered = window[order]
@@ -273,39 +284,51 @@ def _merge(table: pa.Table, spec: Spec) -> pa.Table:
     at = at[np.lexsort((start[at], ids[at]))]
     owner, begin, n = _runs(ids[at], start[at])
     none = pa.nulls(len(n), pa.int64())
-    return pa.Table.from_batches([batch(_MARKS, doc_id=owner, start=begin, n=n, window=none, key=none)])
+    one = np.searchsorted(ids[place], owner)
+    return pa.Table.from_batches([batch(_MARKS, doc_id=docs[place[one]], row=rows[place[one]], start=begin, n=n, window=none, key=none)])
+
+
+LAST_ID = (1 << 63) - 1
+
+
+def places(docs: DataFrame) -> DataFrame:
+    """``doc_id, text, row`` without nulls. Rows of equal id and text are one place, other
+    texts of an id have a ``row`` (a hash) of their own, which also puts them in order."""
+    rows = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST_ID)).alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+    return rows.withColumn("row", F.xxhash64("text"))
 
 
 def repeated_windows(docs: DataFrame, spec: Spec, search: Search) -> DataFrame:
-    """``doc_id, start, n``: ranges of windows that start earlier in the corpus.
+    """``doc_id, row, start, n``: ranges of windows that start earlier in the corpus.
 
-    ``docs`` has ``doc_id`` and ``text`` without nulls. Rows of one id count as one place.
+    ``docs`` has ``doc_id``, ``text`` and ``row`` (see :func:`places`) without nulls.
     """
     links = stored(resolve(pieces(docs, spec), spec), "pieces")
     wanted = links.where("not covered")
     total = wanted.agg(F.sum(F.col("n") + spec.width - 1)).first()[0] or 0
     shards = max(1, -(-total * _token_bytes(spec) // spec.shard_bytes))
-    per_doc = wanted.groupBy("doc_id").agg(F.collect_list(F.struct("key", "key_tokens", "doc_id", "start", "n")).alias("wanted"))
-    texts = docs.join(per_doc.withColumnRenamed("doc_id", "_id"), F.col("doc_id") == F.col("_id")).select("text", "wanted")
-    found = texts.mapInArrow(lambda b: _fetch(b, spec), "key long, key_tokens long, doc_id long, start long, content binary")
+    per_doc = wanted.groupBy("doc_id", "row").agg(F.collect_list(F.struct("key", "key_tokens", "doc_id", "row", "start", "n")).alias("wanted"))
+    per_doc = per_doc.withColumnsRenamed({"doc_id": "_id", "row": "_row"})
+    texts = docs.join(per_doc, (F.col("doc_id") == F.col("_id")) & (F.col("row") == F.col("_row"))).select("text", "wanted")
+    found = texts.mapInArrow(lambda b: _fetch(b, spec), "key long, key_tokens long, doc_id long, row long, start long, content binary")
     found = found.withColumn("shard", _shard(spec, shards))
     marks = found.groupBy("shard").applyInArrow(lambda t: _search(t, spec, search), _MARKS_DDL)
     marks = stored(marks, "marks")
-    done = links.where("covered").select("doc_id", "start", "n").unionByName(marks.where("window is null").select("doc_id", "start", "n"))
+    done = links.where("covered").select("doc_id", "row", "start", "n").unionByName(marks.where("window is null").select("doc_id", "row", "start", "n"))
     open_windows = marks.where("window is not null")
     n_open = open_windows.count()
     if n_open:
         parts = max(1, n_open // 500_000)
         open_windows = open_windows.withColumn("part", F.pmod(F.xxhash64("window", "key"), F.lit(parts)))
         merged = open_windows.groupBy("part").applyInArrow(lambda t: _merge(t, spec), _MARKS_DDL)
-        done = done.unionByName(merged.select("doc_id", "start", "n"))
+        done = done.unionByName(merged.select("doc_id", "row", "start", "n"))
     return done
 
 
 def removed_by_document(docs: DataFrame, ranges: DataFrame) -> DataFrame:
     """``docs`` with the list ``ranges`` of (start, n) of each, null where there is none."""
-    per_doc = ranges.groupBy(F.col("doc_id").alias("_id")).agg(F.collect_list(F.struct("start", "n")).alias("ranges"))
-    return docs.join(per_doc, F.col("doc_id") == F.col("_id"), "left").select("doc_id", "text", "ranges")
+    per_doc = ranges.groupBy(F.col("doc_id").alias("_id"), F.col("row").alias("_row")).agg(F.collect_list(F.struct("start", "n")).alias("ranges"))
+    return docs.join(per_doc, (F.col("doc_id") == F.col("_id")) & (F.col("row") == F.col("_row")), "left").select("doc_id", "text", "ranges")
 
 
 def covered_tokens(ranges: pa.Array, bounds: np.ndarray, width: int) -> np.ndarray:

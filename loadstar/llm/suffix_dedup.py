@@ -6,8 +6,8 @@ different documents come together, and how lists of several shards are merged by
 search, is told in ``passages``; this module sorts the shards.
 
 Defined results: null texts are empty. Matches never cross documents. A null id stands
-behind all others. Rows that share an id count as one place; if their texts differ,
-each is cut at the places of all. Very long texts are cut in overlapping parts. An
+behind all others. Rows that share an id and the text count as one place; different
+texts of one id (or without an id) are documents in the order of a hash. Very long texts are cut in overlapping parts. An
 empty table gives no rows.
 """
 
@@ -22,13 +22,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loadstar.llm.common import batch, portions, strings, table
-from loadstar.llm.passages import Spec, covered_tokens, removed_by_document, repeated_windows
+from loadstar.llm.passages import LAST_ID, Spec, covered_tokens, places, removed_by_document, repeated_windows
 from loadstar.llm.suffix import classes, common_prefixes, joined, suffix_array
 
 WIDTH = 100
 GRAM = 24
 _BITS = 9  # 256 byte values and the separator
-_LAST_ID = (1 << 63) - 1
 
 
 def search(contents: list[bytes], ids: np.ndarray, start: np.ndarray, spec: Spec) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -70,20 +69,16 @@ def _kept(batches: Iterator[pa.RecordBatch], width: int, content: bool) -> Itera
         yield batch(_OUT, doc_id=b.column(0), n_bytes=np.diff(offsets), n_removed=removed, n_spans=spans, kept_sha256=sha, kept=kept)
 
 
-def _places(docs: DataFrame) -> DataFrame:
-    return docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(_LAST_ID)).alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-
-
 def remove_repeats(docs: DataFrame, width: int = WIDTH, gram: int = GRAM, content: bool = True, shard_bytes: int = 2 << 20) -> DataFrame:
     """``doc_id, n_bytes, n_removed, n_spans, kept_sha256`` and the ``kept`` bytes.
 
     The kept bytes need not be valid UTF-8, since strings may begin inside a character.
     """
-    rows = _places(docs)
+    rows = places(docs)
     spec = Spec("byte", width, min(gram, width), same_document=True, shard_bytes=shard_bytes)
     rows = removed_by_document(rows, repeated_windows(rows, spec, search))
     out = rows.mapInArrow(lambda b: _kept(b, width, content), "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary")
-    return out.withColumn("doc_id", F.nullif("doc_id", F.lit(_LAST_ID)))
+    return out.withColumn("doc_id", F.nullif("doc_id", F.lit(LAST_ID)))
 
 
 def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

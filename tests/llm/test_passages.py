@@ -2,14 +2,17 @@
 
 import hashlib
 import random
+from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from loadstar.llm import fm_dedup, suffix_dedup
 from loadstar.llm.passages import Spec, cut_tokens, sliding_min
 from loadstar.llm.suffix import common_prefixes, joined, suffix_array
 from tests.llm import brute
+from tests.llm.conftest import prose
 
 
 def texts(seed):
@@ -121,6 +124,29 @@ def test_bytes(docs, rows, width, gram, shard):
         assert r.kept_sha256 == hashlib.sha256(kept).hexdigest()
 
 
+@pytest.mark.parametrize("shard", [4 << 20, 400])
+def test_texts_that_share_an_id_or_have_none(spark, shard):
+    rng = random.Random(14)
+    shared = [prose(rng, 30).replace("\n", " ") for _ in range(3)]
+    docs = []
+    for i in [None] * 6 + [7, 7, 7, 8, 9, 9]:
+        docs.append((i, " ".join([prose(rng, rng.randint(0, 40)), rng.choice(shared), prose(rng, rng.randint(0, 200))])))
+    docs += [docs[0], docs[6], (7, ""), (None, "short"), (7, "short"), (10, prose(rng, 100))]
+    df = spark.createDataFrame(docs, "doc_id long, text string").coalesce(1)
+    order = {(r.doc_id, r.text): r.h for r in df.select("doc_id", "text", F.xxhash64("text").alias("h")).collect()}
+    place = sorted(order, key=lambda d: (d[0] is None, d[0] or 0, order[d]))
+    ranked = [(n, t) for n, (_, t) in enumerate(place)]
+    words, strings = brute.repeated_words(ranked, 12), brute.repeated_bytes(ranked, 20)
+    want_words, want_bytes = Counter(), Counter()
+    for d in docs:
+        w, gone = words[place.index(d)]
+        want_words[d[0], " ".join(x.decode() for x, g in zip(w, gone, strict=True) if not g)] += 1
+        b, gone = strings[place.index(d)]
+        want_bytes[d[0], bytes(x for x, g in zip(b, gone, strict=True) if not g)] += 1
+    assert Counter((r.doc_id, r.kept) for r in fm_dedup.remove_repeats(df, 12, 4, shard_bytes=shard).collect()) == want_words
+    assert Counter((r.doc_id, bytes(r.kept)) for r in suffix_dedup.remove_repeats(df, 20, 6, shard_bytes=shard).collect()) == want_bytes
+
+
 def test_empty_table(no_docs):
     assert fm_dedup.remove_repeats(no_docs).count() == 0
     assert suffix_dedup.remove_repeats(no_docs).count() == 0
