@@ -8,7 +8,7 @@ into a score between 0 and 1.
 
 Learning uses a bounded sample of labelled rows outside the held-out fold, about
 ``SAMPLE`` of each class picked by a hash of their ids (never over twice that), and
-``SAMPLE_CHARS`` characters of each.
+``SAMPLE_CHARS`` characters of each, spread over the whole text.
 One half of the sample gives the dictionaries, the other half the calibration. Scoring
 reads every text in full.
 
@@ -33,7 +33,9 @@ from pyspark.sql import functions as F
 from loadstar.llm.common import batch, table
 
 SAMPLE, SAMPLE_CHARS = 4000, 3000
+SPREAD = 6  # passages of a longer text
 BASE_BYTES = 32 << 10
+MORE, LEAST_Z = 3, 4  # shares in toxic over ordinary texts, and their z value
 WINDOW, STEP = 64, 40
 LEVEL = 3
 FOLDS = 5
@@ -88,16 +90,18 @@ def _terms(texts: list[str]) -> Counter:
 
 
 def _distinct(texts: list[str]) -> list[str]:
-    """One text for each beginning: near copies would make their rare words look telling."""
-    return list({t[:40]: t for t in texts}.values())
+    """Each text once: copies would make their rare words look telling."""
+    return list(dict.fromkeys(texts))
 
 
 def dictionaries(toxic: list[str], ordinary: list[str]) -> tuple[bytes, bytes]:
     """Contents of the ordinary and the toxic dictionary.
 
-    A term belongs to toxic text if it is in far more toxic than ordinary texts, both
-    in proportion and beyond chance (the z value of two shares), the strongest last,
-    where zstandard reaches them at the least cost.
+    A term belongs to toxic text if it is in more toxic than ordinary texts, both in
+    proportion and beyond chance (the z value of two shares), however weak beside other
+    terms. The strongest are last, where zstandard reaches them at the least cost.
+    Whole passages of toxic texts are not added: their ordinary words hide the gain of
+    the terms.
     """
     toxic, ordinary = _distinct(toxic), _distinct(ordinary)
     base, room = [], BASE_BYTES
@@ -114,15 +118,14 @@ def dictionaries(toxic: list[str], ordinary: list[str]) -> tuple[bytes, bytes]:
     z = {}
     for w, n in a.items():
         p, q = n / na, b[w] / nb
-        if n >= max(2, 0.01 * na) and p > 20 * (b[w] + 0.5) / nb:
+        if n >= 2 and p > MORE * (b[w] + 0.5) / nb:
             both = (n + b[w]) / (na + nb)
             z[w] = (p - q) / np.sqrt(both * (1 - both) * (1 / na + 1 / nb) + 1e-12)
-    least = max(4, 0.35 * max(z.values(), default=0))
-    strong = {w for w, v in z.items() if v >= least}
+    strong = {w for w, v in z.items() if v >= LEAST_Z}
     # A beginning that is nearly always continued in one way adds nothing to the longer term.
     spare = {w[:n] for w in strong for n in range(4, len(w)) if a[w] >= 0.8 * a[w[:n]]}
-    terms = sorted((z[w], w) for w in strong - spare)
-    forms = [f for _, w in terms for f in (w, w.capitalize())]
+    terms = [w for _, w in sorted((z[w], w) for w in strong - spare)]
+    forms = [f for w in terms for f in (w, w.capitalize())]
     return content, content + b" " + " ".join(forms).encode() + b" "
 
 
@@ -142,6 +145,13 @@ def _logistic(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, float]:
     return w[:-1], float(w[-1])
 
 
+def _spread(text: Column) -> Column:
+    """The text, or if longer than ``SAMPLE_CHARS`` passages from its beginning to its end."""
+    size, n = SAMPLE_CHARS // SPREAD, F.length(text)
+    parts = [F.substring(text, (1 + F.floor((n - size) * k / (SPREAD - 1))).cast("int"), F.lit(size)) for k in range(SPREAD)]
+    return F.when(n <= SAMPLE_CHARS, text).otherwise(F.concat_ws(" ", *parts))
+
+
 def fit(docs: DataFrame, labels: DataFrame) -> Model:
     """Learn from the labelled rows outside fold 0, a bounded sample of them."""
     ids = F.col("doc_id").cast("long")
@@ -152,8 +162,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
     place = F.pmod(F.xxhash64(F.lit(10), "_id"), F.lit(1_000_000))
     picked = [labels.where((F.col("toxic") == c) & (place < math.ceil(1e6 * SAMPLE / number.get(c, 1)))).orderBy(place, "_id").limit(2 * SAMPLE) for c in (1, 0)]
     sample = F.broadcast(picked[0].unionAll(picked[1]))  # at most 4 * SAMPLE rows of two numbers
-    text = F.substring(F.coalesce("text", F.lit("")), 1, SAMPLE_CHARS)
-    rows = docs.select(ids.alias("doc_id"), text.alias("text")).join(sample, F.col("doc_id") == F.col("_id"))
+    rows = docs.select(ids.alias("doc_id"), _spread(F.coalesce("text", F.lit(""))).alias("text")).join(sample, F.col("doc_id") == F.col("_id"))
     rows = rows.select("toxic", "text", (F.xxhash64(F.lit(11), "doc_id") % 2 == 0).alias("half"), F.xxhash64(F.lit(12), "doc_id").alias("h"))
     rows = rows.orderBy("h", "text").limit(4 * SAMPLE).collect()
     learn = {c: [r.text for r in rows if r.half and r.toxic == c] for c in (0, 1)}

@@ -59,6 +59,24 @@ def test_windows_cover_the_whole_text():
     assert len(K.gains(b"", *packers)) == 1
 
 
+def test_weak_and_noisy_terms_of_any_part_are_kept():
+    rng = random.Random(22)
+    rare = [f"rareslur{c}" for c in "bdfgk"]
+    head = "the same forty characters begin every text here: "
+    toxic = [head + prose(rng, 30) + (" vilething" if i % 10 else "") + f" {rare[i // 20 % 5] if i % 20 < 6 else 'x'}" for i in range(400)]
+    ordinary = [head + prose(rng, 30) + (" vilething" if i % 12 == 0 else "") for i in range(400)]
+    content, terms = K.dictionaries(toxic, ordinary)
+    assert {b"vilething", *(r.encode() for r in rare)} <= set(terms[len(content) :].split())
+
+
+def test_the_sample_sees_whole_texts(spark):
+    text = "start " + "a" * 9000 + " middle " + "b" * 9000 + " end"
+    got = spark.createDataFrame([(text,), ("short",), ("",)], "text string").select(K._spread(F.col("text")).alias("t")).collect()
+    assert [r.t for r in got[1:]] == ["short", ""]
+    assert got[0].t.startswith("start") and got[0].t.endswith(" end") and "a" in got[0].t and "bb" in got[0].t
+    assert len(got[0].t) <= K.SAMPLE_CHARS + K.SPREAD
+
+
 def test_empty_table(frames):
     docs, labels = frames
     assert K.toxicity_scores(docs.limit(0), K.fit(docs.limit(0), labels)).count() == 0
