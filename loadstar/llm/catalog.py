@@ -15,6 +15,7 @@ from loadstar.llm.simhash import op6_simhash
 from loadstar.llm.suffix_dedup import op3_suffix_dedup
 from loadstar.llm.tokens import op5_token_files
 from loadstar.llm.toxicity import op10_toxicity
+from loadstar.llm.trie import OP13_SQL, op13_trie
 from loadstar.llm.warc import OP9_SQL, op9_warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -28,9 +29,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_mixing": op8_mixing,
     "op9_warc": op9_warc,
     "op10_toxicity": op10_toxicity,
+    "op13_trie": op13_trie,
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op1_chat_format": OP1_SQL,
     "op9_warc": OP9_SQL,
+    "op13_trie": OP13_SQL,
 }

@@ -22,24 +22,33 @@ _INVERSE = np.uint64(pow(int(_BASE), -1, 1 << 64))
 BYTE_VALUES = np.random.default_rng(20240611).integers(1, 1 << 63, 256, dtype=np.uint64) | np.uint64(1)
 
 
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """``df`` written below the shared folder and read back, which cuts its lineage.
 
     A lost executor then costs a re-read of these files, not the work before them.
+    The shuffles that led to the files are deleted as soon as they are written.
     """
     spark = df.sparkSession
     path = new_folder(spark, name)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
+    before = spark.conf.get(_CLEANUP, "false")
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(_CLEANUP, before)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.stored_at = path
+    return out
 
-def freed(df: DataFrame) -> DataFrame:
-    """``df``, a stored one, after shuffles that only led to stored ones left the disk.
 
-    Spark deletes shuffle files when the driver collects the plans they belong to.
-    """
-    df.sparkSession._jvm.System.gc()
-    return df
+def discard(*frames: DataFrame) -> None:
+    """Delete the files of stored frames that nothing reads any more."""
+    for df in frames:
+        path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(df.stored_at)
+        path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
