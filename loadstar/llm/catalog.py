@@ -17,6 +17,7 @@ from loadstar.llm.tokens import op5_token_files
 from loadstar.llm.toxicity import op10_toxicity
 from loadstar.llm.trie import OP13_SQL, op13_trie
 from loadstar.llm.warc import OP9_SQL, op9_warc
+from loadstar.llm.whitening import op11_whitening
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_chat_format": op1_chat_format,
@@ -29,6 +30,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_mixing": op8_mixing,
     "op9_warc": op9_warc,
     "op10_toxicity": op10_toxicity,
+    "op11_whitening": op11_whitening,
     "op13_trie": op13_trie,
 }
 

@@ -32,10 +32,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loadstar.llm.common import batch, freed, mix, portions, prefix_hash, slices, span_hash, stored, strings, table, word_hashes, words
+from loadstar.llm.common import batch, mix, portions, stored, strings, table, words
 from loadstar.llm.components import components
 from loadstar.llm.xxh64 import xxh64
 
@@ -95,16 +95,12 @@ def fingerprints(data: np.ndarray, offsets: np.ndarray, shingle: int = SHINGLE)
     return _majority(h, bounds)
 
 
-_PRINTS = pa.schema([("doc_id", pa.int64()), ("fp", pa.int64())])
-
-
 def _prints(batches: Iterator[pa.RecordBatch], shingle: int) -> Iterator[pa.RecordBatch]:
-    for b in batches:
-        data, offsets = strings(b.column(1))
-        for low, high in slices(offsets, _BLOCK):
-            span = offsets[low : high + 1]
-            found = fingerprints(data[span[0] : span[-1]], span - span[0], shingle)
-            yield batch(_PRINTS, doc_id=b.column(0)[low:high], fp=found.view(np.int64))
+    """All columns but the text, and the fingerprint."""
+    for b in portions(batches, size=_BLOCK):
+        found = fingerprints(*strings(b.column(1)), shingle)
+        names = [n for n in b.schema.names if n != "text"]
+        yield pa.RecordBatch.from_arrays([*(b.column(n) for n in names), pa.array(found.view(np.int64))], names=[*names, "fp"])
 
 
 def simhash(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
@@ -240,271 +236,50 @@ def links(prints: DataFrame) -> DataFrame:
     return variants.mapInArrow(lambda b: _meet(b, bits), "a long, b long").distinct()
 
 
+def _roots(prints: DataFrame) -> DataFrame:
+    """``fp, root`` for every fingerprint: the smallest fingerprint that links lead to."""
+    distinct = stored(prints.select("fp").distinct(), "simhash-prints")
+    found = components(links(distinct))
+    return distinct.join(found.withColumnRenamed("node", "fp"), "fp", "left").select("fp", F.coalesce("root", "fp").alias("root"))
+
+
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     """``doc_id, fp, component_id``: the smallest id that links lead to, its own included."""
     rows = stored(simhash(docs, shingle), "simhash")
-    first = stored(rows.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "simhash-prints")
-    found = components(links(first))
-    labels = first.join(found.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+    first = stored(rows.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "simhash-firsts")
+    labels = stored(first.join(_roots(first), "fp"), "simhash-roots")
     least = labels.groupBy("root").agg(F.min("first_id").alias("component_id"))
     labels = labels.join(least, "root").select("fp", "component_id")
     return rows.join(labels, "fp").select("doc_id", "fp", F.coalesce("component_id", "doc_id").alias("component_id"))
 
 
-#: Each adds what the others miss: near copies of 0.8 stay within three bits of a word set's
-#: fingerprint with a chance of about 0.6 to 0.9. What both miss is left to the prefix join.
-WORD_SETS = 2
-_SETS_DDL = "doc_id long, node long, " + ", ".join(f"fp{t} long" for t in range(WORD_SETS))
-SAMPLE_TEXTS = 20_000  # texts whose shingles are counted to tell common ones
-COMMON = 100_000  # common shingles known to every task
-FEW = 8  # members of a group that are paired without loops
-
-
-def word_set_fingerprints(data: np.ndarray, offsets: np.ndarray, number: int = WORD_SETS) -> list[np.ndarray]:
-    """Fingerprints of the sets of lower-cased words, each by another hash of the words."""
-    data = _LOWER[data]
-    starts, ends, first = words(data, offsets)
-    h, bounds = _unique(word_hashes(data, starts, ends), np.diff(first))
-    return [_majority(mix(h + np.uint64(t + 1)), bounds) for t in range(number)]
+def _row_key(docs: DataFrame) -> Column:
+    """128 bits of a digest of the whole row."""
+    return F.substring(F.unhex(F.sha2(F.to_json(F.struct(*docs.columns)), 256)), 1, 16)
 
 
-def _unique(h: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Each row's sorted distinct hashes, of ``n`` hashes a row, and the bounds between rows."""
-    row = np.repeat(np.arange(len(n)), n)
-    order = np.lexsort((h, row))
-    h, row = h[order], row[order]
-    new = np.ones(len(h), bool)
-    new[1:] = (h[1:] != h[:-1]) | (row[1:] != row[:-1])
-    return h[new], np.searchsorted(row[new], np.arange(len(n) + 1))
-
-
-def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for b in portions(batches):
-        prints = [pa.array(f.view(np.int64)) for f in word_set_fingerprints(*strings(b.column(1)))]
-        names = ["doc_id", "node", *(f"fp{t}" for t in range(WORD_SETS))]
-        yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), *prints], names=names)
-
-
-def shingle_sets(data: np.ndarray, offsets: np.ndarray, shingle: int) -> tuple[np.ndarray, np.ndarray]:
-    """The sorted distinct shingle hashes of each text, and the bounds between texts."""
-    data = _LOWER[data]
-    starts, ends, first = words(data, offsets)
-    n_words = np.diff(first)
-    n = np.maximum(n_words - shingle + 1, np.minimum(n_words, 1))
-    at = np.arange(n.sum()) + np.repeat(first[:-1] - np.concatenate([[0], np.cumsum(n)[:-1]]), n)
-    end = np.minimum(at + shingle, np.repeat(first[1:], n))
-    return _unique(span_hash(prefix_hash(word_hashes(data, starts, ends)), at, end), n)
-
+def keep_one(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
+    """One document of each group of linked fingerprints, with all columns.
 
-def _shingles(batches: Iterator[pa.RecordBatch], shingle: int) -> Iterator[pa.RecordBatch]:
-    """The shingle set of each text, packed."""
-    for b in portions(batches):
-        h, bounds = shingle_sets(*strings(b.column(1)), shingle)
-        packed = [h[i:j].tobytes() for i, j in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)]
-        yield pa.RecordBatch.from_arrays([b.column(2), pa.array(packed, pa.binary())], names=["id", "shingles"])
-
-
-_KEYS = pa.schema([("key", pa.int64())])
-
-
-def _keys(batches: Iterator[pa.RecordBatch], shingle: int) -> Iterator[pa.RecordBatch]:
-    for b in portions(batches):
-        yield batch(_KEYS, key=shingle_sets(*strings(b.column(1)), shingle)[0].view(np.int64))
-
-
-def _common(rows: DataFrame, number: int, shingle: int) -> np.ndarray:
-    """Shingles that several texts of a sample of ``number`` rows hold, the most frequent last."""
-    few = rows.where(F.pmod(F.xxhash64(F.lit(6), "doc_id"), F.lit(1_000_000)) < math.ceil(1e6 * SAMPLE_TEXTS / max(1, number)))
-    counts = few.mapInArrow(lambda b: _keys(b, shingle), "key long").groupBy("key").count().where("count >= 3")
-    found = counts.orderBy(F.desc("count"), "key").limit(COMMON).select("key").collect()
-    return np.array([r.key for r in found][::-1], np.int64).view(np.uint64)
-
-
-_ENTRIES = pa.schema([("key", pa.int64()), ("node", pa.int64()), ("size", pa.int32()), ("place", pa.int32())])
-_ENTRIES_DDL = "key long, node long, size int, place int"
-
-
-def _prefixes(batches: Iterator[pa.RecordBatch], shingle: int, similarity: float, common: np.ndarray) -> Iterator[pa.RecordBatch]:
-    """Of each shingle set the part that a set as similar has to share a member of.
-
-    The order is the same for all: common shingles are last.
-    """
-    by_hash = np.argsort(common)
-    for b in portions(batches):
-        h, bounds = shingle_sets(*strings(b.column(1)), shingle)
-        size = np.diff(bounds)
-        row = np.repeat(np.arange(len(size)), size)
-        late = np.zeros(len(h), np.int64)
-        if len(common):
-            at = np.minimum(np.searchsorted(common, h, sorter=by_hash), len(common) - 1)
-            late = np.where(common[by_hash[at]] == h, by_hash[at] + 1, 0)
-        h = h[np.lexsort((h, late, row))]
-        place = np.arange(len(h)) - bounds[row]
-        keep = place <= (size - np.ceil(similarity * size - 1e-9).astype(np.int64))[row]
-        none = np.flatnonzero(size == 0)  # sets without members are equal
-        nodes = b.column(2).to_numpy(zero_copy_only=False)
-        zeros = np.zeros(len(none), np.int64)
-        yield batch(
-            _ENTRIES,
-            key=np.concatenate([h[keep].view(np.int64), zeros]),
-            node=np.concatenate([nodes[row[keep]], nodes[none]]),
-            size=np.concatenate([size[row[keep]], zeros]),
-            place=np.concatenate([place[keep], zeros]),
-        )
-
-
-def _by_key(batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
-    """Columns of rows in order of the first column, cut between its values only."""
-    rest = None
-    for b in batches:
-        if not len(b):
-            continue
-        now = np.stack([c.to_numpy(zero_copy_only=False).astype(np.int64) for c in b.columns])
-        now = now if rest is None else np.concatenate([rest, now], axis=1)
-        cut = int(np.searchsorted(now[0], now[0, -1]))
-        if cut:
-            yield now[:, :cut]
-        rest = now[:, cut:]
-    if rest is not None:
-        yield rest
-
-
-def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Entries whose key several nodes have, one of each node."""
-    for rows in _by_key(batches):
-        new = np.ones(rows.shape[1], bool)
-        new[1:] = (rows[:2, 1:] != rows[:2, :-1]).any(axis=0)
-        rows = rows[:, new]
-        same = rows[0, 1:] == rows[0, :-1]
-        rows = rows[:, np.concatenate([same, [False]]) | np.concatenate([[False], same])]
-        yield batch(_ENTRIES, key=rows[0], node=rows[1], size=rows[2], place=rows[3])
-
-
-def _ahead(rows: np.ndarray, whole: bool) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Pairs of places in ``rows``, sorted by key, that share a key but no root."""
-    begin = np.flatnonzero(np.concatenate([[True], rows[0, 1:] != rows[0, :-1]]))
-    number = np.diff(np.append(begin, rows.shape[1]))
-    mixed = np.minimum.reduceat(rows[4], begin) != np.maximum.reduceat(rows[4], begin)
-    if whole:
-        small = np.repeat(mixed & (number <= FEW), number)
-        for step in range(1, FEW):
-            at = np.flatnonzero(small[:-step] & (rows[0, step:] == rows[0, :-step]))
-            yield at, at + step
-    for low, n in zip(begin[mixed & (number > FEW)].tolist(), number[mixed & (number > FEW)].tolist(), strict=True):
-        at = np.arange(low, low + n)
-        if not whole:
-            yield np.full(n - 1, low), at[1:]
-            yield at[:-1], at[1:]
-            continue
-        # The largest root comes last, so its members are only met by the others.
-        _, root, members = np.unique(rows[4, at], return_inverse=True, return_counts=True)
-        at = at[np.lexsort((root, members[root]))]
-        root = rows[4, at]
-        ends = np.append(np.flatnonzero(root[1:] != root[:-1]) + 1, n)
-        for first, end in zip(np.concatenate([[0], ends[:-2]]).tolist(), ends[:-1].tolist(), strict=True):
-            step = max(1, (1 << 20) // (n - end))
-            for i in range(first, end, step):
-                some = at[i : min(i + step, end)]
-                yield np.repeat(some, n - end), np.tile(at[end:], len(some))
-
-
-def _candidates(batches: Iterator[pa.RecordBatch], similarity: float, whole: bool) -> Iterator[pa.RecordBatch]:
-    """Pairs of nodes without a common root that may be similar.
-
-    With ``whole`` all of them; else of large groups those with the first and the
-    previous member, so that few roots are left when all are paired. At the first
-    shingle that two sets share, what is left of both bounds their intersection.
-    """
-    for rows in _by_key(batches):
-        for x, y in _ahead(rows, whole):
-            size, place = (rows[2, x], rows[2, y]), (rows[3, x], rows[3, y])
-            left = np.minimum(size[0] - place[0], size[1] - place[1])
-            ok = (rows[4, x] != rows[4, y]) & (np.minimum(*size) >= similarity * np.maximum(*size) - 1e-9)
-            ok &= left >= similarity / (1 + similarity) * (size[0] + size[1]) - 1e-6
-            a, b = rows[1, x[ok]], rows[1, y[ok]]
-            if len(a):
-                yield batch(_LINKS, a=np.maximum(a, b), b=np.minimum(a, b))
-
-
-def _similar(batches: Iterator[pa.RecordBatch], similarity: float) -> Iterator[pa.RecordBatch]:
-    for b in batches:
-        keep = []
-        for x, y in zip(b.column(2).to_pylist(), b.column(3).to_pylist(), strict=True):
-            x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-            both = len(np.intersect1d(x, y, assume_unique=True))
-            keep.append(both >= similarity * (len(x) + len(y) - both))
-        yield b.select([0, 1]).filter(pa.array(keep, pa.bool_()))
-
-
-def _verified(pairs: DataFrame, rows: DataFrame, nodes: DataFrame, similarity: float, shingle: int) -> DataFrame:
-    """The pairs ``a, b`` of nodes whose shingle sets are similar enough."""
-    pairs = freed(stored(pairs, "near-pairs"))
-    wanted = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
-    wanted = stored(nodes.join(wanted, "node").select(F.col("node").alias("_node"), F.col("id").alias("_id")), "near-nodes")
-    texts = rows.join(wanted, (F.col("node") == F.col("_node")) & (F.col("doc_id") == F.col("_id")), "left_semi").dropDuplicates(["node"])
-    sets = stored(texts.mapInArrow(lambda b: _shingles(b, shingle), "id long, shingles binary"), "near-shingles")
-    sides = [sets.select(F.col("id").alias(c), F.col("shingles").alias(f"{c}_set")) for c in "ab"]
-    checked = pairs.join(sides[0], "a").join(sides[1], "b").select("a", "b", "a_set", "b_set")
-    return freed(stored(checked.mapInArrow(lambda b: _similar(b, similarity), "a long, b long"), "near-links"))
-
-
-def near_copies(docs: DataFrame, similarity: float = 0.8, shingle: int = 5) -> DataFrame:
-    """``doc_id, node, component_id, component_node``: documents linked by word shingles that agree.
-
-    Two texts are linked if the Jaccard similarity of their distinct word shingles is at
-    least ``similarity``. Word-set fingerprints within three bits link most of them; a
-    prefix join finds all others: two sets as similar share a shingle among the first
-    fifth of each, in an order of shingles that is the same for all. Texts already
-    linked are not compared again, so dense groups do not grow to all their pairs.
-    A ``node`` is a text (its hash); ``component_id`` is the smallest id of the texts
-    that links lead to and ``component_node`` its text. Rows without an id take no part; different texts of one id are
-    nodes of their own.
-    """
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    rows = rows.where("doc_id is not null").withColumn("node", F.xxhash64("text"))
-    found = stored(rows.mapInArrow(_sets, _SETS_DDL), "word-sets")
-    prints = [f"fp{t}" for t in range(WORD_SETS)]
-    nodes = found.groupBy("node").agg(F.min("doc_id").alias("id"), *(F.first(p).alias(p) for p in prints))
-    nodes = stored(nodes, "word-set-nodes")
-    pairs = None
-    for p in prints:
-        first = stored(nodes.groupBy(F.col(p).alias("fp")).agg(F.min("node").alias("first")), "word-set-prints")
-        same = nodes.join(first, F.col(p) == F.col("fp")).select(F.col("node").alias("a"), F.col("first").alias("b"))
-        met = freed(stored(links(first), "word-set-links"))
-        ends = [first.select(F.col("fp").alias(c), F.col("first").alias(f"{c}_id")) for c in "ab"]
-        met = met.join(ends[0], "a").join(ends[1], "b").select(F.col("a_id").alias("a"), F.col("b_id").alias("b"))
-        pairs = same.unionAll(met) if pairs is None else pairs.unionAll(same).unionAll(met)
-    pairs = pairs.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
-    linked = _verified(pairs, rows, nodes, similarity, shingle)
-
-    common = _common(rows, found.count(), shingle)
-    entries = rows.mapInArrow(lambda b: _prefixes(b, shingle, similarity, common), _ENTRIES_DDL)
-    entries = entries.repartition(F.col("key")).sortWithinPartitions("key", "node")
-    entries = freed(stored(entries.mapInArrow(_shared, _ENTRIES_DDL), "near-entries"))
-    for whole in (False, True):
-        roots = components(linked)
-        rooted = entries.join(roots, "node", "left").select("key", "node", "size", "place", F.coalesce("root", "node").alias("root"))
-        rooted = rooted.repartition(F.col("key")).sortWithinPartitions("key", "node")
-        pairs = rooted.mapInArrow(lambda b, whole=whole: _candidates(b, similarity, whole), "a long, b long").distinct()
-        linked = linked.unionAll(_verified(pairs, rows, nodes, similarity, shingle))
-    labels = nodes.join(components(linked), "node", "left").select("node", "id", F.coalesce("root", "node").alias("root"))
-    least = labels.groupBy("root").agg(F.min(F.struct("id", "node")).alias("least"))
-    labels = labels.join(least, "root").select("node", F.col("least.id").alias("component_id"), F.col("least.node").alias("component_node"))
-    return found.join(labels, "node").select("doc_id", "node", "component_id", "component_node")
-
-
-def keep_one(docs: DataFrame, similarity: float = 0.8, shingle: int = 5) -> DataFrame:
-    """One document of each group of near copies, the smallest id, with all columns.
-
-    Rows without an id stay; of rows that repeat an id and its text, one stays. Rows are
-    dropped by id and text: another text of the same id stays unless it is a near copy too.
+    It is the document with the smallest id; rows without an id come last, and of rows
+    with the same id the one with the smallest digest stays, so a rerun keeps the same rows.
+    Rows are told apart by a digest of all their columns; of rows equal in every column one stays.
     """
-    found = near_copies(docs, similarity, shingle)
-    gone = found.where("doc_id <> component_id or node <> component_node").select(F.col("doc_id").alias("_gone"), F.col("node").alias("_text")).distinct()
-    gone = stored(gone, "near-gone")  # so that its size is known when the join is planned
-    text = F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit("")))
-    rows = docs.join(gone, (F.col("doc_id").cast("long") == F.col("_gone")) & (text == F.col("_text")), "left_anti")
-    return rows.dropDuplicates(["doc_id", "text"])
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), _row_key(docs).alias("key"))
+    prints = stored(rows.mapInArrow(lambda b: _prints(b, shingle), "doc_id long, key binary, fp long"), "simhash-rows")
+    members = prints.join(_roots(prints), "fp").groupBy("root", "doc_id", "key").agg(F.count("*").alias("n"))
+    members = stored(members, "simhash-members")
+    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "key")
+    first = members.groupBy("root").agg(F.min(order).alias("first"))
+    # Few rows go and fewer repeat, so these lists are what the texts are joined with.
+    marked = members.join(first, "root").where("key <> first.key or n > 1")
+    marked = stored(marked.select(F.col("key").alias("_key"), (F.col("key") == F.col("first.key")).alias("_repeated")), "simhash-gone")
+    keyed = docs.withColumn("_row_key", _row_key(docs))
+    kept = keyed.join(marked, F.col("_row_key") == F.col("_key"), "left_anti")
+    repeated = marked.where("_repeated")
+    if not repeated.isEmpty():
+        kept = kept.unionAll(keyed.join(repeated, F.col("_row_key") == F.col("_key"), "left_semi").dropDuplicates(["_row_key"]))
+    return kept.select(*docs.columns)
 
 
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
