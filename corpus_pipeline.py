@@ -29,7 +29,7 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies (five-word shingles, 0.8), the smallest id."""
+    """One document of each group of linked fingerprints (three-word shingles, three bits), the smallest id."""
     return keep_one(docs)
 
 
