@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from loadstar.llm.chat import OP1_SQL, op1_chat_format
 from loadstar.llm.decontamination import op4_decontamination
 from loadstar.llm.fm_dedup import op2_fm_dedup
+from loadstar.llm.hpylm import op12_language_model
 from loadstar.llm.mixing import op8_mixing
 from loadstar.llm.quality import op7_quality_rules
 from loadstar.llm.simhash import op6_simhash
@@ -31,6 +32,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_warc": op9_warc,
     "op10_toxicity": op10_toxicity,
     "op11_whitening": op11_whitening,
+    "op12_language_model": op12_language_model,
     "op13_trie": op13_trie,
 }
 

@@ -25,18 +25,19 @@ BYTE_VALUES = np.random.default_rng(20240611).integers(1, 1 << 63, 256, dtype=np
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
+def stored(df: DataFrame, name: str, by: str | None = None) -> DataFrame:
     """``df`` written below the shared folder and read back, which cuts its lineage.
 
     A lost executor then costs a re-read of these files, not the work before them.
-    The shuffles that led to the files are deleted as soon as they are written.
+    The shuffles that led to the files are deleted as soon as they are written. ``by`` names
+    a column of few values whose rows are kept apart.
     """
     spark = df.sparkSession
     path = new_folder(spark, name)
     before = spark.conf.get(_CLEANUP, "false")
     spark.conf.set(_CLEANUP, "true")
     try:
-        df.write.parquet(path)
+        df.write.parquet(path, partitionBy=by)
     finally:
         spark.conf.set(_CLEANUP, before)
     out = spark.read.schema(df.schema).parquet(path)
