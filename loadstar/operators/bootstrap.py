@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -17,16 +21,15 @@ _MASK_32 = 4294967295
 _RANGE_32 = 4294967296.0
 
 
-def _mix(x: Column) -> Column:
-    """Scramble a non-negative integer below 2^32 into another one."""
+def _mix(x: np.ndarray) -> np.ndarray:
+    """Scramble non-negative integers below 2^32 into others."""
     for _ in range(2):
-        folded = x.bitwiseXOR(F.shiftrightunsigned(x, 16))
-        x = (folded * F.lit(_MIX_FACTOR)).bitwiseAND(F.lit(_MASK_32))
-    return x.bitwiseXOR(F.shiftrightunsigned(x, 16))
+        x = ((x ^ (x >> 16)) * _MIX_FACTOR) & _MASK_32
+    return x ^ (x >> 16)
 
 
-def _next(state: Column, step: Column) -> Column:
-    return _mix((state + step).bitwiseAND(F.lit(_MASK_32)))
+def _next(state: np.ndarray, step: np.ndarray) -> np.ndarray:
+    return _mix((state + step) & _MASK_32)
 
 
 def _history(fact: DataFrame) -> DataFrame:
@@ -43,6 +46,72 @@ def _history(fact: DataFrame) -> DataFrame:
     return running_totals(outcomes, ["carrier_id"], "outcome", "shipments")
 
 
+def _chunks(known: DataFrame, chunk: int) -> DataFrame:
+    """Outcomes by rank as arrays: ``carrier_id, n, first, outcomes`` of ``chunk`` ranks each.
+
+    A run of equal outcomes that spans several chunks is dealt over them, so no row
+    holds more than ``chunk`` shipments however many a carrier has.
+    """
+    first, total = F.col("weight_before"), F.col("weight_total")
+    last = first + F.col("weight_here") - 1
+
+    def of(rank: Column) -> Column:
+        return F.floor(rank / F.lit(chunk)).cast("bigint")
+
+    begin = F.greatest("first", F.col("chunk") * chunk)
+    end = F.least("last", F.col("chunk") * chunk + chunk - 1)
+    runs = known.select(
+        "carrier_id",
+        total.alias("n"),
+        "outcome",
+        first.alias("first"),
+        last.alias("last"),
+        F.explode(F.sequence(of(first), of(last))).alias("chunk"),
+    ).select(
+        "carrier_id",
+        "n",
+        "chunk",
+        F.struct(
+            begin.alias("first"), "outcome", (end - begin + 1).cast("int").alias("shipments")
+        ).alias("run"),
+    )
+    repeated = F.transform(
+        F.sort_array(F.collect_list("run")),
+        lambda r: F.array_repeat(r["outcome"], r["shipments"]),
+    )
+    return runs.groupBy("carrier_id", "n", "chunk").agg(F.flatten(repeated).alias("outcomes")).select(
+        "carrier_id", "n", (F.col("chunk") * chunk).alias("first"), "outcomes"
+    )
+
+
+def _ranks(carrier: int, n: int, reps: int, draw: int, seed: int) -> np.ndarray:
+    """The ranks that each resample draws, from a hash of carrier, resample and position."""
+    state = _next(_next(np.int64(seed), np.int64(carrier)), np.arange(reps))
+    state = _next(state[:, None], np.arange(1, min(draw, n) + 1)[None, :])
+    return np.floor(state / _RANGE_32 * n).astype(np.int64)
+
+
+_SUMS = "carrier_id long, rep int, size int, cents long, flags long"
+
+
+def _resampled(
+    batches: Iterator[pa.RecordBatch], reps: int, draw: int, seed: int
+) -> Iterator[pa.RecordBatch]:
+    """For each chunk and resample: what the draws that fall into the chunk add up to."""
+    names = [c.split()[0] for c in _SUMS.split(", ")]
+    for b in batches:
+        heads = zip(*(b.column(i).to_pylist() for i in range(3)), strict=True)
+        for (carrier, n, first), outcomes in zip(heads, b.column(3), strict=True):
+            outcomes = outcomes.values.to_numpy()
+            ranks = _ranks(carrier, n, reps, draw, seed) - first
+            here = (ranks >= 0) & (ranks < len(outcomes))
+            drawn = np.where(here, outcomes[np.where(here, ranks, 0)], 0)
+            sums = [(drawn >> 1).sum(axis=1), (drawn & 1).sum(axis=1)]
+            same = [np.full(reps, v) for v in (carrier, min(draw, n))]
+            columns = same[0], np.arange(reps, dtype=np.int32), same[1].astype(np.int32), *sums
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=names)
+
+
 def carrier_bootstrap(
     star: Star,
     *,
@@ -52,64 +121,35 @@ def carrier_bootstrap(
     min_n: int = 30,
     ci: float = 0.95,
     seed: int = 42,
+    chunk: int | None = None,
 ) -> DataFrame:
     """Bootstrap mean and interval of OTP % and cost for every carrier.
 
     Each of ``reps`` resamples draws ``draw`` shipments (fewer for carriers with
-    fewer) with replacement from the carrier's whole history. A draw is a rank.
-    The ranks of a carrier are cut into as many blocks as it has draws, and a
-    draw meets the outcomes of its own block only: the history is spread over
-    all blocks and read about once, however large, and never copied per
-    resample. Draws come from a hash of carrier, resample and position, so a
-    task that runs twice draws the same. ``carriers`` limits the work to the
-    given carrier ids.
+    fewer) with replacement from the carrier's whole history. The history is laid
+    out by rank in arrays of ``chunk`` shipments, by default as many as a carrier has
+    draws, so that hashing the draws for each chunk costs no more than reading the history
+    once; a draw is an array entry inside a task and never a row. Draws come from a hash of carrier, resample and position, so a
+    task that runs twice draws the same. ``carriers`` limits the work to the given
+    carrier ids.
     """
     fact = star.fact
     if carriers is not None:
         fact = fact.join(carriers.select("carrier_id"), "carrier_id", "left_semi")
-
-    def block(rank: Column, total: Column) -> Column:
-        blocks = F.least(total, F.lit(reps * draw).cast("bigint"))
-        return F.floor(rank * blocks / total).cast("bigint")
-
-    total, first = F.col("weight_total"), F.col("weight_before")
-    last = first + F.col("weight_here") - 1
-    known = (
-        _history(fact)
-        .where(total >= min_n)
-        .select(
-            "carrier_id",
-            F.explode(F.sequence(block(first, total), block(last, total))).alias("block"),
-            first.alias("first"),
-            last.alias("last"),
-            "outcome",
-        )
-    )
-    sizes = gather(fact, ["carrier_id"], ["n"]).where(F.col("n") >= min_n)
-    size = F.least(F.lit(draw), F.col("n")).cast("int")
-    # a few small rows are about to become reps x draw rows each: spread the
-    # resamples first, with a fixed count that is not merged back for being small
+    known = _history(fact).where(F.col("weight_total") >= min_n)
+    chunks = _chunks(known, chunk or max(1, reps * draw))
+    # every chunk is the same work, reps x draw hashes, so rows are dealt out evenly
     tasks = int(fact.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    seeded = _next(F.lit(seed).cast("bigint"), F.col("carrier_id"))
-    rank = F.floor(F.col("state") / F.lit(_RANGE_32) * F.col("n")).cast("bigint")
-    draws = (
-        sizes.withColumn("state", seeded)
-        .withColumn("rep", F.explode(F.sequence(F.lit(0), F.lit(reps - 1))))
-        .repartition(tasks, "carrier_id", "rep")
-        .withColumn("state", _next(F.col("state"), F.col("rep")))
-        .withColumn("pick", F.explode(F.sequence(F.lit(1), size)))
-        .withColumn("state", _next(F.col("state"), F.col("pick")))
-        .select("carrier_id", "rep", "n", rank.alias("rank"))
-        .select("carrier_id", "rep", "rank", block(F.col("rank"), F.col("n")).alias("block"))
-    )
-    # Sizes measured before the draws are unfolded make them look tiny; a merge
-    # join keeps Spark from broadcasting them, and it spills when it must.
-    found = draws.join(known.hint("merge"), ["carrier_id", "block"]).where(
-        F.col("rank").between(F.col("first"), F.col("last"))
+    sums = (
+        chunks.repartition(tasks, "carrier_id", "first")
+        .mapInArrow(lambda b: _resampled(b, reps, draw, seed), _SUMS)
+        .groupBy("carrier_id", "rep", "size")
+        .agg(F.sum("cents").alias("cents"), F.sum("flags").alias("flags"))
     )
-    means = found.groupBy("carrier_id", "rep").agg(
-        (ratio(F.sum(F.col("outcome") % 2), F.count("outcome")) * 100).alias("otp"),
-        (ratio(F.sum(F.shiftright("outcome", 1)), F.count("outcome")) / 100).alias("cost"),
+    means = sums.select(
+        "carrier_id",
+        (ratio(F.col("flags"), F.col("size")) * 100).alias("otp"),
+        (ratio(F.col("cents"), F.col("size")) / 100).alias("cost"),
     )
     low, high = 0.5 - ci / 2, 0.5 + ci / 2
     # one value per resample and carrier, so the exact percentile stays small

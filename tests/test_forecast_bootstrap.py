@@ -150,6 +150,28 @@ def test_bootstrap_equals_brute_force(star, reps, draw):
         assert row["otp_low"] == pytest.approx(np.percentile(otps, 2.5))
 
 
+def test_carriers_larger_than_a_chunk(star):
+    """The cuts between chunks move no draw, wherever they fall in a run of equal outcomes."""
+    options = {"reps": 20, "draw": 15, "seed": 3}
+    whole = sorted(bootstrap.carrier_bootstrap(star, **options).collect())
+    for chunk in (1, 7, 64):
+        cut = sorted(bootstrap.carrier_bootstrap(star, chunk=chunk, **options).collect())
+        assert [r["carrier_id"] for r in cut] == [r["carrier_id"] for r in whole]
+        for one, other in zip(cut, whole, strict=True):
+            assert list(one) == pytest.approx(list(other))
+
+
+def test_draws_are_never_rows(star):
+    """Each of the two carriers' chunks hands on one row per resample, not one per draw."""
+    rows = bootstrap.carrier_bootstrap(star, reps=50, draw=40)
+    assert rows.collect()
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert "MapInArrow" in plan and plan.count("Generate explode") <= 2 and "posexplode" not in plan
+    chunks = bootstrap._chunks(bootstrap._history(star.fact), 2000)
+    sums = chunks.mapInArrow(lambda b: bootstrap._resampled(b, 50, 40, 1), bootstrap._SUMS)
+    assert sums.count() == sums.select("carrier_id").distinct().count() * 50
+
+
 def test_interval_holds_the_true_mean(star):
     for row in bootstrap.carrier_bootstrap(star, reps=300).collect():
         truth = 1500 if row["carrier_id"] == 1 else 700 + 7 * 19.5
