@@ -8,7 +8,7 @@ fact itself is therefore never joined and never shuffled row by row.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable, Sequence
+from collections.abc import Callable, Iterable, Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from loadstar.functions.numeric import ratio, settled
 from loadstar.schema import FOREIGN_KEYS
+from loadstar.star import Star
 
 def _cost_per_mile() -> Column:
     return ratio("total_cost_usd", "distance_miles")
@@ -37,6 +38,20 @@ def _negative_dwell() -> Column:
     return F.when(F.col("dwell_minutes") < 0, F.col("dwell_minutes"))
 
 
+# Sketches are parts too: they merge like sums. The quantiles are off by about 0.2 % of the
+# ranks, distinct counts by about 0.4 %, and counts of up to some thousands come out exact.
+QUANTILE_SIZE = 2000
+DISTINCT_BITS = 16
+
+
+def _quantiles(value: Column) -> Column:
+    return F.kll_sketch_agg_double(value.cast("double"), QUANTILE_SIZE)
+
+
+def _distinct(key: str) -> Column:
+    return F.hll_sketch_agg(F.col(key).cast("bigint"), DISTINCT_BITS)
+
+
 # part name -> aggregate over fact rows
 _PARTS: dict[str, Callable[[], Column]] = {
     "n": lambda: F.count(F.lit(1)),
@@ -68,6 +83,11 @@ _PARTS: dict[str, Callable[[], Column]] = {
     "cpp_n": lambda: F.count(_cost_per_pallet()),
     "acc_share_sum": lambda: F.sum(_accessorial_share()),
     "acc_share_n": lambda: F.count(_accessorial_share()),
+    "dwell_kll": lambda: _quantiles(_positive_dwell()),
+    "util_kll": lambda: _quantiles(F.col("trailer_utilization_pct")),
+    "carriers_hll": lambda: _distinct("carrier_id"),
+    "lanes_hll": lambda: _distinct("lane_id"),
+    "shippers_hll": lambda: _distinct("shipper_id"),
 }
 
 
@@ -120,6 +140,9 @@ _KPIS: dict[str, tuple[tuple[str, ...], Callable[[], Column]]] = {
         _rate("accessorial_sum", "cost_sum"),
     ),
     "util_under_half_rate": (("util_under_half", "n"), _rate("util_under_half", "n")),
+    "active_carriers": (("carriers_hll",), lambda: F.hll_sketch_estimate("carriers_hll")),
+    "active_lanes": (("lanes_hll",), lambda: F.hll_sketch_estimate("lanes_hll")),
+    "active_shippers": (("shippers_hll",), lambda: F.hll_sketch_estimate("shippers_hll")),
 }
 
 
@@ -163,6 +186,10 @@ def _merge_part(part: str) -> Column:
         merged = F.min(part)
     elif part.endswith("_max"):
         merged = F.max(part)
+    elif part.endswith("_kll"):
+        merged = F.kll_merge_agg_double(part, QUANTILE_SIZE)
+    elif part.endswith("_hll"):
+        merged = F.hll_union_agg(part)
     else:
         merged = F.sum(part)
     return merged.alias(part)
@@ -174,3 +201,40 @@ def merge(
     """Merge gathered parts to coarser ``keys``; ``extra`` are further aggregates."""
     aggs = [_merge_part(p) for p in parts_of(kpis)]
     return parts.groupBy(*keys).agg(*aggs, *extra)
+
+
+def gather_from(star: Star, keys: Sequence[str], kpis: Iterable[str]) -> DataFrame:
+    """Parts of ``kpis`` per key, merged from the star's stored parts where it has them.
+
+    Stored parts serve if their grain has all of ``keys`` and its other keys drop no
+    rows; the coarsest grain that serves is read. Otherwise the fact is.
+    """
+    needed = parts_of(kpis)
+
+    def serves(grain: tuple[str, ...], table: DataFrame) -> bool:
+        others = set(grain) - set(keys)
+        return set(keys) <= set(grain) and not others & set(FOREIGN_KEYS) and set(needed) <= set(table.columns)
+
+    found = [(len(grain), table) for grain, table in star.parts.items() if serves(grain, table)]
+    if not found:
+        return gather(star.fact, keys, needed)
+    return merge(min(found, key=lambda f: f[0])[1], keys, needed)
+
+
+def sketched(
+    parts: DataFrame, keys: Sequence[str], sketch: str, probabilities: Mapping[str, float]
+) -> DataFrame:
+    """Approximate percentiles per group, in the shape of ``ordered.percentiles``.
+
+    Merges the parts ``n`` and ``sketch``; a group without values has NULLs.
+    """
+    merged = merge(parts, keys, ["n", sketch])
+    known = F.kll_sketch_get_n_double(sketch) > 0
+    return merged.select(
+        *keys,
+        F.col("n").alias("row_count"),
+        *[
+            F.when(known, F.kll_sketch_get_quantile_double(sketch, F.lit(float(p)))).alias(name)
+            for name, p in probabilities.items()
+        ],
+    )

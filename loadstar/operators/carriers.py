@@ -7,7 +7,7 @@ from datetime import date, timedelta
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loadstar.functions.measures import gather, kpi, merge
+from loadstar.functions.measures import gather, gather_from, kpi, merge, sketched
 from loadstar.functions.numeric import percent, ratio, rounded
 from loadstar.operators.lanes import positive_dwell
 from loadstar.operators.ordered import cumulative_top, global_rank, percentiles
@@ -42,21 +42,24 @@ def otp_rank_within_tier(star: Star) -> DataFrame:
     ).orderBy("carrier_tier", "rank_within_tier", "carrier_name")
 
 
-def dwell_percentiles_by_carrier(star: Star) -> DataFrame:
-    """Median, p90 and p99 of positive dwell per carrier name."""
-    named = (
-        positive_dwell(star.fact, "carrier_id")
-        .groupBy("carrier_id", "minutes")
-        .agg(F.sum("shipments").alias("shipments"))
-        .join(star.carrier, "carrier_id")
-    )
-    dwell = percentiles(
-        named,
-        ["carrier_name", "carrier_tier"],
-        "minutes",
-        "shipments",
-        {"dwell_p50": 0.50, "dwell_p90": 0.90, "dwell_p99": 0.99},
-    )
+def dwell_percentiles_by_carrier(star: Star, *, approx: bool = False) -> DataFrame:
+    """Median, p90 and p99 of positive dwell per carrier name.
+
+    ``approx`` takes them from mergeable sketches instead of sorting the values.
+    """
+    keys = ["carrier_name", "carrier_tier"]
+    shares = {"dwell_p50": 0.50, "dwell_p90": 0.90, "dwell_p99": 0.99}
+    if approx:
+        sketches = gather_from(star, ["carrier_id"], ["n", "dwell_kll"])
+        dwell = sketched(sketches.join(star.carrier, "carrier_id"), keys, "dwell_kll", shares)
+    else:
+        named = (
+            positive_dwell(star.fact, "carrier_id")
+            .groupBy("carrier_id", "minutes")
+            .agg(F.sum("shipments").alias("shipments"))
+            .join(star.carrier, "carrier_id")
+        )
+        dwell = percentiles(named, keys, "minutes", "shipments", shares)
     return dwell.select(
         "carrier_name",
         "carrier_tier",
@@ -67,6 +70,37 @@ def dwell_percentiles_by_carrier(star: Star) -> DataFrame:
     ).orderBy(F.desc("dwell_p90"), "carrier_name")
 
 
+def dwell_rank_errors(star: Star, *, bound: float = 0.01) -> DataFrame:
+    """How far the sketched dwell percentiles of each carrier are from their exact ranks.
+
+    The error of a percentile is the distance, as a share of the carrier's values, from the
+    wanted rank to the nearest rank at which the sketched value stands.
+    """
+    shares = {"p50": 0.50, "p90": 0.90, "p99": 0.99}
+    sketches = gather_from(star, ["carrier_id"], ["n", "dwell_kll"])
+    found = sketched(sketches, ["carrier_id"], "dwell_kll", shares)
+    minutes = positive_dwell(star.fact, "carrier_id").where(F.col("minutes").isNotNull())
+    counts = minutes.groupBy("carrier_id", "minutes").agg(F.sum("shipments").alias("shipments"))
+    total = F.sum("shipments")
+    errors = {}
+    for name, p in shares.items():
+        below = ratio(F.sum(F.when(F.col("minutes") < F.col(name), F.col("shipments")).otherwise(0)), total)
+        upto = ratio(F.sum(F.when(F.col("minutes") <= F.col(name), F.col("shipments")).otherwise(0)), total)
+        errors[name] = F.greatest(below - F.lit(p), F.lit(p) - upto, F.lit(0.0)).alias(f"{name}_error")
+    # few rows of a carrier put whole percents between neighbouring ranks
+    slack = F.lit(bound) + ratio(F.lit(1.0), F.col("shipments"))
+    return (
+        counts.join(found, "carrier_id")
+        .groupBy("carrier_id")
+        .agg(total.alias("shipments"), *errors.values())
+        .select(
+            "carrier_id",
+            "shipments",
+            (F.greatest(*[F.col(f"{n}_error") for n in shares]) <= slack).alias("within_bound"),
+        )
+    )
+
+
 def carrier_lane_otp_matrix(
     star: Star, *, min_shipments: int = 50, limit: int = 50
 ) -> DataFrame:

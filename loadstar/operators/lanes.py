@@ -7,7 +7,7 @@ from datetime import date, timedelta
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from loadstar.functions.measures import gather, kpi, linked, merge
+from loadstar.functions.measures import gather, gather_from, kpi, linked, merge, sketched
 from loadstar.functions.numeric import percent, ratio, rounded
 from loadstar.operators.ordered import percentiles
 from loadstar.schema import BENCHMARK_CPM
@@ -57,15 +57,20 @@ def top_lanes_by_volume(star: Star, *, limit: int = 10) -> DataFrame:
     )
 
 
-def dwell_outliers_by_lane(star: Star, *, p99_min: float = 180) -> DataFrame:
-    """Lanes whose 99th percentile of positive dwell exceeds ``p99_min``."""
-    dwell = percentiles(
-        positive_dwell(star.fact, "lane_id"),
-        ["lane_id"],
-        "minutes",
-        "shipments",
-        {"dwell_p50": 0.50, "dwell_p90": 0.90, "dwell_p99": 0.99},
-    )
+def dwell_outliers_by_lane(
+    star: Star, *, p99_min: float = 180, approx: bool = False
+) -> DataFrame:
+    """Lanes whose 99th percentile of positive dwell exceeds ``p99_min``.
+
+    ``approx`` takes the percentiles from mergeable sketches instead of sorting the values.
+    """
+    shares = {"dwell_p50": 0.50, "dwell_p90": 0.90, "dwell_p99": 0.99}
+    if approx:
+        sketches = gather_from(star, ["lane_id"], ["n", "dwell_kll"])
+        dwell = sketched(sketches, ["lane_id"], "dwell_kll", shares)
+    else:
+        minutes = positive_dwell(star.fact, "lane_id")
+        dwell = percentiles(minutes, ["lane_id"], "minutes", "shipments", shares)
     lane = F.concat(
         F.concat_ws(", ", "origin_city", "origin_state"),
         F.lit(" -> "),

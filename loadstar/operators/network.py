@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from loadstar.functions.calendar import week_year
-from loadstar.functions.measures import gather, kpi, linked, merge
+from loadstar.functions.measures import gather, gather_from, kpi, linked, merge, sketched
 from loadstar.functions.numeric import percent, ratio, rounded, settled
 from loadstar.operators.ordered import percentiles, running_totals
 from loadstar.schema import DAY_NAMES, NETWORK_OTP_TARGET_PCT, PEAK_MONTHS
@@ -26,7 +26,7 @@ EARLY_ARRIVAL_NOTE = (
 
 def by_day(star: Star, kpis: Iterable[str], keys: Sequence[str] = ()) -> DataFrame:
     """Parts per ship day (and ``keys``) with the calendar columns beside them."""
-    parts = gather(star.fact, [*keys, "shipment_date_key"], kpis)
+    parts = gather_from(star, [*keys, "shipment_date_key"], kpis)
     return parts.join(star.date, F.col("shipment_date_key") == F.col("date_key"))
 
 
@@ -247,21 +247,26 @@ def cost_per_pallet_by_service(star: Star) -> DataFrame:
     )
 
 
-def utilization_by_service(star: Star) -> DataFrame:
-    """Mean, quartiles and under-half share of trailer utilisation per service."""
+def utilization_by_service(star: Star, *, approx: bool = False) -> DataFrame:
+    """Mean, quartiles and under-half share of trailer utilisation per service.
+
+    ``approx`` takes the quartiles from mergeable sketches instead of sorting the values.
+    """
     fill = (
         linked(star.fact, "service_type_id")
         .groupBy("service_type_id", "trailer_utilization_pct")
         .agg(F.count(F.lit(1)).alias("shipments"))
         .join(star.service.where(F.col("service_name").isNotNull()), "service_type_id")
     )
-    quartiles = percentiles(
-        fill,
-        ["service_name"],
-        "trailer_utilization_pct",
-        "shipments",
-        {"p25": 0.25, "p50": 0.50, "p75": 0.75},
-    )
+    shares = {"p25": 0.25, "p50": 0.50, "p75": 0.75}
+    if approx:
+        sketches = gather_from(star, ["service_type_id"], ["n", "util_kll"])
+        named = sketches.join(star.service, "service_type_id")
+        quartiles = sketched(named, ["service_name"], "util_kll", shares)
+    else:
+        quartiles = percentiles(
+            fill, ["service_name"], "trailer_utilization_pct", "shipments", shares
+        )
     # the same counts per distinct value also give the means
     value, n = F.col("trailer_utilization_pct"), F.col("shipments")
     known = F.when(value.isNotNull(), n)

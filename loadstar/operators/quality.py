@@ -48,14 +48,24 @@ def fk_orphans(
     All keys are counted per value in one pass over the fact and looked up in one
     anti join. A NULL key counts as an orphan.
     """
-    tables = star.tables()
+    return _orphans(star, _key_counts(star.fact, foreign_keys), foreign_keys)
+
+
+def _key_counts(fact: DataFrame, foreign_keys: Mapping[str, tuple[str, str]]) -> DataFrame:
+    """Rows per value of every foreign key, in one pass."""
     pairs = [
         F.struct(F.lit(c).alias("fk"), F.col(c).cast("bigint").alias("value"))
         for c in foreign_keys
     ]
-    used = star.fact.select(F.inline(F.array(*pairs))).groupBy("fk", "value").agg(
+    return fact.select(F.inline(F.array(*pairs))).groupBy("fk", "value").agg(
         F.count(F.lit(1)).alias("n")
     )
+
+
+def _orphans(
+    star: Star, used: DataFrame, foreign_keys: Mapping[str, tuple[str, str]]
+) -> DataFrame:
+    tables = star.tables()
     known = _stack(
         [
             tables[table].select(F.lit(column).alias("fk"), F.col(key).cast("bigint").alias("value"))
@@ -99,10 +109,13 @@ def top_shipper_concentration(
     star: Star, *, top: int = 20, minimum: float = 0.50
 ) -> DataFrame:
     """Share of the ``top`` shippers in all shipments."""
-    volumes = gather(star.fact, ["shipper_id"], ["n"])
+    return _concentration(gather(star.fact, ["shipper_id"], ["n"]), "shipper_id", top, minimum)
+
+
+def _concentration(volumes: DataFrame, key: str, top: int, minimum: float) -> DataFrame:
     total = volumes.agg(F.sum("n")).scalar()
     share = (
-        volumes.orderBy(F.desc("n"), "shipper_id")
+        volumes.orderBy(F.desc("n"), key)
         .limit(top)
         .agg(F.sum("n").alias("n"))
         .select(ratio("n", total).alias("share"))
@@ -119,16 +132,46 @@ def blocking_checks(star: Star) -> DataFrame:
 def all_checks(
     star: Star, *, min_rows: int = 1_000_000, min_lanes: int = 200
 ) -> DataFrame:
-    """Every check of the load report, one row each."""
+    """Every check of the load report, one row each.
+
+    Two passes over the fact: one aggregate for the checks of single rows, one count
+    per key value for the orphans and the shippers' shares.
+    """
+    parts = F.col("linehaul_cost_usd") + F.col("fuel_surcharge_usd") + F.col("accessorial_cost_usd")
+    rows = star.fact.agg(
+        F.count(F.lit(1)).alias("row_count"),
+        F.count_if(parts != F.col("total_cost_usd")).alias("cost_identity"),
+        F.count_if(F.col("pickup_actual_ts").isNull()).alias("null_pickup"),
+        F.count_if(F.col("dwell_minutes") < 0).alias("negative_dwell"),
+    )
+    passed = {
+        "row_count": F.col("row_count") >= min_rows,
+        "cost_identity": F.col("cost_identity") == 0,
+        "null_pickup": F.lit(True),
+        "negative_dwell": F.lit(True),
+    }
+    scalars = rows.select(
+        F.inline(
+            F.array(
+                *[
+                    F.struct(
+                        F.lit(name).alias("check_name"),
+                        F.col(name).cast("double").alias("value"),
+                        ok.alias("passed"),
+                    )
+                    for name, ok in passed.items()
+                ]
+            )
+        )
+    )
+    used = _key_counts(star.fact, schema.FOREIGN_KEYS)
+    shippers = used.where((F.col("fk") == "shipper_id") & F.col("value").isNotNull())
     return _stack(
         [
-            row_count(star, minimum=min_rows),
+            scalars,
             distinct_lanes(star, minimum=min_lanes),
-            fk_orphans(star),
-            cost_identity(star),
-            null_pickup(star),
-            negative_dwell(star),
-            top_shipper_concentration(star),
+            _orphans(star, used, schema.FOREIGN_KEYS),
+            _concentration(shippers, "value", 20, 0.50),
         ]
     )
 

@@ -7,15 +7,17 @@ from datetime import date
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loadstar.functions.measures import gather, kpi, merge, parts_of
+from loadstar.functions.calendar import week_year
+from loadstar.functions.measures import gather, gather_from, kpi, merge, parts_of, sketched
 from loadstar.functions.numeric import percent, ratio, rounded, settled
 from loadstar.operators import shippers
-from loadstar.operators.network import by_week
+from loadstar.operators.network import by_day, by_week
 from loadstar.operators.ordered import percentiles
 from loadstar.star import Star, lane_label
 
 
-def carrier_scorecard(star: Star) -> DataFrame:
+def carrier_scorecard(star: Star, *, approx: bool = False) -> DataFrame:
+    """KPIs and dwell percentiles of every carrier, the latter from sketches with ``approx``."""
     kpis = [
         "shipment_count",
         "otp_rate",
@@ -26,20 +28,20 @@ def carrier_scorecard(star: Star) -> DataFrame:
         "avg_cost",
         "total_cost",
     ]
-    # One pass per carrier and dwell value serves the percentiles and the KPIs. The
-    # condition always holds, but it keeps all parts in use on both branches, so
-    # that they share the shuffle.
-    cells = gather(star.fact, ["carrier_id", "dwell_minutes"], kpis)
-    used = [F.col(p).cast("double") for p in parts_of(kpis)]
-    cells = cells.where(F.greatest(F.lit(0.0), *used) >= 0)
-    minutes = F.when(F.col("dwell_minutes") > 0, F.col("dwell_minutes"))
-    dwell = percentiles(
-        cells.withColumn("minutes", minutes),
-        ["carrier_id"],
-        "minutes",
-        "n",
-        {"dwell_p50": 0.50, "dwell_p90": 0.90},
-    )
+    shares = {"dwell_p50": 0.50, "dwell_p90": 0.90}
+    if approx:
+        cells = gather_from(star, ["carrier_id"], [*kpis, "dwell_kll"])
+        dwell = sketched(cells, ["carrier_id"], "dwell_kll", shares)
+    else:
+        # One pass per carrier and dwell value serves the percentiles and the KPIs. The
+        # condition always holds, but it keeps all parts in use on both branches, so
+        # that they share the shuffle.
+        cells = gather_from(star, ["carrier_id", "dwell_minutes"], kpis)
+        used = [F.col(p).cast("double") for p in parts_of(kpis)]
+        cells = cells.where(F.greatest(F.lit(0.0), *used) >= 0)
+        minutes = F.when(F.col("dwell_minutes") > 0, F.col("dwell_minutes"))
+        cells = cells.withColumn("minutes", minutes)
+        dwell = percentiles(cells, ["carrier_id"], "minutes", "n", shares)
     return (
         merge(cells, ["carrier_id"], kpis)
         .join(dwell, "carrier_id")
@@ -79,7 +81,7 @@ def lane_performance(star: Star) -> DataFrame:
         "total_cost",
     ]
     return (
-        gather(star.fact, ["lane_id"], kpis)
+        gather_from(star, ["lane_id"], kpis)
         .join(star.lane, "lane_id")
         .select(
             "lane_id",
@@ -146,7 +148,7 @@ def shipper_cost_to_serve(star: Star) -> DataFrame:
         "defect_rate",
     ]
     return (
-        gather(star.fact, ["shipper_id"], kpis)
+        gather_from(star, ["shipper_id"], kpis)
         .join(star.shipper, "shipper_id")
         .select(
             "shipper_id",
@@ -166,6 +168,25 @@ def shipper_cost_to_serve(star: Star) -> DataFrame:
     )
 
 
+def active_parties(star: Star, *, level: str = "month") -> DataFrame:
+    """Carriers, lanes and shippers that shipped, per day, week, month, year or in all.
+
+    All levels merge the same distinct-count sketches of single days.
+    """
+    kpis = ["shipment_count", "active_carriers", "active_lanes", "active_shippers"]
+    levels = {
+        "day": ["date"],
+        "week": ["iso_year", "week_of_year"],
+        "month": ["year", "month"],
+        "year": ["year"],
+        "network": [],
+    }
+    days = by_day(star, kpis).withColumn("iso_year", week_year("iso"))
+    keys = levels[level]
+    rows = merge(days, keys, kpis).select(*keys, *[kpi(k).alias(k) for k in kpis])
+    return rows.orderBy(*keys) if keys else rows
+
+
 def anomaly_flags(
     star: Star, *, as_of: date | None = None, days: int = 14
 ) -> DataFrame:

@@ -1044,3 +1044,31 @@ ORACLE_SQL["dq_report"] = " UNION ALL ".join(
 )
 ORACLE_SQL |= {f"{name}_past": at_past(ORACLE_SQL[name]) for name in DATED}
 ORACLE_SQL |= {f"sink_{name}": ORACLE_SQL[name] for name in SINKS}
+
+#: The same answers from a warehouse that got one day late, and from its stored parts.
+GROWN = ("v_weekly_kpis", "v_carrier_scorecard", "v_lane_performance", "v_shipper_costtoserve", "network_kpis")
+ORACLE_SQL |= {f"grown_{name}": ORACLE_SQL[name] for name in GROWN}
+ORACLE_SQL["grown_months"] = _q(
+    f"""(year(date) * 100 + month(date))::INTEGER AS month, COUNT(*) AS shipments, {TOTAL} AS total_cost,
+    COUNT(DISTINCT date) AS days""",
+    "FROM s GROUP BY 1",
+)
+ORACLE_SQL["approx_dwell_ranks"] = _q(
+    "carrier_id, COUNT(dwell)::BIGINT AS shipments, TRUE AS within_bound",
+    "FROM s WHERE dwell IS NOT NULL GROUP BY carrier_id",
+)
+_ACTIVE = """COUNT(*) AS shipment_count, COUNT(DISTINCT carrier_id) AS active_carriers,
+    COUNT(DISTINCT lane_id) AS active_lanes, COUNT(DISTINCT shipper_id) AS active_shippers"""
+_LEVELS = {
+    "day": ("date",),
+    "week": ("iso_year", "week_of_year"),
+    "month": ("year", "month"),
+    "year": ("year",),
+    "network": (),
+}
+ORACLE_SQL |= {
+    f"active_parties_{level}": _q(
+        ", ".join([*keys, _ACTIVE]), "FROM s" + (f" GROUP BY {', '.join(keys)}" if keys else "")
+    )
+    for level, keys in _LEVELS.items()
+}

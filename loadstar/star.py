@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, replace
+from collections.abc import Mapping
+from dataclasses import dataclass, field, replace
 from datetime import date, timedelta
 
 from pyspark.sql import Column, DataFrame
@@ -16,7 +17,10 @@ def date_key(day: date) -> int:
 
 @dataclass(frozen=True)
 class Star:
-    """Six DataFrames. The fact may carry an extra ``ship_month`` partition column."""
+    """Six DataFrames. The fact may carry an extra ``ship_month`` partition column.
+
+    ``parts`` holds KPI parts that were gathered from the whole fact before, by grain.
+    """
 
     fact: DataFrame
     carrier: DataFrame
@@ -24,6 +28,7 @@ class Star:
     shipper: DataFrame
     date: DataFrame
     service: DataFrame
+    parts: Mapping[tuple[str, ...], DataFrame] = field(default_factory=dict)
 
     def tables(self) -> dict[str, DataFrame]:
         return {
@@ -73,7 +78,7 @@ class Star:
         """
         if as_of is None:
             return self, self.resolve_as_of(None)
-        return replace(self, fact=self.between(before=as_of + timedelta(days=1))), as_of
+        return replace(self, fact=self.between(before=as_of + timedelta(days=1)), parts={}), as_of
 
 
 def shipped_since(day: date) -> Column:
