@@ -1,8 +1,8 @@
 """Chat formatting: layouts are recognised by a fingerprint of their field paths.
 
-``fingerprint`` hashes the nested field paths of a schema, as far as some registered
-layout knows them; the hash selects a declarative mapping that turns the layout into
-canonical rows ``conv_id, turn, role, text``. Tables are recognised by their schema,
+``fingerprint`` hashes nested field paths; a layout is recognised where the paths it needs
+have its hash, those that need more paths first, and its declarative mapping turns the data
+into canonical rows ``conv_id, turn, role, text``. Tables are recognised by their schema,
 JSON strings row by row by the paths each holds. ``format_chat`` then renders every
 conversation in one template and records which spans a model is trained on, and
 ``read_back`` recovers the turns from the rendered text.
@@ -16,7 +16,8 @@ Only DataFrame functions are used.
 
 Defined results: a null text or role is empty. Null conversation ids form one
 conversation. Turns go by turn number (null first), then role, then text; repeated rows
-are repeated turns. Unknown columns are ignored, whatever their names. A conversation
+are repeated turns. Other columns are ignored, whatever their names, also where they are
+the names of another layout. A conversation
 is one row, so its text must fit one. Layouts nobody registered raise ``ValueError`` for
 tables and give no turns for single JSON strings. Empty tables give no rows.
 """
@@ -82,14 +83,19 @@ def field_paths(schema: T.DataType, prefix: str = "") -> set[str]:
     return {prefix}
 
 
-def fingerprint(paths: Iterable[str], layouts: tuple[Layout, ...] = LAYOUTS) -> str:
-    """Hash of the paths that any layout knows, in sorted order."""
-    known = frozenset().union(*(x.paths for x in layouts))
-    return hashlib.sha256("\n".join(sorted(known.intersection(paths))).encode()).hexdigest()
+def fingerprint(paths: Iterable[str]) -> str:
+    """Hash of field paths in sorted order."""
+    return hashlib.sha256("\n".join(sorted(paths)).encode()).hexdigest()
 
 
-def _registry(layouts: tuple[Layout, ...]) -> dict[str, Layout]:
-    return {fingerprint(x.paths, layouts): x for x in layouts}
+def by_detail(layouts: tuple[Layout, ...]) -> list[Layout]:
+    """Layouts in the order in which they are tried: those with more paths first."""
+    return sorted(layouts, key=lambda x: -len(x.paths))
+
+
+def match(paths: set[str], layouts: tuple[Layout, ...] = LAYOUTS) -> Layout | None:
+    """The first layout whose own fingerprint the paths have, whatever other paths there are."""
+    return next((x for x in by_detail(layouts) if fingerprint(x.paths & paths) == fingerprint(x.paths)), None)
 
 
 def _turns(layout: Layout, get) -> Column:
@@ -120,7 +126,7 @@ def _variant_field(kind: str, name: str) -> Column:
 
 def canonical_turns(df: DataFrame, conv_id: str = "conv_id", layouts: tuple[Layout, ...] = LAYOUTS) -> DataFrame:
     """``conv_id, turn, role, text`` of a table whose schema some layout matches."""
-    layout = _registry(layouts).get(fingerprint(field_paths(df.schema), layouts))
+    layout = match(field_paths(df.schema), layouts)
     if layout is None:
         raise ValueError(f"no layout has the field paths {sorted(field_paths(df.schema))}")
     rows = df.select(F.col(conv_id).cast("long").alias("conv_id"), F.inline(_turns(layout, lambda f: F.col(f"`{f}`"))))
@@ -145,15 +151,16 @@ def canonical_json(df: DataFrame, json: str, conv_id: str = "conv_id", layouts:
             present += [F.when(F.try_variant_get(first, f"$.{f}", "string").isNotNull(), F.lit(f"{name}[].{f}")) for f in inner[name]]
         else:
             present.append(F.when(F.try_variant_get(value, f"$.{name}", "string").isNotNull(), F.lit(name)))
-    paths = F.array_sort(F.array_compact(F.array(*present)))
-    mark = F.sha2(F.array_join(paths, "\n"), 256)
+    paths = F.array_compact(F.array(*present))
     turns = F.lit(None).cast("array<struct<turn:bigint,role:string,text:string>>")
-    for key, layout in _registry(layouts).items():
+    for layout in reversed(by_detail(layouts)):
         kind = "string" if layout.fixed else f"array<struct<{layout.role}:string,{layout.text}:string>>"
         found = _turns(layout, functools.partial(_variant_field, kind))
         found = F.transform(found, functools.partial(_with_role, layout))
-        turns = F.when(F.col("_mark") == key, found).otherwise(turns)
-    rows = df.select(F.col(conv_id).cast("long").alias("conv_id"), value.alias("_value"), mark.alias("_mark"))
+        own = F.array_sort(F.array_intersect(F.col("_paths"), F.array(*map(F.lit, sorted(layout.paths)))))
+        mark = F.sha2(F.array_join(own, "\n"), 256)
+        turns = F.when(mark == fingerprint(layout.paths), found).otherwise(turns)
+    rows = df.select(F.col(conv_id).cast("long").alias("conv_id"), value.alias("_value"), paths.alias("_paths"))
     return rows.select("conv_id", F.inline(turns))
 
 

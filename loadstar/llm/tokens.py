@@ -34,6 +34,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.fs
 import zstandard
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -192,13 +193,14 @@ def _write(batches: Iterator[pa.RecordBatch], folder: str, tokenizer: str, conte
         _MANIFEST,
         path=[path],
         first_id=[int(rows["doc_id"][known][0]) if known.any() else None],
+        part=[TaskContext.get().partitionId()],
         has_null=[bool(not known.all())],
         n_docs=[len(rows)],
         n_tokens=[int(rows["n"].sum(dtype=np.int64))],
     )
 
 
-_MANIFEST = pa.schema([("path", pa.string()), ("first_id", pa.int64()), ("has_null", pa.bool_()), ("n_docs", pa.int64()), ("n_tokens", pa.int64())])
+_MANIFEST = pa.schema([("path", pa.string()), ("first_id", pa.int64()), ("part", pa.int64()), ("has_null", pa.bool_()), ("n_docs", pa.int64()), ("n_tokens", pa.int64())])
 
 
 def write_tokens(docs: DataFrame, tokenizer: str, folder: str | None = None, end_id: int = END_ID) -> tuple[str, DataFrame]:
@@ -214,11 +216,13 @@ def write_tokens(docs: DataFrame, tokenizer: str, folder: str | None = None, end
     fs.create_dir(base)
     with fs.open_output_stream(f"{base}/dictionary") as out:
         out.write(content)
-    rows = docs.repartitionByRange(F.col("doc_id")).sortWithinPartitions("doc_id", "text")
-    manifest = rows.mapInArrow(lambda b: _write(b, folder, tokenizer, content, end_id), "path string, first_id long, has_null boolean, n_docs long, n_tokens long")
+    # Rows of one id, or of none, may be many: the text's hash cuts them over part files.
+    order = [F.col("doc_id"), F.xxhash64("text")]
+    rows = docs.repartitionByRange(*order).sortWithinPartitions(*order, "text")
+    manifest = rows.mapInArrow(lambda b: _write(b, folder, tokenizer, content, end_id), "path string, first_id long, part long, has_null boolean, n_docs long, n_tokens long")
     manifest = stored(manifest, "tokens-manifest")
-    # One row per part file, not per document.
-    before = W.orderBy(F.desc("has_null"), "first_id", "path").rowsBetween(W.unboundedPreceding, -1)
+    # One row per part file, not per document; partitions are in order of ids.
+    before = W.orderBy("part").rowsBetween(W.unboundedPreceding, -1)
     return folder, manifest.withColumn("start", F.coalesce(F.sum("n_tokens").over(before), F.lit(0)))
 
 
@@ -279,7 +283,8 @@ def _last(fs: pa.fs.FileSystem, path: str) -> int:
 
 def read_tokens(folder: str, manifest: DataFrame) -> DataFrame:
     """Every document of the dataset, decoded: ``doc_id, start, n_tokens, ids_crc32``."""
-    files = manifest.select("path", "start").repartition(F.col("path"))
+    # A given number of partitions stays as it is; by size alone these few bytes would be one task.
+    files = manifest.select("path", "start").repartition(max(1, manifest.count()), F.col("path"))
     return files.mapInArrow(lambda b: _read(b, folder), "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 

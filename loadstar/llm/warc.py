@@ -41,7 +41,8 @@ from loadstar.sources.session import new_folder
 MAGIC = b"WARC/1.0\r\n"
 FILE_BYTES = 256 << 20
 SLICE_BYTES = 8 << 20
-_HEADER_BYTES = 1 << 20  # longest header block that is looked for
+_MOST_TASKS = 50_000
+_AHEAD = 1 << 20  # bytes read beyond a slice; a longer header is read on to its end
 _LENGTH = re.compile(rb"\r\ncontent-length:[ \t]*(\d+)[ \t]*\r\n", re.I)
 DATE = "1970-01-01T00:00:00Z"
 
@@ -116,22 +117,33 @@ def write_warc(pages: DataFrame, folder: str | None = None, min_bytes: int = 0,
     return folder, stored(files, "warc-manifest")
 
 
-def _slice(fs: pa.fs.FileSystem, path: str, low: int, high: int) -> tuple[bytes, int]:
-    """Bytes from ``low`` to ``high`` and a tail that holds any header begun before; the file's size."""
-    with fs.open_input_file(path) as f:
-        size = f.size()
-        return f.read_at(min(high + _HEADER_BYTES, size) - low, low), size
-
-
-def _candidates(data: bytes, low: int, high: int) -> tuple[np.ndarray, np.ndarray]:
-    """Offsets that look like records of the slice, and their successors."""
-    at, found = data.find(MAGIC), []
-    while 0 <= at < high - low:
-        end = data.find(b"\r\n\r\n", at)
-        length = _LENGTH.search(data, at, end + 2) if end >= 0 else None
-        if length:
-            found.append((low + at, low + end + 4 + int(length[1]) + 4))
-        at = data.find(MAGIC, at + 1)
+class _Part:
+    """Bytes of a file from ``low``, read ahead of ``high`` as far as headers need."""
+
+    def __init__(self, file, low: int, high: int):
+        self.file, self.size, self.low = file, file.size(), low
+        self.data = file.read_at(max(0, min(high + _AHEAD, self.size) - low), low)
+
+    def header_end(self, at: int) -> int:
+        """Where the header that starts at ``at`` ends, both places in ``data``; -1 if it never does."""
+        end = self.data.find(b"\r\n\r\n", at)
+        while end < 0 and self.low + len(self.data) < self.size:
+            known = len(self.data)
+            self.data += self.file.read_at(min(max(_AHEAD, known), self.size - self.low - known), self.low + known)
+            end = self.data.find(b"\r\n\r\n", max(at, known - 3))
+        return end
+
+
+def _candidates(part: _Part, high: int) -> tuple[np.ndarray, np.ndarray]:
+    """Offsets that look like records of the slice, and their successors within the file."""
+    at, found = part.data.find(MAGIC), []
+    while 0 <= at < high - part.low:
+        end = part.header_end(at)
+        length = _LENGTH.search(part.data, at, end + 2) if end >= 0 else None
+        after = part.low + end + 4 + int(length[1]) + 4 if length and len(length[1]) < 20 else part.size + 1
+        if after <= part.size:
+            found.append((part.low + at, after))
+        at = part.data.find(MAGIC, at + 1)
     rows = np.array(found, np.int64).reshape(-1, 2)
     return rows[:, 0], rows[:, 1]
 
@@ -158,18 +170,20 @@ def _links(batches: Iterator[pa.RecordBatch], folder: str, slice_bytes: int) ->
     for b in batches:
         for path, part in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
             low, high = part * slice_bytes, (part + 1) * slice_bytes
-            data, _ = _slice(fs, path, low, high)
-            offset, successor = _candidates(data, low, high)
-            out = exits(offset, successor, high)
+            with fs.open_input_file(path) as f:
+                held = _Part(f, low, high)
+                offset, successor = _candidates(held, high)
+            out = exits(offset, successor, min(high, held.size))
             yield batch(_LINKS, path=[path] * len(offset), part=[part] * len(offset), offset=offset, exit=out)
 
 
-def entries(folder: str, slices: DataFrame, n_slices: int, slice_bytes: int = SLICE_BYTES) -> DataFrame:
-    """``path, part, offset``: the first real record of every slice that has one.
+def entries(folder: str, slices: DataFrame, n_slices: int, tasks: int, slice_bytes: int = SLICE_BYTES) -> tuple[DataFrame, DataFrame]:
+    """``path, part, offset`` of the first real record of every slice that has one, and
+    ``path, exit`` of the places at which the real chains leave slices.
 
     ``n_slices`` is the most slices of a file; it only sets the number of rounds.
     """
-    links = slices.repartition(F.col("path"), F.col("part")).mapInArrow(lambda b: _links(b, folder, slice_bytes), "path string, part long, offset long, exit long")
+    links = slices.repartition(tasks, F.col("path"), F.col("part")).mapInArrow(lambda b: _links(b, folder, slice_bytes), "path string, part long, offset long, exit long")
     links = stored(links, "warc-links")
     # Chains cross slices only at the file's start and at exits, so these alone need jumping.
     crossings = links.where("exit >= 0").select("path", F.col("exit").alias("offset")).distinct()
@@ -183,7 +197,8 @@ def entries(folder: str, slices: DataFrame, n_slices: int, slice_bytes: int = SL
         reached = stored(reached.unionByName(ahead).distinct(), "warc-reached")
         far = jump.select("path", F.col("offset").alias("exit"), F.col("exit").alias("_far"))
         jump = stored(jump.join(far, ["path", "exit"], "left").select("path", "offset", F.coalesce("_far", F.lit(-1).cast("long")).alias("exit")), "warc-jump")
-    return reached.join(links, ["path", "offset"]).select("path", "part", "offset")
+    real = reached.join(links, ["path", "offset"])
+    return real.select("path", "part", "offset"), real.select("path", "exit")
 
 
 _RECORDS = pa.schema(
@@ -218,13 +233,12 @@ def _records(batches: Iterator[pa.RecordBatch], folder: str, slice_bytes: int) -
             high = (part + 1) * slice_bytes
             rows = []
             with fs.open_input_file(path) as f:
-                size = f.size()
-                data, low = f.read_at(min(high + _HEADER_BYTES, size) - at, at), at
-                while at < min(high, size):
-                    end = data.index(b"\r\n\r\n", at - low)
-                    fields = parse(data[at - low : end])
+                held, low = _Part(f, at, high), at
+                while at < min(high, held.size):
+                    end = held.header_end(at - low)
+                    fields = parse(held.data[at - low : end])
                     start, length = end + 4, int(fields["content-length"])
-                    body = data[start : start + length]
+                    body = held.data[start : start + length]
                     if len(body) < length:  # the slice's last record reaches beyond what was read
                         body = f.read_at(length, low + start)
                     head, _, payload = body.partition(b"\r\n\r\n")
@@ -239,12 +253,22 @@ def _records(batches: Iterator[pa.RecordBatch], folder: str, slice_bytes: int) -
 
 
 def read_warc(folder: str, manifest: DataFrame, slice_bytes: int = SLICE_BYTES) -> DataFrame:
-    """All records of the archives: ids, payload sizes and digests, type, reference, place."""
-    most = manifest.agg(F.max("n_bytes")).first()[0] or 0
+    """All records of the archives: ids, payload sizes and digests, type, reference, place.
+
+    Raises ``ValueError`` if the chain of some file does not end where the manifest says that
+    the file does: records behind the break would be missing.
+    """
     parts = F.sequence(F.lit(0).cast("long"), F.floor((F.col("n_bytes") - 1) / slice_bytes))
     slices = manifest.where("n_bytes > 0").select("path", F.explode(parts).alias("part"))
-    first = entries(folder, slices, -(-most // slice_bytes), slice_bytes)
-    return first.repartition(F.col("path"), F.col("part")).mapInArrow(lambda b: _records(b, folder, slice_bytes), _RECORDS_DDL)
+    most, tasks = slices.agg(F.max("part") + 1, F.count("*")).first()
+    # A given number of partitions stays as it is; by size alone these few bytes would be one task.
+    tasks = max(1, min(tasks, _MOST_TASKS))
+    first, left = entries(folder, slices, most or 1, tasks, slice_bytes)
+    whole = left.withColumnRenamed("exit", "n_bytes").distinct()
+    broken = manifest.where("n_bytes > 0").join(whole, ["path", "n_bytes"], "left_anti").select("path").limit(3).collect()
+    if broken:
+        raise ValueError(f"records are missing or damaged in {', '.join(r.path for r in broken)}")
+    return first.repartition(tasks, F.col("path"), F.col("part")).mapInArrow(lambda b: _records(b, folder, slice_bytes), _RECORDS_DDL)
 
 
 def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:

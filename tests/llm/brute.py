@@ -123,3 +123,9 @@ def targets(sizes, weights=(1, 2, 3), most=3):
         left -= sum(target[i] for i in over)
         open_ -= over
     return target
+
+
+def thue_morse(n):
+    """Two different strings whose polynomial hashes modulo a power of two are equal."""
+    bits = [bin(i).count("1") & 1 for i in range(n)]
+    return "".join("ab"[b] for b in bits), "".join("ba"[b] for b in bits)

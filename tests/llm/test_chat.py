@@ -92,3 +92,18 @@ def test_empty_table_and_plan(turns):
     assert out.count() == 0
     plan = K.format_chat(turns)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+@pytest.mark.parametrize("name", ["prompt", "response", "completion", "instruction", "input", "output", "content", "value"])
+def test_columns_named_like_another_layout(spark, name):
+    rows = spark.createDataFrame([(1, 0, "user", "hi", "x")], f"conv_id long, turn long, role string, text string, {name} string")
+    assert [tuple(r) for r in K.canonical_turns(rows).collect()] == [(1, 0, "user", "hi")]
+
+
+def test_the_layout_that_needs_most_is_taken(spark):
+    rows = spark.createDataFrame([(1, "do", "with", "done", "p")], "conv_id long, instruction string, input string, output string, prompt string")
+    assert [r.text for r in K.canonical_turns(rows).orderBy("turn").collect()] == ["do", "with", "done"]
+    texts = ['{"instruction": "do", "input": "with", "output": "done", "prompt": "p"}', '{"prompt": "p", "response": "r", "value": 3}', '{"prompt": "p"}']
+    rows = spark.createDataFrame(list(enumerate(texts)), "conv_id long, j string")
+    got = K.canonical_json(rows, "j").orderBy("conv_id", "turn").collect()
+    assert [(r.conv_id, r.text) for r in got] == [(0, "do"), (0, "with"), (0, "done"), (1, "p"), (1, "r")]

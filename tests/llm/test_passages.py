@@ -150,3 +150,10 @@ def test_texts_that_share_an_id_or_have_none(spark, shard):
 def test_empty_table(no_docs):
     assert fm_dedup.remove_repeats(no_docs).count() == 0
     assert suffix_dedup.remove_repeats(no_docs).count() == 0
+
+
+def test_different_words_are_never_taken_for_equal(spark):
+    common = " ".join(f"w{i}" for i in range(49))
+    docs = [(i, f"{common} {w}") for i, w in enumerate(brute.thue_morse(1024))]
+    found = fm_dedup.remove_repeats(spark.createDataFrame(docs, "doc_id long, text string")).collect()
+    assert [r.n_removed for r in found] == [0, 0]

@@ -47,3 +47,9 @@ def test_rows_are_judged_by_their_own_text(spark):
 def test_empty_table(no_docs):
     assert Q.quality_ledger(no_docs).count() == 0
     assert Q.ablations(Q.quality_ledger(no_docs)).count() == 0
+
+
+def test_different_lines_are_never_taken_for_equal(spark):
+    text = "\n".join(brute.thue_morse(1024))
+    row = Q.quality_ledger(spark.createDataFrame([(1, text)], "doc_id long, text string")).first()
+    assert row.n_dup_lines == 0

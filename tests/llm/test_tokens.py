@@ -34,7 +34,7 @@ def test_files_round_trip(docs, rows, tokenizer):
     folder, manifest = K.write_tokens(docs, K.default_tokenizer())
     got = K.read_tokens(folder, manifest).collect()
     start, want = 0, []
-    for i, t, _ in sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1] or "")):
+    for i, t, _ in sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0)):
         ids = ids_of(tokenizer, t)
         want.append((i, start, len(ids), zlib.crc32(ids.tobytes())))
         start += len(ids)
@@ -59,3 +59,22 @@ def test_another_dictionary_is_refused(docs):
 
 def test_empty_table(no_docs):
     assert K.token_rows(no_docs).count() == 0
+
+
+def test_rows_without_an_id_are_dealt_over_files_and_tasks(spark, tokenizer):
+    texts = [f"text number {i}" for i in range(400)]
+    docs = spark.createDataFrame([(None, t) for t in texts] + [(7, t) for t in texts] + [(9, "last")], "doc_id long, text string")
+    merging = "spark.sql.adaptive.coalescePartitions.enabled"  # these rows are few enough for one file
+    spark.conf.set(merging, "false")
+    try:
+        folder, manifest = K.write_tokens(docs.repartition(4), K.default_tokenizer())
+    finally:
+        spark.conf.set(merging, "true")
+    assert manifest.where("has_null and n_docs < 400").count() > 1 and manifest.count() > 4
+    read = K.read_tokens(folder, manifest)
+    assert read.groupBy(K.F.spark_partition_id()).count().count() > 3
+    got = sorted(map(tuple, read.collect()), key=lambda r: r[1])
+    assert [r[0] for r in got] == [None] * 400 + [7] * 400 + [9]
+    assert [r[1] for r in got] == np.concatenate([[0], np.cumsum([r[2] for r in got])[:-1]]).tolist()
+    want = sorted(zlib.crc32(ids_of(tokenizer, t).tobytes()) for t in texts)
+    assert sorted(r[3] for r in got[:400]) == sorted(r[3] for r in got[400:800]) == want

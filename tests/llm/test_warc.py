@@ -65,3 +65,44 @@ def test_exits_follow_chains():
 def test_empty_table(pages):
     folder, manifest = K.write_warc(pages.limit(0))
     assert K.read_warc(folder, manifest).count() == 0
+
+
+def read(rows, spark, **options):
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").coalesce(1)
+    folder, manifest = K.write_warc(pages)
+    return folder, manifest, K.read_warc(folder, manifest, **options)
+
+
+@pytest.mark.parametrize("length", ["99999999999999999999", "9223372036854775807", "0" * 30 + "5"])
+def test_payloads_that_claim_any_length(spark, length):
+    rows = [(1, "a", f"x\r\nWARC/1.0\r\nContent-Length: {length}\r\n\r\nrest"), (2, "b", "plain")]
+    got = read(rows, spark)[2].collect()
+    assert Counter((r.page_id, r.payload_bytes, r.payload_digest, r.record_type, r.refers_to) for r in got) == expected(rows)
+
+
+def test_headers_of_any_length(spark):
+    rows = [(1, "a", "one"), (2, "http://x/" + "u" * (2 << 20), "two"), (3, "c", "three"), (4, "d", "WARC/1.0\r\n" + "y" * (3 << 20))]
+    for slice_bytes in (5000, K.SLICE_BYTES):
+        got = read(rows, spark, slice_bytes=slice_bytes)[2].collect()
+        assert {(r.page_id, r.payload_bytes, len(r.url)) for r in got} == {(i, len(h), len(u)) for i, u, h in rows}
+
+
+def test_lost_records_are_noticed(spark):
+    import pyarrow.fs
+
+    folder, manifest, _ = read([(i, "u", "text " * i) for i in range(50)], spark)
+    path = manifest.first().path
+    fs, _ = pyarrow.fs.FileSystem.from_uri(folder)
+    with fs.open_input_file(path) as f:
+        data = f.read()
+    at = data.index(b"Content-Length", len(data) // 2)  # a record of the middle gets another length
+    with fs.open_output_stream(path) as f:
+        f.write(data[:at] + b"Content-Lengxx" + data[at + 14 :])
+    with pytest.raises(ValueError, match="missing or damaged"):
+        K.read_warc(folder, manifest)
+
+
+def test_slices_are_read_in_as_many_tasks(spark):
+    _, _, got = read([(i, "u", f"{i} " * 500) for i in range(60)], spark, slice_bytes=4096)
+    tasks = got.groupBy(K.F.spark_partition_id()).count().count()
+    assert tasks > 8
