@@ -1,6 +1,7 @@
 """The growing warehouse: late days, reruns, failures halfway, stored KPI parts."""
 
 import random
+import shutil
 from datetime import date, timedelta
 from decimal import Decimal
 
@@ -48,20 +49,28 @@ def same_fact(found, wanted):
     assert rows_of(found.fact.select(*wanted.fact.columns)) == rows_of(wanted.fact)
 
 
-@pytest.fixture
-def grown(spark, tmp_path):
-    """January to March, then a late day in February."""
+@pytest.fixture(scope="module")
+def built(spark, tmp_path_factory):
+    """January to March, then a late day in February; only read from."""
     whole = make_star(spark, shipments(range(50)))
     late = 20240215
-    house = Warehouse(spark, str(tmp_path / "house"))
+    house = Warehouse(spark, str(tmp_path_factory.mktemp("warehouse") / "house"))
     house.load(whole.fact.where(F.col("shipment_date_key") != late), whole)
     first = house.manifest().collect()
     house.load(whole.fact.where(F.col("shipment_date_key") == late))
     return house, whole, first
 
 
-def test_a_late_day_replaces_its_month_only(grown):
-    house, whole, first = grown
+@pytest.fixture
+def grown(built, tmp_path):
+    """A copy of it that a test may load more into."""
+    house, whole, first = built
+    shutil.copytree(house.path, tmp_path / "house")
+    return Warehouse(house.spark, str(tmp_path / "house")), whole, first
+
+
+def test_a_late_day_replaces_its_month_only(built):
+    house, whole, first = built
     same_fact(house.star(), whole)
     before = {(r.table_name, r.ship_month): r.version for r in first}
     after = {(r.table_name, r.ship_month): r.version for r in house.manifest().collect()}
@@ -106,8 +115,8 @@ def test_a_failure_halfway_leaves_the_old_state(spark, grown, monkeypatch, broke
     assert house.load(new) == 3  # and the next attempt goes through
 
 
-def test_kpi_tables_from_parts_equal_those_of_the_fact(grown):
-    house, whole, _ = grown
+def test_kpi_tables_from_parts_equal_those_of_the_fact(built):
+    house, whole, _ = built
     star = house.star()
     for table in (
         views.weekly_kpis,
@@ -190,9 +199,9 @@ def test_sketches_keep_their_rank_error_under_skew(spark):
 @pytest.mark.parametrize(
     "query", [carriers.dwell_percentiles_by_carrier, views.carrier_scorecard, network.utilization_by_service, lanes.dwell_outliers_by_lane]
 )
-def test_the_approximate_switch(grown, query):
+def test_the_approximate_switch(built, query):
     """Same rows and columns; with few values a percentile is one of them."""
-    house, whole, _ = grown
+    house, whole, _ = built
     options = {"p99_min": 1} if query is lanes.dwell_outliers_by_lane else {}
     exact = query(whole, **options)
     for star in (whole, house.star()):
@@ -210,8 +219,8 @@ def test_sketches_of_carriers_without_positive_dwell(spark):
     assert (row.shipment_count, row.dwell_p50) == (5, None)
 
 
-def test_distinct_counts_roll_up(grown):
-    house, whole, _ = grown
+def test_distinct_counts_roll_up(built):
+    house, whole, _ = built
     for level in ("day", "week", "month", "year", "network"):
         found = rows_of(views.active_parties(house.star(), level=level))
         assert found == rows_of(views.active_parties(whole, level=level))
