@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from datetime import date, timedelta
 from statistics import NormalDist
 
 from pyspark.sql import Column, DataFrame, Window
@@ -43,16 +44,21 @@ def without_gaps(
     *,
     every: int = 1,
     missing: float | None = None,
+    until: date | None = None,
 ) -> DataFrame:
-    """``keys, time, value`` with a row for every step between a series' ends.
+    """``keys, time, value`` with a row for every step from a series' start to ``until``.
 
-    Steps are ``every`` days apart. A step without a row, or with a NULL value,
-    gets ``missing``; without that, the value of the step before it.
+    Steps are ``every`` days apart. All series end on the same day, by default the last
+    that any of them has: one that stopped earlier has empty steps from there on. A step
+    without a row, or with a NULL value, gets ``missing``; without that, the value of the
+    step before it.
     """
     ends = series.groupBy(*keys).agg(
         F.min(time).alias("_first"), F.max(time).alias("_last")
     )
-    steps = F.sequence("_first", "_last", F.expr(f"INTERVAL {int(every)} DAYS"))
+    last = ends.agg(F.max("_last")).scalar() if until is None else F.lit(until)
+    ends = ends.withColumn("_end", last).where(F.col("_first") <= F.col("_end"))
+    steps = F.sequence("_first", "_end", F.expr(f"INTERVAL {int(every)} DAYS"))
     calendar = ends.select(*keys, F.explode(steps).alias(time))
     known = series.select(*keys, time, value)
     filled = calendar.join(known, [*keys, time], "left")
@@ -78,19 +84,22 @@ def series_forecast(
     ci: float = 0.95,
     every: int = 1,
     missing: float | None = None,
+    until: date | None = None,
 ) -> DataFrame:
     """Seasonal random walk with drift: ``step``, ``forecast``, ``lower``, ``upper``.
 
     The forecast repeats the last season, moved by the mean change from one
     season to the next; the interval widens with the square root of the seasons
-    ahead. Steps are ``every`` days apart, and gaps are filled first (see
-    ``without_gaps``), so a season is a stretch of time and not of rows. Series
-    shorter than ``min_history`` steps are left out. A window holds one series,
+    ahead. Steps are ``every`` days apart, and gaps are filled first, up to one last
+    step ``until`` for all series (see ``without_gaps``): a season is a stretch of time
+    and not of rows, and step 1 is the same day in every series. Series shorter than ``min_history`` steps are left out. A window holds one series,
     one row per time step; all series run in parallel.
     """
     order = Window.partitionBy(*keys).orderBy(time)
     whole = Window.partitionBy(*keys)
-    series = without_gaps(series, keys, time, value, every=every, missing=missing)
+    series = without_gaps(
+        series, keys, time, value, every=every, missing=missing, until=until
+    )
     changes = series.select(
         *keys,
         F.col(value).alias("y"),
@@ -132,6 +141,7 @@ def series_forecast(
 def forecast_otp(
     star: Star,
     *,
+    as_of: date | None = None,
     keys: Sequence[str] = (),
     horizon: int = 4,
     period: int = 4,
@@ -141,8 +151,12 @@ def forecast_otp(
 ) -> DataFrame:
     """Weekly OTP, ``horizon`` weeks ahead, for the network or per ``keys``.
 
-    A week without shipments keeps the rate of the week before.
+    A week without shipments keeps the rate of the week before. Week 1 follows the week
+    of ``as_of``, and nothing shipped later is seen.
     """
+    until = as_of and as_of - timedelta(days=as_of.weekday())
+    if as_of is not None:
+        star, _ = star.at(as_of)
     weeks = otp_weekly_series(star, keys=keys, week_key=week_key)
     monday = F.trunc("week_start", "week")
     found = series_forecast(
@@ -155,6 +169,7 @@ def forecast_otp(
         min_history=min_history,
         ci=ci,
         every=7,
+        until=until,
     )
     return found.withColumnsRenamed(
         {
@@ -169,6 +184,7 @@ def forecast_otp(
 def forecast_cost(
     star: Star,
     *,
+    as_of: date | None = None,
     keys: Sequence[str] = (),
     horizon: int = 28,
     period: int = 7,
@@ -177,8 +193,11 @@ def forecast_cost(
 ) -> DataFrame:
     """Daily total cost, ``horizon`` days ahead, for the network or per ``keys``.
 
-    A day without shipments costs nothing.
+    A day without shipments costs nothing. Day 1 follows ``as_of``, and nothing shipped
+    later is seen.
     """
+    if as_of is not None:
+        star, _ = star.at(as_of)
     found = series_forecast(
         cost_daily_series(star, keys=keys),
         keys,
@@ -189,6 +208,7 @@ def forecast_cost(
         min_history=min_history,
         ci=ci,
         missing=0.0,
+        until=as_of,
     )
     return found.withColumnsRenamed(
         {

@@ -250,12 +250,14 @@ QUERIES: dict[str, Query] = {
     "lane_primary_carrier": lanes.lane_primary_carrier,
     "otp_weekly_series": partial(forecast.otp_weekly_series, **_CALENDAR),
     "cost_daily_series": forecast.cost_daily_series,
-    "forecast_otp": partial(forecast.forecast_otp, **_CALENDAR),
-    "forecast_cost": forecast.forecast_cost,
+    "forecast_otp": partial(forecast.forecast_otp, **_DATED, **_CALENDAR),
+    "forecast_cost": partial(forecast.forecast_cost, **_DATED),
     "forecast_otp_by_lane": partial(
-        forecast.forecast_otp, keys=("lane_id",), **_CALENDAR
+        forecast.forecast_otp, keys=("lane_id",), **_DATED, **_CALENDAR
+    ),
+    "forecast_cost_by_carrier": partial(
+        forecast.forecast_cost, keys=("carrier_id",), **_DATED
     ),
-    "forecast_cost_by_carrier": partial(forecast.forecast_cost, keys=("carrier_id",)),
     # data quality
     "dq_row_count": quality.row_count,
     "dq_distinct_lanes": quality.distinct_lanes,
@@ -311,6 +313,10 @@ QUERIES |= {
         "exec_kpi_period_delta",
         "exec_top_issues",
         "health_filtered",
+        "forecast_otp",
+        "forecast_cost",
+        "forecast_otp_by_lane",
+        "forecast_cost_by_carrier",
     )
 }
 

@@ -336,6 +336,7 @@ def _forecast(
     weekly = time == "week_start"
     every = 7 if weekly else 1
     day = f"date_trunc('week', {time})::DATE" if weekly else time
+    last = f"date_trunc('week', {AS_OF})::DATE" if weekly else AS_OF
     same = f"a.{key} = b.{key} AND " if key else ""
     known = f"LAST_VALUE({value} IGNORE NULLS) OVER ({part} ORDER BY t)" if weekly else f"COALESCE({value}, 0.0::DOUBLE)"
     return _q(
@@ -347,7 +348,7 @@ def _forecast(
                 ON step >= place AND (step - place) % {period} = 0)""",
         f"""ser AS ({series}),
         dated AS (SELECT {keys}{day} AS t, {value} FROM ser),
-        steps AS (SELECT {keys}UNNEST(generate_series(MIN(t), MAX(t), INTERVAL {every} DAY))::DATE AS t
+        steps AS (SELECT {keys}UNNEST(generate_series(MIN(t), {last}, INTERVAL {every} DAY))::DATE AS t
             FROM dated {"GROUP BY " + key if key else ""}),
         filled AS (SELECT {keys}t, {known} AS y FROM steps LEFT JOIN dated USING ({keys}t)),
         ch AS (SELECT {"a." + keys if key else ""}a.y, ROW_NUMBER() OVER ({part.replace("BY ", "BY a.")} ORDER BY a.t) AS t, a.y - b.y AS d
@@ -1020,6 +1021,10 @@ DATED = (
     "exec_kpi_period_delta",
     "exec_top_issues",
     "health_filtered",
+    "forecast_otp",
+    "forecast_cost",
+    "forecast_otp_by_lane",
+    "forecast_cost_by_carrier",
 )
 
 

@@ -63,15 +63,39 @@ def test_gap_filling(spark):
     rows = [("a", START, 5.0), ("a", START + timedelta(days=14), 7.0), ("b", START, None), ("b", START + timedelta(days=7), 1.0)]
     df = spark.createDataFrame(rows, "k string, day date, y double")
     carried = forecast.without_gaps(df, ["k"], "day", "y", every=7).orderBy("k", "day").collect()
-    assert [(r["k"], r["y"]) for r in carried] == [("a", 5.0), ("a", 5.0), ("a", 7.0), ("b", None), ("b", 1.0)]
+    assert [(r["k"], r["y"]) for r in carried] == [("a", 5.0), ("a", 5.0), ("a", 7.0), ("b", None), ("b", 1.0), ("b", 1.0)]
     zero = forecast.without_gaps(df, ["k"], "day", "y", every=7, missing=0.0).orderBy("k", "day").collect()
-    assert [r["y"] for r in zero] == [5.0, 0.0, 7.0, 0.0, 1.0]
+    assert [r["y"] for r in zero] == [5.0, 0.0, 7.0, 0.0, 1.0, 0.0]
+    later = forecast.without_gaps(df, ["k"], "day", "y", every=7, until=START + timedelta(days=28))
+    assert later.groupBy("k").count().orderBy("k").collect() == [("a", 5), ("b", 5)]
+    assert forecast.without_gaps(df, ["k"], "day", "y", until=START - timedelta(days=1)).count() == 0
     whole = forecast.without_gaps(df.where("k = 'a'"), [], "day", "y", every=7, missing=0.0)
     assert whole.count() == 3
 
 
+def test_a_series_that_stopped_is_forecast_from_the_common_last_day(spark):
+    """b had 50 days of 100 and then 50 empty ones, so its next week is empty too."""
+    rows = [("a", START + timedelta(days=i), 100.0) for i in range(100)]
+    rows += [("b", START + timedelta(days=i), 100.0) for i in range(50)]
+    df = spark.createDataFrame(rows, "k string, day date, y double")
+    found = {(r["k"], r["step"]): r["forecast"] for r in run(df, period=7, horizon=7, missing=0.0)}
+    assert {found["a", k] for k in range(1, 8)} == {100.0}
+    drift = -100 * 7 / (100 - 7)
+    assert all(found["b", k] == pytest.approx(drift, abs=1e-5) for k in range(1, 8))
+
+
+def test_forecasts_as_of_a_day(stored):
+    """What ships later changes nothing, and the day after is step 1."""
+    day = date(2024, 8, 18)
+    cut, _ = stored.at(day)
+    for query in (forecast.forecast_otp, forecast.forecast_cost):
+        assert query(stored, as_of=day).collect() == query(cut, as_of=day).collect()
+    assert forecast.forecast_cost(stored, as_of=day).count() == 28
+
+
 def test_short_series_are_left_out(spark):
-    df = series(spark, range(9)).unionByName(series(spark, range(12), ("b",)))
+    late = series(spark, range(12)).where("y >= 3")  # nine steps, up to the same day
+    df = late.unionByName(series(spark, range(12), ("b",)))
     assert {r["k"] for r in run(df)} == {"b"}
 
 
