@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import date
-from functools import partial
+from functools import partial, reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -36,6 +36,7 @@ from loadstar.operators import (
 from loadstar.sources import warehouse
 from loadstar.sources.increments import refreshed
 from loadstar.sources.orders_star import AS_OF, FIRST_DAY, LAST_DAY
+from loadstar.sources.rejects import read_csv_sorted
 from loadstar.sources.session import new_folder
 from loadstar.star import Star, date_key
 
@@ -80,6 +81,53 @@ def _kept(name: str, query: Query) -> Query:
     return written
 
 
+def _as_csv(star: Star, fact: DataFrame) -> str:
+    """Write the tables as CSV files with headers, ``fact`` in place of the star's own."""
+    path = new_folder(star.fact.sparkSession, "star-csv")
+    for name, table in star.tables().items():
+        rows = fact if name == "fact_shipment" else table.select(*schema.TABLES[name].fieldNames())
+        warehouse.write_csv(rows, f"{path}/{name}.csv")
+    return path
+
+
+def _csv_loaded(star: Star) -> DataFrame:
+    """Rows and key sums of all tables after a way through CSV files."""
+    fact = star.fact.select(*schema.FACT.fieldNames())
+    back = warehouse.read_csv_star(fact.sparkSession, _as_csv(star, fact))
+    sums = {"fact_shipment": "total_cost_usd"}
+    rows = [
+        table.agg(
+            F.count(F.lit(1)).alias("row_count"),
+            F.sum(sums.get(name, schema.TABLES[name].fieldNames()[0])).cast("double").alias("total"),
+        ).select(F.lit(name).alias("table_name"), "*")
+        for name, table in back.tables().items()
+    ]
+    return reduce(DataFrame.unionByName, rows)
+
+
+def _csv_rejects(star: Star) -> DataFrame:
+    """Problems per column of shipments spoiled on three lanes, and the rows that are left."""
+    lane = F.col("lane_id")
+    text = {c: F.col(c).cast("string") for c in schema.FACT.fieldNames()}
+    spoiled = {
+        "carrier_id": F.when(lane == 1, "n/a").otherwise(text["carrier_id"]),
+        "total_cost_usd": F.when(lane != 2, text["total_cost_usd"]),
+        "pickup_appt_ts": F.when(lane == 3, "yesterday").otherwise(text["pickup_appt_ts"]),
+    }
+    fact = star.fact.select(*[v.alias(c) for c, v in (text | spoiled).items()])
+    found = read_csv_sorted(fact.sparkSession, _as_csv(star, fact))
+    problems = found.rejects.groupBy("table_name", "column_name", "reason").agg(
+        F.count(F.lit(1)).alias("shipments")
+    )
+    kept = found.star.fact.agg(F.count(F.lit(1)).alias("shipments")).select(
+        F.lit("fact_shipment").alias("table_name"),
+        F.lit("").alias("column_name"),
+        F.lit("kept").alias("reason"),
+        "shipments",
+    )
+    return problems.unionByName(kept)
+
+
 _grown_stars: dict[int, tuple[Star, Star]] = {}
 
 
@@ -339,6 +387,8 @@ QUERIES |= {f"sink_{name}": _kept(f"sink-{name}", QUERIES[name]) for name in SIN
 GROWN = ("v_weekly_kpis", "v_carrier_scorecard", "v_lane_performance", "v_shipper_costtoserve", "network_kpis")
 QUERIES |= {f"grown_{name}": _grown(QUERIES[name]) for name in GROWN}
 QUERIES |= {
+    "csv_star_loaded": _csv_loaded,
+    "csv_star_rejects": _csv_rejects,
     "grown_months": _grown(_months),
     "approx_dwell_ranks": _grown(carriers.dwell_rank_errors),
 }

@@ -1077,3 +1077,21 @@ ORACLE_SQL |= {
     )
     for level, keys in _LEVELS.items()
 }
+
+
+def _table_sums() -> str:
+    sums = {"fact_shipment": "total_cost_usd"}
+    parts = [
+        f"SELECT '{name}' AS table_name, COUNT(*) AS row_count, SUM({sums.get(name, key)})::DOUBLE AS total FROM {cte}"
+        for name, (cte, key) in _DIMS.items()
+    ]
+    return f"{STAR}\n" + " UNION ALL ".join(parts)
+
+
+ORACLE_SQL["csv_star_loaded"] = _table_sums()
+ORACLE_SQL["csv_star_rejects"] = f"""{STAR}
+SELECT 'fact_shipment' AS table_name,
+  CASE lane_id WHEN 1 THEN 'carrier_id' WHEN 2 THEN 'total_cost_usd' WHEN 3 THEN 'pickup_appt_ts' ELSE '' END AS column_name,
+  CASE lane_id WHEN 1 THEN 'not a bigint' WHEN 2 THEN 'missing' WHEN 3 THEN 'not a timestamp_ntz' ELSE 'kept' END AS reason,
+  COUNT(*) AS shipments
+FROM fact GROUP BY ALL"""
