@@ -42,19 +42,27 @@ def zscore_flags(
     Weeks with fewer than ``min_n`` shipments are dropped first, so the window
     counts qualifying weeks. A lane's window holds one row per week.
     """
-    kpis = ["shipment_count", "otp_rate"]
-    weekly = (
-        by_week(star, kpis, week_key, ["lane_id"])
-        .where(F.col("n") >= min_n)
-        .withColumn("otp", kpi("otp_rate"))
+    weeks = qualifying_weeks(star, min_n=min_n, week_key=week_key)
+    return _scored(weeks, window).transform(_flags, z_max, high, medium)
+
+
+def qualifying_weeks(star: Star, *, min_n: int = 5, week_key: str = "iso") -> DataFrame:
+    """``lane_id, year, week_of_year, week_start, otp`` of weeks with enough shipments."""
+    weekly = by_week(star, ["shipment_count", "otp_rate"], week_key, ["lane_id"])
+    return weekly.where(F.col("n") >= min_n).select(
+        "lane_id", "year", "week_of_year", "week_start", kpi("otp_rate").alias("otp")
     )
+
+
+def _scored(weeks: DataFrame, window: int) -> DataFrame:
+    """Weeks with a full window before them and their z-score against it."""
     before = (
         Window.partitionBy("lane_id")
         .orderBy("year", "week_of_year")
         .rowsBetween(-window, -1)
     )
-    scored = (
-        weekly.withColumns(
+    return (
+        weeks.withColumns(
             {
                 "expected": F.avg("otp").over(before),
                 "spread": F.stddev_samp("otp").over(before),
@@ -64,6 +72,9 @@ def zscore_flags(
         .where((F.col("weeks") == window) & (settled("spread") > 0))
         .withColumn("z", ratio(F.col("otp") - F.col("expected"), "spread"))
     )
+
+
+def _flags(scored: DataFrame, z_max: float, high: float, medium: float) -> DataFrame:
     size = settled(F.abs("z"))
     return scored.where(size > z_max).select(
         "lane_id",
@@ -77,6 +88,34 @@ def zscore_flags(
     )
 
 
+def last_weeks(weeks: DataFrame, *, window: int = 8) -> DataFrame:
+    """The state that later weeks need: each lane's last ``window`` qualifying weeks."""
+    latest = Window.partitionBy("lane_id").orderBy(F.desc("year"), F.desc("week_of_year"))
+    ranked = weeks.withColumn("_nth", F.row_number().over(latest))
+    return ranked.where(F.col("_nth") <= window).drop("_nth")
+
+
+def zscore_next(
+    state: DataFrame,
+    weeks: DataFrame,
+    *,
+    window: int = 8,
+    z_max: float = 2.5,
+    high: float = 3.5,
+    medium: float = 3.0,
+) -> tuple[DataFrame, DataFrame]:
+    """Flags of new ``weeks``, from them and the carried ``state`` alone, and the next state.
+
+    ``weeks`` are qualifying weeks, all later than those of the state. At most ``window``
+    rows of each lane are carried, so a refresh reads the new weeks of the fact and no others.
+    """
+    known = state.withColumn("_new", F.lit(False)).unionByName(
+        weeks.withColumn("_new", F.lit(True))
+    )
+    flags = _scored(known, window).where("_new").transform(_flags, z_max, high, medium)
+    return flags, last_weeks(known.drop("_new"), window=window)
+
+
 def anomaly_reason_hints(
     anomalies: DataFrame,
     star: Star,

@@ -8,7 +8,8 @@ the ``_iso`` variants use the ISO week-year, under which weeks sort in time.
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import date
+from dataclasses import replace
+from datetime import date, timedelta
 from functools import partial, reduce
 
 from pyspark.sql import DataFrame
@@ -128,6 +129,34 @@ def _csv_rejects(star: Star) -> DataFrame:
     return problems.unionByName(kept)
 
 
+# Sundays that end the periods after which a detector's state is carried on
+_STOPS = (date(2024, 8, 18), date(2024, 10, 6))
+
+
+def _zscore_carried(star: Star) -> DataFrame:
+    """Flags after the first stop, period by period from the state of the one before."""
+    spark = star.fact.sparkSession
+
+    def kept(state: DataFrame) -> DataFrame:
+        path = new_folder(spark, "zscore-state")
+        state.write.parquet(path)
+        return spark.read.schema(state.schema).parquet(path)
+
+    days = [None, *(d + timedelta(days=1) for d in _STOPS), None]
+    state, found = None, []
+    for first, before in zip(days, days[1:], strict=False):
+        period = replace(star, fact=star.between(first, before), parts={})
+        weeks = anomalies.qualifying_weeks(period)
+        if state is None:
+            state = kept(anomalies.last_weeks(weeks))
+            continue
+        flags, state = anomalies.zscore_next(state, weeks)
+        found.append(flags)
+        if before is not None:
+            state = kept(state)
+    return reduce(DataFrame.unionByName, found)
+
+
 _grown_stars: dict[int, tuple[Star, Star]] = {}
 
 
@@ -387,6 +416,7 @@ QUERIES |= {f"sink_{name}": _kept(f"sink-{name}", QUERIES[name]) for name in SIN
 GROWN = ("v_weekly_kpis", "v_carrier_scorecard", "v_lane_performance", "v_shipper_costtoserve", "network_kpis")
 QUERIES |= {f"grown_{name}": _grown(QUERIES[name]) for name in GROWN}
 QUERIES |= {
+    "zscore_carried": _zscore_carried,
     "csv_star_loaded": _csv_loaded,
     "csv_star_rejects": _csv_rejects,
     "grown_months": _grown(_months),

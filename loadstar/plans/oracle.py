@@ -1095,3 +1095,8 @@ SELECT 'fact_shipment' AS table_name,
   CASE lane_id WHEN 1 THEN 'not a bigint' WHEN 2 THEN 'missing' WHEN 3 THEN 'not a timestamp_ntz' ELSE 'kept' END AS reason,
   COUNT(*) AS shipments
 FROM fact GROUP BY ALL"""
+ORACLE_SQL["zscore_carried"] = _q(
+    "lane_id, week_start, year, week_of_year, otp_observed, otp_expected, z_score, severity",
+    "FROM zscores WHERE week_start > DATE '2024-08-18'",
+    _zscore_ctes("iso_year", "reference"),
+)

@@ -1,3 +1,4 @@
+import random
 from datetime import date, timedelta
 from decimal import Decimal
 
@@ -143,3 +144,30 @@ def test_anomaly_window_otp(star):
     assert row["otp"] == 0.2
     none = anomalies.anomaly_window_otp(star, before=MONDAY).first()
     assert none["otp"] is None
+
+
+def test_carried_state_flags_like_the_full_run(spark):
+    """Week after week from the state alone, with lanes that skip weeks or have too few shipments."""
+    rng = random.Random(7)
+    rows = []
+    for lane in (1, 2, 3):
+        for index in range(40):
+            if lane == 3 and index % 3 == 0:
+                continue
+            late = 9 if rng.random() < 0.08 else rng.randint(0, 2)
+            rows += week(lane, index, late, n=4 if lane == 2 and index % 5 == 0 else 10)
+    star = make_star(spark, rows)
+    full = anomalies.zscore_flags(star)
+    weeks = anomalies.qualifying_weeks(star).cache()
+    cut = [r.week_start for r in weeks.select("week_start").distinct().orderBy("week_start").collect()]
+    later = cut[20]
+    state = anomalies.last_weeks(weeks.where(F.col("week_start") < later))
+    found = []
+    for start, end in zip(cut[20::5], [*cut[25::5], cut[-1] + timedelta(days=7)], strict=False):
+        new = weeks.where(F.col("week_start").between(start, end - timedelta(days=1)))
+        flags, state = anomalies.zscore_next(state, new)
+        found += flags.collect()
+        state = spark.createDataFrame(state.collect(), state.schema)
+        assert state.groupBy("lane_id").count().where("count > 8").isEmpty()
+    wanted = full.where(F.col("week_start") >= later).collect()
+    assert sorted(found) == sorted(wanted) and wanted
