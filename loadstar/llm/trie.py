@@ -170,7 +170,7 @@ def _raked(live: DataFrame, values: Sequence[str]) -> DataFrame:
     from_below = marked.where("parent is not null").groupBy(F.col("parent").alias("_to")).agg(F.count_if(~F.col("leaf")).alias("_left"), *lost)
     held = [(F.col(v) + F.coalesce(f"_{v}", F.lit(0))).alias(v) for v in values]
     rows = marked.drop("_of", "_n").join(from_below, F.col("node") == F.col("_to"), "left")
-    return rows.select("node", "parent", *held, "leaf", F.coalesce(F.col("_left") == 1, F.lit(False)).alias("unary"))
+    return rows.select("node", "parent", *held, "coins", "leaf", F.coalesce(F.col("_left") == 1, F.lit(False)).alias("unary"))
 
 
 def subtree_totals(tree: DataFrame, values: Sequence[str]) -> DataFrame:
@@ -179,31 +179,34 @@ def subtree_totals(tree: DataFrame, values: Sequence[str]) -> DataFrame:
     ``tree`` has a row for each node with its ``parent`` (null at a root); a forest works
     too. Values are longs without nulls.
     """
-    names = ["node", "parent", *values]
+    # Every node has coins for 60 rounds; a round uses the last bit, so all rounds run the same code.
+    names = ["node", "parent", *values, "coins"]
     kept = [F.col(v).alias(f"_{v}") for v in values]
     grown = [(F.col(v) + F.coalesce(f"_{v}", F.lit(0))).alias(v) for v in values]
-    live = tree.select(*names)
+    live = stored(tree.select("node", "parent", *values, F.xxhash64("node").alias("coins")), "tree")
     rounds: list[tuple[DataFrame, DataFrame]] = []
     while True:
         raked = stored(_raked(live, values), "tree-raked")
         rest = raked.where("not leaf")
         unary = raked.where("unary")
-        coin = F.xxhash64("node", F.lit(len(rounds))).bitwiseAND(1)
+        coin = F.col("coins").bitwiseAND(1)
         above = unary.where(coin == 0).select(F.col("node").alias("_above"))
         out = unary.where(coin == 1).join(above, F.col("parent") == F.col("_above"))
         below = rest.select(F.col("node").alias("below"), F.col("parent").alias("_up"))
-        out = stored(out.join(below, F.col("node") == F.col("_up")).select(*names, "below"), "tree-out")
+        out = stored(out.join(below, F.col("node") == F.col("_up")).select("node", "parent", *values, "below"), "tree-out")
         rounds.append((raked.where("leaf").select("node", *values), out))
+        again = len(rounds) % 60 == 0
+        coins = (F.xxhash64("node", F.lit(len(rounds))) if again else F.shiftright("coins", 1)).alias("coins")
         if out.isEmpty():
             if rest.isEmpty():
                 break
-            live = rest.select(*names)
+            live = rest.select("node", "parent", *values, coins)
             continue
         up = out.select(F.col("node").alias("_out"), F.col("parent").alias("_new"))
         more = out.select(F.col("parent").alias("_to"), *kept)
         left = rest.join(out.select(F.col("node").alias("_gone")), F.col("node") == F.col("_gone"), "left_anti")
         left = left.join(up, F.col("parent") == F.col("_out"), "left").join(more, F.col("node") == F.col("_to"), "left")
-        live = left.select("node", F.coalesce("_new", "parent").alias("parent"), *grown)
+        live = left.select("node", F.coalesce("_new", "parent").alias("parent"), *grown, coins)
 
     totals = rounds[-1][0]
     for leaves, out in reversed(rounds[:-1]):
