@@ -7,11 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from loadstar.llm.chat import OP1_SQL, op1_chat_format
-from loadstar.llm.decontamination import op4_decontamination
-from loadstar.llm.fm_dedup import op2_fm_dedup
+from loadstar.llm.decontamination import OP4_SQL, op4_decontamination
+from loadstar.llm.fm_dedup import OP2_SQL, op2_fm_dedup
 from loadstar.llm.hpylm import op12_language_model
 from loadstar.llm.mixing import op8_mixing
-from loadstar.llm.quality import op7_quality_rules
+from loadstar.llm.quality import OP7_SQL, op7_quality_rules
 from loadstar.llm.simhash import op6_simhash
 from loadstar.llm.suffix_dedup import op3_suffix_dedup
 from loadstar.llm.tokens import op5_token_files
@@ -38,6 +38,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 ORACLE_SQL: dict[str, str] = {
     "op1_chat_format": OP1_SQL,
+    "op2_fm_dedup": OP2_SQL,
+    "op4_decontamination": OP4_SQL,
+    "op7_quality_rules": OP7_SQL,
     "op9_warc": OP9_SQL,
     "op13_trie": OP13_SQL,
 }

@@ -136,3 +136,41 @@ def without_leaks(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame
 def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All pairs of documents and benchmark items that share a passage."""
     return contaminated_pairs(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def _seed_sql(table: str, key: str) -> str:
+    """Seeds of both masks as lists of words, with their place."""
+    parts = []
+    for number, mask in enumerate(MASKS):
+        picked = ", ".join(f"words[pos + {o + 1}]" for o in mask)
+        parts.append(
+            f"""SELECT {key}, pos, {number} AS mask, [{picked}] AS seed
+    FROM (SELECT {key}, words, unnest(range(greatest(len(words) - {mask[-1]}, 0))) AS pos FROM {table})"""
+        )
+    return " UNION ALL ".join(parts)
+
+
+#: Hits by equal word lists, then every word of the item along each alignment.
+OP4_SQL = rf"""
+WITH d AS (
+  SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all(lower(coalesce(text, '')), '[^\x20\x09-\x0D]+') AS words FROM documents
+), t AS (
+  SELECT row_number() OVER () AS tid, item_id, regexp_extract_all(lower(coalesce(text, '')), '[^\x20\x09-\x0D]+') AS words FROM benchmark
+), ds AS ({_seed_sql("d", "rid")}), ts AS ({_seed_sql("t", "tid")}),
+hits AS (
+  SELECT DISTINCT rid, tid, ds.pos - ts.pos AS doc_start FROM ds JOIN ts USING (mask, seed)
+), e AS (
+  SELECT doc_id, item_id, doc_start, len(t.words) AS n, least({STRETCH}, len(t.words)) AS best_words,
+    [CASE WHEN doc_start + i >= 0 AND d.words[doc_start + i + 1] = t.words[i + 1] THEN 1 ELSE 0 END FOR i IN range(len(t.words))] AS equal
+  FROM hits JOIN d USING (rid) JOIN t USING (tid)
+), scored AS (
+  SELECT *, list_sum(equal) AS n_equal,
+    list_max([list_sum(equal[i:i + best_words - 1]) FOR i IN range(1, n - best_words + 2)]) AS best_equal FROM e
+)
+SELECT doc_id, item_id, n::INTEGER AS n_item_words, best.n_equal::INTEGER AS n_equal, best.best_equal::INTEGER AS best_equal,
+  best_words::INTEGER AS best_words, (-best.back)::INTEGER AS doc_start
+FROM (
+  SELECT doc_id, item_id, n, best_words, max({{'n_equal': n_equal, 'best_equal': best_equal, 'back': -doc_start}}) AS best
+  FROM scored WHERE best_equal >= ceil({SIMILARITY} * best_words) GROUP BY doc_id, item_id, n, best_words
+)
+"""

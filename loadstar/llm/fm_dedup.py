@@ -195,3 +195,24 @@ def remove_repeats(docs: DataFrame, width: int = WIDTH, gram: int = GRAM, conten
 def op2_fm_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents without the windows of 50 words that a smaller document holds."""
     return remove_repeats(table(spark, sf_dir, "documents"), content=False).drop("kept")
+
+
+#: Every window as its text; a word goes if a window over it also starts in a smaller id.
+OP2_SQL = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents
+), windows AS (
+  SELECT rid, doc_id, i, array_to_string(words[i:i + 49], ' ') AS fifty
+  FROM (SELECT *, unnest(range(1, len(words) - 48)) AS i FROM d WHERE len(words) >= 50)
+), again AS (
+  SELECT rid, i FROM (SELECT rid, i, doc_id, min(doc_id) OVER (PARTITION BY fifty) AS first_id FROM windows) WHERE first_id < doc_id
+), gone AS (
+  SELECT DISTINCT rid, unnest(range(i, i + 50)) AS i FROM again
+), each AS (
+  SELECT rid, unnest(range(1, len(words) + 1)) AS i, unnest(words) AS word FROM d
+), kept AS (
+  SELECT rid, string_agg(word, ' ' ORDER BY i) AS text, count(*) AS n FROM each ANTI JOIN gone USING (rid, i) GROUP BY rid
+)
+SELECT doc_id, len(words)::BIGINT AS n_words, (len(words) - coalesce(n, 0))::BIGINT AS n_removed, sha256(coalesce(text, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (rid)
+"""

@@ -205,3 +205,36 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         "n_lines",
         "fail_bits",
     )
+
+
+#: Failure bits in the order of the rules; a window's words count once however often they are covered.
+OP7_SQL = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS text FROM documents
+), w AS (
+  SELECT rid, doc_id, text, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS words FROM d
+), lines AS (
+  SELECT rid, count(*) AS n_lines, count(*) - count(DISTINCT line) AS n_dup_lines
+  FROM (SELECT rid, unnest(string_split(text, chr(10))) AS line FROM d)
+  WHERE regexp_matches(line, '[^\x20\x09-\x0D]') GROUP BY rid
+), windows AS (
+  SELECT rid, i, words[i:i + 2] AS three FROM (SELECT rid, words, unnest(range(1, len(words) - 1)) AS i FROM w)
+), often AS (
+  SELECT rid, i FROM (SELECT rid, i, count(*) OVER (PARTITION BY rid, three) AS n FROM windows) WHERE n > 1
+), covered AS (
+  SELECT rid, count(DISTINCT p) AS n FROM (SELECT rid, unnest([i, i + 1, i + 2]) AS p FROM often) GROUP BY rid
+), m AS (
+  SELECT doc_id, len(words) AS n_words, coalesce(list_sum([length(x) FOR x IN words]), 0)::BIGINT AS word_chars,
+    length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')) AS n_symbols,
+    coalesce(n_dup_lines, 0) AS n_dup_lines, coalesce(covered.n, 0) AS n_repeat_words, coalesce(n_lines, 0) AS n_lines
+  FROM w LEFT JOIN lines USING (rid) LEFT JOIN covered USING (rid)
+), b AS (
+  SELECT *, (n_words < 50)::BIGINT + 2 * (100 * n_repeat_words > 50 * n_words)::BIGINT + 4 * (10 * n_symbols > n_words)::BIGINT
+    + 8 * (2 * n_dup_lines > n_lines)::BIGINT + 16 * (word_chars < 2 * n_words)::BIGINT + 32 * (word_chars > 15 * n_words)::BIGINT AS fail_bits
+  FROM m
+)
+SELECT doc_id, n_words::BIGINT AS n_words, word_chars, n_symbols::BIGINT AS n_symbols, n_dup_lines::BIGINT AS n_dup_lines,
+  n_repeat_words::BIGINT AS n_repeat_words, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
+  fail_bits = 0 AS kept, n_lines::BIGINT AS n_lines, fail_bits::BIGINT AS fail_bits
+FROM b
+"""
