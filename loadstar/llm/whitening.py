@@ -1,9 +1,10 @@
 """Embedding whitening from a weighted covariance of distinct vectors.
 
 Equal vectors are one row: each distinct vector is fitted once, with its number of rows or
-one as weight, and whitened once; the rows join it back. Vectors travel packed, as their
-offsets from the integer base in the fewest bytes that hold them, so equal vectors are equal
-bytes and a vector of 64 entries near zero takes 65 bytes.
+one as weight, and whitened once; the rows join it back. An entry c stands for the integer
+``floor(64 * c)``; a constant added to all of them would drop out of every result, so none
+is. Vectors travel packed, in the fewest bytes that hold their integers, so equal vectors
+are equal bytes and a vector of 64 entries near zero takes 65 bytes.
 
 Steps: the sums of each dimension, exact; each task's weighted centred product
 (one GEMM a batch) for the covariance; eigenvectors of that one matrix on the driver, which
@@ -32,7 +33,6 @@ from pyspark.sql import functions as F
 from loadstar.llm.common import stored, table
 
 SCALE = 64  # units in which entries are rounded down
-BASE = 1_000_000  # x is the rounded entry plus this
 COMPONENTS = 16
 _MOST = 1 << 52
 _HALF = 26  # bits of the lower part in exact sums
@@ -75,7 +75,7 @@ def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _unpacked(packed: pa.Array) -> np.ndarray:
-    """Offsets from the base, one row a vector; the vectors may differ in width, not length."""
+    """Integers, one row a vector; the vectors may differ in width, not length."""
     blobs = packed.to_pylist()
     widths = np.array([b[0] for b in blobs], np.int64)
     length = (len(blobs[0]) - 1) // blobs[0][0]
@@ -119,7 +119,7 @@ def _cells(total: np.ndarray | None) -> Iterator[pa.RecordBatch]:
 
 @dataclass(frozen=True)
 class Centre:
-    """Weight ``n`` and exact sums of offsets; the mean is ``whole + part / n`` in each dimension."""
+    """Weight ``n`` and exact sums; the mean is ``whole + part / n`` in each dimension."""
 
     n: int
     sums: list[int]
@@ -131,7 +131,7 @@ class Centre:
         return np.array([s % self.n / self.n for s in self.sums])
 
     def centred(self, x: np.ndarray) -> np.ndarray:
-        """``x`` minus the mean; integers are subtracted first, so nothing is lost to the base."""
+        """``x`` minus the mean; integers are subtracted first, which loses nothing."""
         return (x - self.whole()).astype(np.float64) - self.part()
 
 
