@@ -31,6 +31,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from loadstar.llm.common import stored, table, word_count
+from loadstar.sources.session import new_folder
 
 BLOCK = 256  # turns whose digests are chained in one row
 FAMILY = 20  # conversations that share the opening of the first of them
@@ -208,14 +209,16 @@ def subtree_totals(tree: DataFrame, values: Sequence[str]) -> DataFrame:
         left = left.join(up, F.col("parent") == F.col("_out"), "left").join(more, F.col("node") == F.col("_to"), "left")
         live = left.select("node", F.coalesce("_new", "parent").alias("parent"), *grown, coins)
 
-    totals = rounds[-1][0]
+    # All totals go to one folder, so each round's plan reads one scan however many rounds there were.
+    path = new_folder(tree.sparkSession, "tree-totals")
+    rounds[-1][0].write.parquet(path)
+    totals = tree.sparkSession.read.schema(rounds[-1][0].schema).parquet
     for leaves, out in reversed(rounds[:-1]):
         if not out.isEmpty():
-            known = totals.select(F.col("node").alias("_below"), *kept)
-            back = out.join(known, F.col("below") == F.col("_below")).select("node", *grown)
-            totals = totals.unionAll(stored(back, "tree-totals"))
-        totals = totals.unionAll(leaves)
-    return totals
+            known = totals(path).select(F.col("node").alias("_below"), *kept)
+            out.join(known, F.col("below") == F.col("_below")).select("node", *grown).write.mode("append").parquet(path)
+        leaves.write.mode("append").parquet(path)
+    return totals(path)
 
 
 def prefix_trie(turns: DataFrame, sizes: DataFrame) -> DataFrame:

@@ -112,3 +112,14 @@ def test_sql_agrees(spark, sf_dir):
     expected = con.sql(trie.OP13_SQL)
     rows = trie.op13_trie(spark, sf_dir).select(*expected.columns).collect()
     assert sorted(map(str, map(tuple, rows))) == sorted(map(str, expected.fetchall()))
+
+
+def test_totals_are_one_scan_however_many_rounds(spark):
+    # A long chain takes many rounds; the totals must not be a union that grows with them.
+    n = 64
+    rows = [(str(i).encode(), None if i == 0 else str(i - 1).encode(), 1) for i in range(n)]
+    tree = spark.createDataFrame(rows, "node binary, parent binary, v long")
+    out = trie.subtree_totals(tree, ["v"])
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation ") == 1
+    assert {int(r.node): r.v for r in out.collect()} == {i: n - i for i in range(n)}
