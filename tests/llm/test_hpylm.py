@@ -159,6 +159,104 @@ def test_context_helps_on_held_out_texts(spark):
     assert sorted(r.score for r in held) == pytest.approx(sorted(r.score for r in again))  # whatever the partitions
 
 
+def pair_tables(state, model):
+    """{(word, context): (customers, tables in all samples, in the last)}, contexts as hashes or codes, and
+    {word: (its tables in the parent, in the samples before the last its probabilities there and its tables as a context)}."""
+    known = model.known
+    cells, owners = {}, {}
+    for r in state.collect():
+        h, runs = H._longs(r["words"]).tolist(), H._wide(r["runs"], len(r["words"]) // 8).tolist()
+        codes, far = np.frombuffer(r["context"], np.uint16).tolist(), np.frombuffer(r["context"], np.uint16)
+        far = iter(H._longs(r["reach"])[H._wide(r["far"], int((far == known.other).sum()))].tolist())
+        customers, tables, summed = (H._wide(r[c], len(codes)).tolist() for c in ("customers", "tables", "summed"))
+        at = 0
+        for w, n in zip(h, runs, strict=True):
+            for j in range(at, at + n):
+                pair = (w, codes[j])
+                if codes[j] == known.other:
+                    pair = (w, ("word", next(far)))
+                elif codes[j] >= known.contexts:
+                    pair = (int(known.words[codes[j] - known.contexts]), ("word", w))
+                assert pair not in cells
+                cells[pair] = customers[j], summed[j] + tables[j], tables[j]
+            at += n
+        before = [np.frombuffer(r[c], t).reshape(len(model.samples) - 1, len(h)).T.tolist() for c, t in (("parent", "<f8"), ("behind", "<u4"))]
+        owners |= dict(zip(h, zip(H._wide(r["above"], len(h)).tolist(), *before, strict=True), strict=True))
+    return cells, owners
+
+
+@pytest.mark.parametrize(("frequent", "samples"), [(0, 1), (9, 3), (40, 2)])
+def test_every_word_is_a_context_of_its_own(spark, rows, frequent, samples):
+    """Probabilities recomputed text by text from the tables that the sweeps left."""
+    data = frame(spark, rows).select("doc_id", "text", (F.col("doc_id") % 5 == 2).alias("held_out")).fillna(False, ["held_out"])
+    kept = {}
+    real = H.train
+
+    def spy(*args, **kwargs):
+        kept["state"], kept["model"] = real(*args, **kwargs)
+        return kept["state"], kept["model"]
+
+    H.train = spy
+    try:
+        out = {(r.doc_id, r.n_tokens): r for r in H.language_model_scores(data, F.col("held_out"), samples=samples, frequent=frequent).collect()}
+    finally:
+        H.train = real
+    model = kept["model"]
+    cells, owners = pair_tables(kept["state"], model)
+    code = {int(h): k for k, h in enumerate(model.known.words)}
+    hashed = lambda t: 0 if t is None else xxhash.xxh64_intdigest(t.encode(), seed=42)
+    want, totals = Counter(), Counter()
+    texts = [(i, [hashed(t) for t in plain_tokens(text)]) for i, text, _ in rows]
+    for i, words in texts:
+        contexts = [model.known.start, *(code.get(h, ("word", h)) for h in words[:-1])]
+        if i is None or i % 5 != 2:
+            want.update(zip(words, contexts, strict=True))
+            totals.update(contexts)
+    assert {pair: c for pair, (c, _, _) in cells.items()} == want  # every pair is there, none is merged
+    assert all(1 <= t <= c for c, _, t in cells.values())
+    tables, sent = Counter(), Counter()
+    for (w, context), (_, _, t) in cells.items():
+        tables[context] += t
+        sent[w] += t
+    last = model.samples[-1]
+    sent = {**sent, **dict(zip(model.known.words.tolist(), model.known.parts(last)[2].tolist(), strict=True))}
+    assert last[-6] == sum(sent.values()) and last[-5] == sum(n for n, *_ in owners.values())
+    rest = [(1 + model.discount_above * s[-5]) / (model.known.distinct + 1) for s in model.samples]
+    unknown = [r / (1 + s[-6]) for r, s in zip(rest, model.samples, strict=True)]
+    parent = {w: [*p, (sent[w] - model.discount_above * n + rest[-1]) / (1 + last[-6])] for w, (n, p, _) in owners.items()}
+    assert len(parent) == model.known.distinct
+    for s in range(samples):
+        assert sum(p[s] for p in parent.values()) + unknown[s] == pytest.approx(1)
+
+    def behind(context):
+        if isinstance(context, int):
+            return [s[context] for s in model.samples]
+        return [*owners[context[1]][2], tables[context]] if context[1] in owners else [0] * samples
+
+    def probability(w, context):
+        c, t, _ = cells.get((w, context), (0, 0, 0))
+        weights = [1 + model.discount * n for n in behind(context)]
+        return (c + (sum(x * p for x, p in zip(weights, parent.get(w, unknown), strict=True)) - model.discount * t) / samples) / (1 + totals[context])
+
+    some = [*totals][:: max(1, len(totals) // 40)]
+    assert all(sum(probability(w, c) for w in [*parent, None]) == pytest.approx(1) for c in some)
+    for i, words in texts:
+        contexts = [model.known.start, *(code.get(h, ("word", h)) for h in words[:-1])]
+        score = sum(math.log10(probability(w, c)) for w, c in zip(words, contexts, strict=True))
+        assert out[i, len(words)].score == pytest.approx(score, rel=1e-5)
+    again = {(r.doc_id, r.n_tokens): r.score for r in H.language_model_scores(data, F.col("held_out"), contexts=10**4, samples=samples).collect()}
+    assert sum(again.values()) == pytest.approx(sum(r.score for r in out.values()), rel=0.01)
+
+
+def test_contexts_behind_the_frequent_words_tell_what_follows(spark):
+    rng = random.Random(5)
+    pairs = [f"a{k} b{k}" for k in range(2000)]
+    docs = [(i, " ".join(rng.sample(pairs, 300))) for i in range(60)]
+    got = [r for r in H.language_model_scores(spark.createDataFrame(docs, "doc_id long, text string"), F.col("doc_id") % 7 == 2).collect() if r.held_out]
+    # Half of the words follow from the one before; without its context, each is one of 2,000.
+    assert 10 ** (-sum(r.score for r in got) / sum(r.n_tokens for r in got)) < 100
+
+
 def test_nothing_to_learn_from(spark, no_docs):
     assert H.language_model_scores(no_docs, F.lit(False)).count() == 0
     docs = spark.createDataFrame([(1, "a b"), (2, None)], "doc_id long, text string")
