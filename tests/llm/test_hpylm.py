@@ -50,6 +50,14 @@ def test_large_groups_agree_with_exact_numbers():
     assert (H.seated(np.array([10**9]), np.array([0.5]), np.array([0]), 0.5, 1.0, np.random.default_rng(3)) > 1).all()
 
 
+def test_integers_in_few_bytes():
+    rng = np.random.default_rng(6)
+    mostly = np.where(rng.random(1000) < 0.01, 1 << 40, rng.integers(0, 256, 1000))
+    for x in (np.zeros(0, np.int64), np.arange(256), np.arange(70_000), np.array([0, 255, 256]), np.array([1 << 62]), mostly):
+        assert H._wide(H._small(x), len(x)).tolist() == x.tolist()
+    assert len(H._small(mostly)) < 1500
+
+
 def test_tokens_of_texts():
     data = "A b\n".encode() + b"" + "Ünd É".encode()
     h, bounds = H.tokens(np.frombuffer(data, np.uint8), np.array([0, 4, 4, len(data)]))
